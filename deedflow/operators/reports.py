@@ -11,11 +11,16 @@ def _column(value: object) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def report_rows(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFrame:
+def report_rows(
+    df: DataFrame, rows: Sequence[Mapping[str, object]], schema: str | None = None
+) -> DataFrame:
     """One output row per entry, all computed by a single aggregation.
 
     Entries map output columns to aggregates or constants and share their keys.
+    Where there may be no entries, `schema` describes the empty report.
     """
+    if not rows and schema:
+        return df.sparkSession.createDataFrame([], schema)
     structs = [
         F.struct(*[_column(value).alias(name) for name, value in row.items()]) for row in rows
     ]
