@@ -14,8 +14,11 @@ from deedflow.fields import NA_TOKENS
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # `try_cast` alone would accept a bare year or year-month.
 ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}"
-# Whitespace in the Unicode sense, as non-breaking spaces occur in feeds.
-OUTER_SPACE = r"(?U)^\s+|\s+$"
+# Every character that counts as whitespace in Unicode text.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 TRUE_WORDS = ("true", "1", "yes")
 FALSE_WORDS = ("false", "0", "no")
 
@@ -51,7 +54,7 @@ def to_double(df: DataFrame, name: str) -> Column:
         return text_to_double(ref(name))
     value = ref(name).cast("double")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(value), value)
+        return F.nanvl(value, F.lit(None))
     return value
 
 
@@ -95,9 +98,13 @@ def month_token(path: Column) -> Column:
     )
 
 
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(WHITESPACE))
+
+
 def strip_text(text: Column) -> Column:
     """Text without outer whitespace of any kind; empty text is NULL."""
-    return F.nullif(F.regexp_replace(text, OUTER_SPACE, ""), F.lit(""))
+    return F.nullif(strip(text), F.lit(""))
 
 
 def postal_code(text: Column) -> Column:
@@ -107,7 +114,7 @@ def postal_code(text: Column) -> Column:
 
 
 def flag_word(text: Column) -> Column:
-    return F.lower(F.regexp_replace(text.cast("string"), OUTER_SPACE, ""))
+    return F.lower(strip(text.cast("string")))
 
 
 def parse_flag(text: Column) -> Column:
@@ -122,8 +129,12 @@ def to_flag(df: DataFrame, name: str) -> Column:
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Quotient where the denominator is positive, else NULL."""
-    return F.when(denominator > 0, numerator / denominator)
+    """Quotient where the denominator is positive, else NULL.
+
+    Each operand stands once, so that filters on ratios stay small when the
+    optimizer pushes them below the projections that compute the operands.
+    """
+    return F.try_divide(numerator, F.greatest(denominator, F.lit(0.0)))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -147,11 +158,13 @@ def is_year_month(text: Column) -> Column:
     return text.rlike(r"^\d{4}-\d{2}$")
 
 
-def rounded(value: Column, digits: int) -> Column:
+def rounded(value: Column | str, digits: int) -> Column:
     """Half-even rounding of the scaled double, the rule of numeric arrays.
 
     `bround` rounds the shortest decimal text instead and differs on values
-    such as 1.015.
+    such as 1.015. Text is taken as an SQL expression.
     """
     scale = float(10**digits)
+    if isinstance(value, str):
+        return F.expr(f"rint(({value}) * {scale}D) / {scale}D")
     return F.rint(value * scale) / scale

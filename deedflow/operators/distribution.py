@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from deedflow.functions.scalars import ref, to_double
 
@@ -35,12 +35,19 @@ MISSING_CELL = -(1 << 62)
 SUMMARY = ("row_count", "non_missing_count", "total", "mean", "std", "min", "max")
 
 
-def value_cell(value: Column) -> Column:
+def value_cell(value: str) -> Column:
     """Cell of a value: ordered like the values, 0 for zero."""
-    size = F.least(F.abs(value), F.lit(LARGEST_DOUBLE))
-    step = F.floor(F.log2(size) * CELLS_PER_OCTAVE) + CELL_OFFSET
-    cell = F.when(value > 0, step).when(value < 0, -step).when(value == 0, F.lit(0))
-    return F.coalesce(cell, F.lit(MISSING_CELL))
+    step = (
+        f"floor(log2(least(abs({value}), {LARGEST_DOUBLE}D)) * {CELLS_PER_OCTAVE}) + {CELL_OFFSET}"
+    )
+    return F.expr(
+        f"coalesce(CASE WHEN {value} > 0 THEN {step} WHEN {value} < 0 THEN -({step})"
+        f" WHEN {value} = 0 THEN 0 END, {MISSING_CELL})"
+    )
+
+
+def _quoted(names: Sequence[str]) -> list[str]:
+    return ["`" + name.replace("`", "``") + "`" for name in names]
 
 
 def _long_values(df: DataFrame, fields: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
@@ -56,13 +63,13 @@ def _long_values(df: DataFrame, fields: Mapping[str, Column], by: Sequence[str])
     )
 
 
-def _rank(probability: float) -> Column:
+def _rank(probability: float) -> str:
     """Fractional rank of a quantile among the present values, from 0."""
-    return (F.col("non_missing_count") - 1) * F.lit(float(probability))
+    return f"((non_missing_count - 1) * {float(probability)!r}D)"
 
 
-def _covers(rank: Column) -> Column:
-    return (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_n"))
+def _covers(rank: str) -> str:
+    return f"(_start <= {rank} AND {rank} < _start + _n)"
 
 
 def _wanted_cells(weighted: DataFrame, by: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
@@ -70,43 +77,41 @@ def _wanted_cells(weighted: DataFrame, by: Sequence[str], probabilities: Sequenc
 
     A field without any value keeps its cell of missing values.
     """
-    keys = [ref(name) for name in by] + [F.col(FIELD)]
-    value, weight = F.col(VALUE), F.col(WEIGHT)
+    keys = [*_quoted(by), FIELD]
     cells = weighted.groupBy(*keys, CELL).agg(
-        F.sum(weight).alias("_n"),
-        F.sum(value * weight).alias("_sum"),
-        F.sum(value * value * weight).alias("_squares"),
-        F.min(value).alias("_low"),
-        F.max(value).alias("_high"),
+        F.expr(f"sum({WEIGHT}) AS _n"),
+        F.expr(f"sum({VALUE} * {WEIGHT}) AS _sum"),
+        F.expr(f"sum({VALUE} * {VALUE} * {WEIGHT}) AS _squares"),
+        F.expr(f"min({VALUE}) AS _low"),
+        F.expr(f"max({VALUE}) AS _high"),
     )
-    whole = Window.partitionBy(*keys)
-    present = F.when(F.col(CELL) != MISSING_CELL, F.col("_n")).otherwise(F.lit(0))
-    count = F.col("non_missing_count")
+    whole = f"PARTITION BY {', '.join(keys)}"
+    present = f"if({CELL} = {MISSING_CELL}, 0, _n)"
     # Squares are centred cell by cell, so that they do not cancel out.
-    centre = F.col("_sum") / F.col("_n")
-    inner = F.when(
-        F.col("_low") < F.col("_high"), F.col("_squares") - F.col("_sum") * centre
-    ).otherwise(F.lit(0.0))
-    outer = F.col("_n") * (centre - F.col("mean")) * (centre - F.col("mean"))
-    ranked = (
-        cells.withColumns({
-            "row_count": F.sum("_n").over(whole),
-            "non_missing_count": F.sum(present).over(whole),
-            "total": F.sum("_sum").over(whole),
-            "min": F.min("_low").over(whole),
-            "max": F.max("_high").over(whole),
-            "_start": F.sum(present).over(whole.orderBy(CELL)) - present,
-        })
-        .withColumn("mean", F.when(count > 0, F.col("total") / count))
-        .withColumn("_deviation", F.sum(inner + outer).over(whole))
-        .withColumn("std", F.when(count > 1, F.sqrt(F.col("_deviation") / (count - 1))))
+    inner = "if(_low < _high, _squares - _sum * (_sum / _n), 0D)"
+    centre = "(_sum / _n - total / nullif(non_missing_count, 0))"
+    ranked = cells.selectExpr(
+        "*",
+        f"sum(_n) OVER ({whole}) AS row_count",
+        f"sum({present}) OVER ({whole}) AS non_missing_count",
+        f"sum(_sum) OVER ({whole}) AS total",
+        f"min(_low) OVER ({whole}) AS min",
+        f"max(_high) OVER ({whole}) AS max",
+        f"sum({present}) OVER ({whole} ORDER BY {CELL}) - {present} AS _start",
+    ).selectExpr(
+        "*", f"sum({inner} + _n * {centre} * {centre}) OVER ({whole}) AS _deviation"
     )
-    wanted = (count == 0)
-    for p in probabilities:
-        wanted = wanted | _covers(F.floor(_rank(p))) | _covers(F.ceil(_rank(p)))
-    missing = F.col(CELL) == MISSING_CELL
-    return ranked.filter(wanted & (~missing | (count == 0))).select(
-        *keys, CELL, F.struct("_start", *SUMMARY).alias("_summary")
+    wanted = " OR ".join(
+        _covers(f"{side}{_rank(p)}") for p in probabilities for side in ("floor", "ceil")
+    )
+    return ranked.filter(
+        f"if(non_missing_count = 0, true, {CELL} <> {MISSING_CELL} AND ({wanted}))"
+    ).selectExpr(
+        *keys,
+        CELL,
+        "struct(_start, row_count, non_missing_count, total, min, max,"
+        " total / nullif(non_missing_count, 0) AS mean,"
+        " sqrt(_deviation / if(non_missing_count > 1, non_missing_count - 1, NULL)) AS std) AS _summary",
     )
 
 
@@ -139,83 +144,75 @@ def distribution(
         result = _exact(df, fields, quantiles, by, few_groups or not by)
     else:
         raise ValueError(f"unknown method {method!r}")
-    names = F.array(*[F.lit(name) for name in fields])
-    rows = F.coalesce("row_count", F.lit(0))
-    count = F.coalesce("non_missing_count", F.lit(0))
+    names = ", ".join("'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'" for name in fields)
     measures = [
-        F.element_at(names, F.col(FIELD) + 1).alias("field"),
-        rows.alias("row_count"),
-        count.alias("non_missing_count"),
-        (rows - count).alias("missing_count"),
-        F.coalesce("total", F.lit(0.0)).alias("total"),
+        f"element_at(array({names}), {FIELD} + 1) AS field",
+        "coalesce(row_count, 0) AS row_count",
+        "coalesce(non_missing_count, 0) AS non_missing_count",
+        "coalesce(row_count - non_missing_count, 0) AS missing_count",
+        "coalesce(total, 0D) AS total",
         "mean", "std", "min", "max",
-        *quantiles,
+        *_quoted(quantiles),
     ]
     if not by:
         # An empty table still yields one row per field.
-        every = df.sparkSession.range(0, len(fields), 1, 1).select(F.col("id").cast("int").alias(FIELD))
+        every = df.sparkSession.range(0, len(fields), 1, 1).selectExpr(f"CAST(id AS int) AS {FIELD}")
         result = every.join(F.broadcast(result), FIELD, "left")
-    return result.select(*[ref(name) for name in by], *measures)
+    return result.selectExpr(*_quoted(by), *measures)
 
 
 def _exact(df, fields, quantiles, by, bounded) -> DataFrame:
-    keys = [ref(name) for name in by] + [F.col(FIELD)]
+    keys = [*_quoted(by), FIELD]
     values = _long_values(df, fields, by)
     if bounded:
         values = values.withColumn(WEIGHT, F.lit(1))
     else:
-        values = values.groupBy(*keys, VALUE).agg(F.count(F.lit(1)).alias(WEIGHT))
-    values = values.withColumn(CELL, value_cell(F.col(VALUE)))
+        values = values.groupBy(*keys, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
+    values = values.withColumn(CELL, value_cell(VALUE))
 
-    names = [*by, FIELD, CELL]
-    wanted = _wanted_cells(values, by, list(quantiles.values())).select(
-        *[ref(name).alias(f"_w{i}") for i, name in enumerate(names)], "_summary"
+    names = [*keys, CELL]
+    wanted = _wanted_cells(values, by, list(quantiles.values())).selectExpr(
+        *[f"{name} AS _w{i}" for i, name in enumerate(names)], "_summary"
     )
     if bounded:
         # At most two cells per group, field and quantile.
         wanted = F.broadcast(wanted)
-    same = F.lit(True)
-    for i, name in enumerate(names):
-        left, right = ref(name), F.col(f"_w{i}")
-        same = same & (left.eqNullSafe(right) if name in by else left == right)
-    inside = values.join(wanted, same)
+    same = " AND ".join(
+        f"{name} {'<=>' if i < len(by) else '='} _w{i}" for i, name in enumerate(names)
+    )
+    inside = values.join(wanted, F.expr(same))
     if bounded:
-        opened = inside.groupBy(*keys, CELL, VALUE, "_summary").agg(F.sum(WEIGHT).alias("_n"))
+        opened = inside.groupBy(*names, VALUE, "_summary").agg(F.expr(f"sum({WEIGHT}) AS _n"))
     else:
-        opened = inside.select(*keys, CELL, VALUE, F.col(WEIGHT).alias("_n"), "_summary")
-    order = Window.partitionBy(*keys, CELL).orderBy(VALUE)
-    ranked = opened.select(
-        *keys,
-        VALUE,
-        "_n",
-        "_summary.*",
-        (F.sum("_n").over(order) - F.col("_n")).alias("_before"),
-    ).withColumn("_start", F.col("_start") + F.col("_before"))
-    measures = [F.first(name).alias(name) for name in SUMMARY]
+        opened = inside.selectExpr(*names, VALUE, f"{WEIGHT} AS _n", "_summary")
+    before = f"sum(_n) OVER (PARTITION BY {', '.join(names)} ORDER BY {VALUE}) - _n"
+    rest = [f"_summary.{name}" for name in SUMMARY]
+    ranked = opened.selectExpr(*keys, VALUE, "_n", *rest, f"_summary._start + {before} AS _start")
+    measures = [f"first({name}) AS {name}" for name in SUMMARY]
     for i, p in enumerate(quantiles.values()):
-        for side, rank in (("low", F.floor(_rank(p))), ("high", F.ceil(_rank(p)))):
-            measures.append(F.max(F.when(_covers(rank), F.col(VALUE))).alias(f"_{side}{i}"))
-    result = ranked.groupBy(*keys).agg(*measures)
-    return result.withColumns({
-        name: F.col(f"_low{i}")
-        + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (_rank(p) - F.floor(_rank(p)))
-        for i, (name, p) in enumerate(quantiles.items())
-    })
+        for side in ("floor", "ceil"):
+            covered = _covers(f"{side}{_rank(p)}")
+            measures.append(f"max(if({covered}, {VALUE}, NULL)) AS _{side}{i}")
+    result = ranked.groupBy(*keys).agg(*[F.expr(measure) for measure in measures])
+    return result.selectExpr(*keys, *SUMMARY, *[
+        f"_floor{i} + (_ceil{i} - _floor{i}) * ({_rank(p)} - floor{_rank(p)}) AS {name}"
+        for i, (name, p) in enumerate(zip(_quoted(quantiles), quantiles.values()))
+    ])
 
 
 def _approximate(df, fields, quantiles, by, accuracy) -> DataFrame:
-    keys = [ref(name) for name in by] + [F.col(FIELD)]
-    sketch = F.percentile_approx(VALUE, [float(p) for p in quantiles.values()], accuracy)
-    grouped = _long_values(df, fields, by).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count(VALUE).alias("non_missing_count"),
-        F.sum(VALUE).alias("total"),
-        F.avg(VALUE).alias("mean"),
-        F.stddev_samp(VALUE).alias("std"),
-        F.min(VALUE).alias("min"),
-        F.max(VALUE).alias("max"),
-        sketch.alias("_sketch"),
-    )
-    return grouped.withColumns(
-        {name: F.get("_sketch", F.lit(i)) for i, name in enumerate(quantiles)}
+    keys = [*_quoted(by), FIELD]
+    wanted = ", ".join(f"{float(p)!r}D" for p in quantiles.values())
+    grouped = _long_values(df, fields, by).groupBy(*keys).agg(*[F.expr(measure) for measure in (
+        "count(1) AS row_count",
+        f"count({VALUE}) AS non_missing_count",
+        f"sum({VALUE}) AS total",
+        f"avg({VALUE}) AS mean",
+        f"stddev_samp({VALUE}) AS std",
+        f"min({VALUE}) AS min",
+        f"max({VALUE}) AS max",
+        f"percentile_approx({VALUE}, array({wanted}), {accuracy}) AS _sketch",
+    )])
+    return grouped.selectExpr(
+        *keys, *SUMMARY, *[f"get(_sketch, {i}) AS {name}" for i, name in enumerate(_quoted(quantiles))]
     )

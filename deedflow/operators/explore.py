@@ -26,8 +26,8 @@ def numeric_summary(df: DataFrame, fields: Sequence[str]) -> DataFrame:
         "field",
         "non_missing_count",
         "missing_count",
-        *[rounded(F.col(name), 2).alias(name) for name in measures],
-        rounded(F.col("std"), 2).alias("standard_deviation"),
+        *[rounded(name, 2).alias(name) for name in measures],
+        rounded("std", 2).alias("standard_deviation"),
     )
 
 

@@ -65,7 +65,7 @@ def feature_summary(engineered: DataFrame, metrics: Sequence[str] = f.METRICS) -
         F.col("missing_count").alias("missing_rows"),
         rounded(percent(populated, F.col("row_count")), 2).alias("populated_percent"),
         *[
-            F.when(numeric, rounded(F.col(source), 2)).alias(name)
+            F.when(numeric, rounded(source, 2)).alias(name)
             for source, name in (("min", "minimum"), ("median", "median"), ("mean", "mean"), ("max", "maximum"))
         ],
     )
@@ -81,15 +81,15 @@ def _segments(engineered: DataFrame, keys: Sequence[str], method: str) -> DataFr
     """Counts, volume, means and medians per segment."""
     summary = distribution(engineered, SEGMENT_FIELDS, by=keys, method=method)
 
-    def of(field: str, measure: str) -> Column:
-        return F.max(F.when(F.col("field") == field, F.col(measure)))
+    def of(field: str, measure: str) -> str:
+        return f"max(if(field = '{field}', {measure}, NULL))"
 
     def two(field: str, measure: str) -> Column:
         return rounded(of(field, measure), 2)
 
     return summary.groupBy(*[ref(name) for name in keys]).agg(
-        of("ClosePrice", "row_count").alias("record_count"),
-        of("ClosePrice", "non_missing_count").alias("closed_sales_count"),
+        F.expr(of("ClosePrice", "row_count")).alias("record_count"),
+        F.expr(of("ClosePrice", "non_missing_count")).alias("closed_sales_count"),
         two("ClosePrice", "total").alias("total_sales_volume"),
         two("ClosePrice", "mean").alias("average_close_price"),
         two("ClosePrice", "median").alias("median_close_price"),

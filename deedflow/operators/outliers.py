@@ -86,12 +86,12 @@ def iqr_summary(df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACT
     counted = _with_counts(df, bounds, fields, outlier_counts(df, bounds, fields))
     return counted.select(
         "field",
-        rounded(F.col("lower_bound"), 2).alias("iqr_lower_bound"),
-        rounded(F.col("upper_bound"), 2).alias("iqr_upper_bound"),
+        rounded("lower_bound", 2).alias("iqr_lower_bound"),
+        rounded("upper_bound", 2).alias("iqr_upper_bound"),
         "below_lower_bound",
         "above_upper_bound",
         F.col("total_outliers").alias("total_potential_outliers"),
-        rounded(F.col("outlier_percent"), 2).alias("potential_outlier_percent"),
+        rounded("outlier_percent", 2).alias("potential_outlier_percent"),
     )
 
 
@@ -104,11 +104,11 @@ def iqr_thresholds(df: DataFrame, fields: Sequence[str], factor: float = f.IQR_F
         "field",
         "non_missing_count",
         "missing_count",
-        *[rounded(F.col(name), 4).alias(name) for name in measures],
+        *[rounded(name, 4).alias(name) for name in measures],
         "below_lower_bound",
         "above_upper_bound",
         F.col("total_outliers").alias("total_iqr_outliers"),
-        rounded(F.col("outlier_percent"), 4).alias("iqr_outlier_percent_of_non_missing"),
+        rounded("outlier_percent", 4).alias("iqr_outlier_percent_of_non_missing"),
     )
 
 

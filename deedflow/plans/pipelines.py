@@ -35,7 +35,7 @@ def ingest(
     folder: str | None = None,
     prefer_suffix: str | None = None,
     keep: tuple[str, str] = ("PropertyType", "Residential"),
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> Tables:
     """Union the files that match, keep one property type, stage the result."""
     folder = sinks.work_folder(spark, folder)
@@ -43,7 +43,7 @@ def ingest(
     if prefer_suffix:
         found = files.prefer_versions(found, prefer_suffix)
     paths = files.file_paths(found)
-    headers = files.read_headers(spark, paths, multi_line)
+    headers = files.read_headers(spark, paths)
     combined = files.read_union(spark, paths, multi_line, headers)
     column, value = keep
     checks.require_columns(combined, [column], dataset)

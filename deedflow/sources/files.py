@@ -6,7 +6,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from deedflow.functions.scalars import na_to_null, ref
 from deedflow.operators.checks import ContractError, require_columns
@@ -59,19 +59,20 @@ def unique_names(header: Sequence[str | None]) -> list[str]:
     return names
 
 
-def read_header(spark: SparkSession, path: str, multi_line: bool = True) -> tuple[str, ...]:
+def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names of one file, from its first record only."""
-    first = _csv(spark, multi_line).option("header", False).csv(path).first()
+    first = _csv(spark, True).option("header", False).csv(path).first()
     return tuple(unique_names(list(first or ())))
 
 
-def read_headers(
-    spark: SparkSession, paths: Sequence[str], multi_line: bool = True
-) -> dict[str, tuple[str, ...]]:
+def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
     """Column names per file; each probe is a small job, some run at once."""
     with ThreadPoolExecutor(PROBES_AT_ONCE) as pool:
-        headers = pool.map(lambda path: read_header(spark, path, multi_line), paths)
-        return dict(zip(paths, headers))
+        return dict(zip(paths, pool.map(lambda path: read_header(spark, path), paths)))
+
+
+def _file_name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
 
 
 def check_letter_case(names: Iterable[str]) -> None:
@@ -94,32 +95,52 @@ def normalise_missing(df: DataFrame) -> DataFrame:
     ])
 
 
+def _decoded(uri_part: Column) -> Column:
+    """File name or path as text; a plus sign stands for itself."""
+    return F.url_decode(F.replace(uri_part, F.lit("+"), F.lit("%2B")))
+
+
+def files_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Names of files with line breaks in quoted fields.
+
+    A line that opens such a field, or closes one, has an odd number of quotes.
+    The lines are read as text, so that large files are split over many tasks.
+    """
+    odd = F.expr("(length(value) - length(replace(value, '\"', ''))) % 2 = 1")
+    found = spark.read.text(list(paths)).filter(odd).select(
+        _decoded(F.col("_metadata.file_name")).alias("name")
+    )
+    return {row["name"] for row in found.distinct().collect()}
+
+
 def read_union(
     spark: SparkSession,
     paths: Sequence[str],
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     headers: Mapping[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
     """All files as text columns, aligned by name, with the file they came from.
 
-    Files with equal headers share one scan. `multi_line` admits line breaks in
-    quoted fields and makes the file the unit of parallelism; switch it off for
-    feeds without them, and large files are split. `headers` saves probing the
-    files again (see `read_headers`).
+    Files with equal headers share one scan. Files with line breaks in quoted
+    fields cannot be split; by default one pass over the text finds them, and
+    all others are read in splits. `multi_line` settles this for all files.
+    `headers` saves probing the files again (see `read_headers`).
     """
     if not paths:
         raise ContractError("no files to read")
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, header in (headers or read_headers(spark, paths, multi_line)).items():
-        by_header[header].append(path)
-    check_letter_case({name for header in by_header for name in header})
+    headers = headers or read_headers(spark, paths)
+    check_letter_case({name for header in headers.values() for name in header})
+    whole = files_with_line_breaks(spark, paths) if multi_line is None else set()
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
+    for path, header in headers.items():
+        in_one_piece = _file_name(path) in whole if multi_line is None else multi_line
+        groups[header, in_one_piece].append(path)
 
-    # "+" stands for itself in a path and for a space in a query string.
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     frames = []
-    for header, group in by_header.items():
+    for (header, in_one_piece), group in groups.items():
         schema = T.StructType([T.StructField(column, T.StringType()) for column in header])
-        rows = _csv(spark, multi_line).option("header", True).schema(schema).csv(group)
+        rows = _csv(spark, in_one_piece).option("header", True).schema(schema).csv(group)
+        name = _decoded(F.col("_metadata.file_name"))
         frames.append(normalise_missing(rows.withColumn(SOURCE_FILE, name)))
     combined = union_by_name(frames)
     data = [column for column in combined.columns if column != SOURCE_FILE]
@@ -131,7 +152,7 @@ def file_report(combined: DataFrame, headers: Mapping[str, tuple[str, ...]]) ->
 
     Files without rows are listed too.
     """
-    widths = [(path.rsplit("/", 1)[-1], len(header)) for path, header in headers.items()]
+    widths = [(_file_name(path), len(header)) for path, header in headers.items()]
     columns = combined.sparkSession.createDataFrame(widths, f"{SOURCE_FILE} string, column_count int")
     counted = union_report(combined, SOURCE_FILE)
     # One row per file on both sides.

@@ -56,7 +56,7 @@ def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def round_to(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
-    return df.withColumns({name: rounded(F.col(name), digits) for name in columns})
+    return df.withColumns({name: rounded(name, digits) for name in columns})
 
 
 # -- sources, unions, filters ------------------------------------------------

@@ -60,7 +60,7 @@ def test_cells_are_ordered_like_values(spark):
         [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, float("inf"), float("-inf")],
     ])
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    cells = {row[0]: row[1] for row in df.select("x", value_cell(F.col("x"))).collect()}
+    cells = {row[0]: row[1] for row in df.select("x", value_cell("x")).collect()}
     ordered = [cells[v] for v in sorted(cells)]
     assert ordered == sorted(ordered)
 

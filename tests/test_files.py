@@ -64,6 +64,17 @@ def test_dialect(spark, tmp_path):
     assert [r["B"] for r in rows] == ["line1\nline2", 'say "hi"', None, None, None, " NA"]
 
 
+def test_files_with_line_breaks_are_found(spark, tmp_path):
+    paths = [
+        write(tmp_path, "broken 1.csv", 'A,B\n1,"x\ny"\n'),
+        write(tmp_path, "plain.csv", 'A,B\n1,"x, ""y"""\n2,z\n'),
+    ]
+    assert files.files_with_line_breaks(spark, paths) == {"broken 1.csv"}
+    for multi_line in (None, True):
+        rows = files.read_union(spark, paths, multi_line).orderBy("source_file", "A").collect()
+        assert [r["B"] for r in rows] == ["x\ny", 'x, "y"', "z"]
+
+
 def test_single_line_mode(spark, tmp_path):
     path = write(tmp_path, "a.csv", 'A,B\n1,"x, y"\n2,z\n')
     rows = files.read_union(spark, [path], multi_line=False).orderBy("A").collect()
