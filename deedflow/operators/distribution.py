@@ -10,9 +10,12 @@ one task. The plan here has no such limit:
 2. Only the cells that hold a wanted rank are opened: their values are counted
    and ranked.
 
-A whole table is scanned twice and only cell counts are shuffled. A grouped
-table is scanned once; its distinct values are shuffled by group, field and
-value, so one hot group is spread over all tasks.
+The table is scanned twice, only cell counts and opened cells are shuffled, and
+the wanted cells are broadcast. Their number has a bound for a whole table and
+for few groups. For other groups it is counted first, on a checkpoint, and
+beyond `BROADCAST_ROWS` a shuffled join takes the place of the broadcast: values
+are then counted by group, field and value, which spreads one hot group over all
+tasks.
 """
 
 from __future__ import annotations
@@ -22,8 +25,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from deedflow.functions.scalars import ref, to_double
+from deedflow.sources.staging import checkpointed
 
 CELLS_PER_OCTAVE = 1024
+# Wanted cells take some 200 bytes each.
+BROADCAST_ROWS = 200_000
 # Lifts the logarithm of the smallest double above zero.
 CELL_OFFSET = 1100 * CELLS_PER_OCTAVE
 LARGEST_DOUBLE = 1.7976931348623157e308
@@ -123,6 +129,7 @@ def distribution(
     few_groups: bool = False,
     method: str = "exact",
     accuracy: int = 10_000,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Counts, moments, extremes and quantiles, one row per group and field.
 
@@ -133,7 +140,8 @@ def distribution(
     and one column per entry of `quantiles`.
 
     `few_groups` says that the number of groups has a bound of its own, as
-    calendar months and flags have. They then take the plan of a whole table.
+    calendar months and flags have. Otherwise grouping runs a first job that
+    counts cells (see `broadcast_rows`).
     `method="approx"` takes quantiles from a bounded sketch in one scan.
     """
     if not isinstance(fields, Mapping):
@@ -141,7 +149,7 @@ def distribution(
     if method == "approx":
         result = _approximate(df, fields, quantiles, by, accuracy)
     elif method == "exact":
-        result = _exact(df, fields, quantiles, by, few_groups or not by)
+        result = _exact(df, fields, quantiles, by, None if few_groups or not by else broadcast_rows)
     else:
         raise ValueError(f"unknown method {method!r}")
     names = ", ".join("'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'" for name in fields)
@@ -161,27 +169,30 @@ def distribution(
     return result.selectExpr(*_quoted(by), *measures)
 
 
-def _exact(df, fields, quantiles, by, bounded) -> DataFrame:
+def _exact(df, fields, quantiles, by, broadcast_rows) -> DataFrame:
     keys = [*_quoted(by), FIELD]
-    values = _long_values(df, fields, by)
-    if bounded:
-        values = values.withColumn(WEIGHT, F.lit(1))
-    else:
-        values = values.groupBy(*keys, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
-    values = values.withColumn(CELL, value_cell(VALUE))
+    values = _long_values(df, fields, by).withColumn(WEIGHT, F.lit(1)).withColumn(CELL, value_cell(VALUE))
 
     names = [*keys, CELL]
     wanted = _wanted_cells(values, by, list(quantiles.values())).selectExpr(
         *[f"{name} AS _w{i}" for i, name in enumerate(names)], "_summary"
     )
-    if bounded:
-        # At most two cells per group, field and quantile.
+    small = True
+    if broadcast_rows is not None:
+        wanted = checkpointed(wanted)
+        small = wanted.count() <= broadcast_rows
+    if small:
         wanted = F.broadcast(wanted)
+    else:
+        values = (
+            values.groupBy(*keys, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
+            .withColumn(CELL, value_cell(VALUE))
+        )
     same = " AND ".join(
         f"{name} {'<=>' if i < len(by) else '='} _w{i}" for i, name in enumerate(names)
     )
     inside = values.join(wanted, F.expr(same))
-    if bounded:
+    if small:
         opened = inside.groupBy(*names, VALUE, "_summary").agg(F.expr(f"sum({WEIGHT}) AS _n"))
     else:
         opened = inside.selectExpr(*names, VALUE, f"{WEIGHT} AS _n", "_summary")

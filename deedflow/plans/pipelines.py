@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from deedflow import fields as f
 from deedflow.operators import checks, events, explore, features, outliers, quality, rates
 from deedflow.operators.reports import row_count
-from deedflow.sources import files, sinks
+from deedflow.sources import files, sinks, staging
 
 Tables = dict[str, DataFrame]
 
@@ -38,7 +38,7 @@ def ingest(
     multi_line: bool | None = None,
 ) -> Tables:
     """Union the files that match, keep one property type, stage the result."""
-    folder = sinks.work_folder(spark, folder)
+    folder = staging.work_folder(spark, folder)
     found = files.list_files(spark, pattern)
     if prefer_suffix:
         found = files.prefer_versions(found, prefer_suffix)
@@ -105,7 +105,7 @@ def enrich(
 ) -> Tables:
     """Join the monthly rate; every row must keep its place and find a rate."""
     spark = df.sparkSession
-    folder = sinks.work_folder(spark, folder)
+    folder = staging.work_folder(spark, folder)
     rates.require_rates(monthly)
     staged = sinks.stage(rates.enrich_monthly(df, monthly, date), folder, f"{dataset}_enriched")
     tables = {
@@ -122,7 +122,7 @@ def clean(
     df: DataFrame, dataset: str, folder: str | None = None, formats: Sequence[str] = ()
 ) -> Tables:
     """Types, validity flags and date and coordinate flags; every row is kept."""
-    folder = sinks.work_folder(df.sparkSession, folder)
+    folder = staging.work_folder(df.sparkSession, folder)
     checks.require_flags(df, f.FILLED_INDICATORS)
     staged = sinks.stage(quality.clean(df, formats), folder, f"{dataset}_clean")
     summary = quality.dataset_summary(df, staged, dataset)
@@ -140,7 +140,7 @@ def clean(
 
 def engineer(sold: DataFrame, folder: str | None = None, method: str = "exact") -> Tables:
     """Ratios and durations, a sample, a metric summary and segment summaries."""
-    folder = sinks.work_folder(sold.sparkSession, folder)
+    folder = staging.work_folder(sold.sparkSession, folder)
     staged = sinks.stage(features.engineer(sold), folder, "sold_engineered")
     report = checks.check(staged, checks.feature_checks(_rows(sold)))
     checks.enforce(report)
@@ -159,7 +159,7 @@ def remove_outliers(
     engineered: DataFrame, folder: str | None = None, expected_rows: int | None = None
 ) -> Tables:
     """Flag outliers and broken rules, and stage the full and the filtered table."""
-    folder = sinks.work_folder(engineered.sparkSession, folder)
+    folder = staging.work_folder(engineered.sparkSession, folder)
     checks.require_columns(engineered, f.OUTLIER_FLAGS)
     checks.require_flags(engineered, [rule.flag for rule in f.BUSINESS_RULES])
     thresholds = outliers.iqr_thresholds(engineered, list(f.OUTLIER_FLAGS))
@@ -187,7 +187,7 @@ def build_events(
     listings: DataFrame, sold: DataFrame, folder: str | None = None, start: str = f.EVENT_FLOOR
 ) -> Tables:
     """The market-event table by month, its reports and the monthly measures."""
-    folder = sinks.work_folder(sold.sparkSession, folder)
+    folder = staging.work_folder(sold.sparkSession, folder)
     sales = events.sale_events(sold, start)
     staged = sinks.stage(
         events.market_events(listings, sold, start), folder, "market_events", partition_by=["EventMonth"]

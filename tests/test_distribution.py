@@ -45,8 +45,8 @@ def test_whole_and_grouped_match_pandas(spark, rows):
     frame = pd.DataFrame(rows, columns=["x", "g"]).astype({"x": float})
     (whole,) = distribution(df, ["x"], QUANTILES).collect()
     assert_matches_pandas(whole, frame["x"])
-    for few in (False, True):
-        grouped = distribution(df, ["x"], QUANTILES, by=["g"], few_groups=few).collect()
+    for plan in ({}, {"few_groups": True}, {"broadcast_rows": 0}):
+        grouped = distribution(df, ["x"], QUANTILES, by=["g"], **plan).collect()
         assert len(grouped) == frame["g"].nunique(dropna=False)
         for row in grouped:
             member = frame["g"].isna() if row["g"] is None else frame["g"] == row["g"]
@@ -73,8 +73,11 @@ def test_hot_value_and_hot_group(spark):
     frame = df.toPandas()
     (row,) = distribution(df, ["x"], QUANTILES).collect()
     assert_matches_pandas(row, frame["x"])
-    (hot,) = distribution(df, ["x"], QUANTILES, by=["g"]).filter("g = 'hot'").collect()
-    assert_matches_pandas(hot, frame.loc[frame["g"] == "hot", "x"])
+    for limit in (0, 10**6):
+        grouped = distribution(df, ["x"], QUANTILES, by=["g"], broadcast_rows=limit)
+        (hot,) = grouped.filter("g = 'hot'").collect()
+        assert_matches_pandas(hot, frame.loc[frame["g"] == "hot", "x"])
+        assert grouped.count() == frame["g"].nunique()
 
 
 def test_empty_and_all_missing(spark):

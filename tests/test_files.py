@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deedflow.operators.checks import ContractError
-from deedflow.sources import files, sinks
+from deedflow.sources import files, sinks, staging
 
 
 def write(folder, name, text):
@@ -110,5 +110,5 @@ def test_rates_file(spark, tmp_path):
 
 
 def test_work_folder(spark):
-    assert sinks.work_folder(spark, "/x/") == "/x"
-    assert sinks.work_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert staging.work_folder(spark, "/x/") == "/x"
+    assert staging.work_folder(spark) == spark.conf.get("spark.checkpoint.dir")

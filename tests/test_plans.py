@@ -5,6 +5,7 @@ import re
 import pytest
 
 from deedflow.operators import explore, outliers, quality
+from deedflow.operators.distribution import distribution
 from suite.proxies import table
 from suite.queries import QUERIES
 
@@ -42,12 +43,19 @@ def test_whole_table_quantiles_shuffle_cells_only(spark):
     assert "percentile" not in physical and "ObjectHashAggregate" not in physical
 
 
-def test_groups_share_one_scan(spark):
-    from deedflow.operators.distribution import distribution
-
+def test_groups_are_broadcast_only_below_the_limit(spark):
     df = table(spark, SF_DIR, "lineitem")
-    text = plan(distribution(df, ["l_tax"], by=["l_returnflag"]), final=True)
-    assert "ReusedExchange" in text.split("== Initial Plan ==")[0].split("== Final Plan ==")[-1]
+
+    def joins(limit):
+        physical = plan(distribution(df, ["l_tax"], by=["l_returnflag"], broadcast_rows=limit))
+        return physical.split("== Physical Plan ==")[1]
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in joins(1000) and "SortMergeJoin" not in joins(1000)
+        assert "SortMergeJoin" in joins(0) and "BroadcastHashJoin" not in joins(0)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_reports_take_one_pass(spark):
