@@ -96,14 +96,16 @@ def _wanted_cells(weighted: DataFrame, by: Sequence[str], probabilities: Sequenc
     # Squares are centred cell by cell, so that they do not cancel out.
     inner = "if(_low < _high, _squares - _sum * (_sum / _n), 0D)"
     centre = "(_sum / _n - total / nullif(non_missing_count, 0))"
+    # The ordered window comes first: its sort serves the others too.
     ranked = cells.selectExpr(
+        "*", f"sum({present}) OVER ({whole} ORDER BY {CELL}) - {present} AS _start"
+    ).selectExpr(
         "*",
         f"sum(_n) OVER ({whole}) AS row_count",
         f"sum({present}) OVER ({whole}) AS non_missing_count",
         f"sum(_sum) OVER ({whole}) AS total",
         f"min(_low) OVER ({whole}) AS min",
         f"max(_high) OVER ({whole}) AS max",
-        f"sum({present}) OVER ({whole} ORDER BY {CELL}) - {present} AS _start",
     ).selectExpr(
         "*", f"sum({inner} + _n * {centre} * {centre}) OVER ({whole}) AS _deviation"
     )
@@ -144,6 +146,9 @@ def distribution(
     counts cells (see `broadcast_rows`).
     `method="approx"` takes quantiles from a bounded sketch in one scan.
     """
+    reserved = {"field", "missing_count", *SUMMARY, *quantiles}
+    if reserved & set(by):
+        raise ValueError(f"group columns named like results: {sorted(reserved & set(by))}")
     if not isinstance(fields, Mapping):
         fields = {name: to_double(df, name) for name in fields}
     if method == "approx":

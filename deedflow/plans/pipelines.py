@@ -1,8 +1,9 @@
 """The steps from monthly files to market measures, as callable pipelines.
 
-Each step takes tables and a work folder, stages its main tables there as
-Parquet, checks its contracts on the staged data and returns the tables and
-reports by name. Reports stay lazy; `write_reports` saves them.
+Each step checks its contracts and returns its tables and reports by name.
+Ingested text files and finished events are staged as Parquet. The steps between
+are projections of the staged table, cheaper to repeat than to store: they stay
+lazy unless a folder is given. Reports stay lazy too; `write_reports` saves them.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ def _rows(df: DataFrame):
     return df.agg(row_count().alias("n")).scalar()
 
 
+def _kept(df: DataFrame, folder: str | None, name: str) -> DataFrame:
+    return df if folder is None else sinks.stage(df, folder, name)
+
+
 def write_reports(tables: Mapping[str, DataFrame], folder: str) -> None:
     for name, table in tables.items():
         sinks.write_report(table, f"{folder}/{name}")
@@ -104,10 +109,8 @@ def enrich(
     df: DataFrame, monthly: DataFrame, date: str, dataset: str, folder: str | None = None
 ) -> Tables:
     """Join the monthly rate; every row must keep its place and find a rate."""
-    spark = df.sparkSession
-    folder = staging.work_folder(spark, folder)
     rates.require_rates(monthly)
-    staged = sinks.stage(rates.enrich_monthly(df, monthly, date), folder, f"{dataset}_enriched")
+    staged = _kept(rates.enrich_monthly(df, monthly, date), folder, f"{dataset}_enriched")
     tables = {
         "table": staged,
         "quality": rates.join_quality(df, staged, date, dataset),
@@ -122,9 +125,8 @@ def clean(
     df: DataFrame, dataset: str, folder: str | None = None, formats: Sequence[str] = ()
 ) -> Tables:
     """Types, validity flags and date and coordinate flags; every row is kept."""
-    folder = staging.work_folder(df.sparkSession, folder)
     checks.require_flags(df, f.FILLED_INDICATORS)
-    staged = sinks.stage(quality.clean(df, formats), folder, f"{dataset}_clean")
+    staged = _kept(quality.clean(df, formats), folder, f"{dataset}_clean")
     summary = quality.dataset_summary(df, staged, dataset)
     checks.enforce(checks.check(staged, {"row_count_unchanged": checks.rows_differ_from(_rows(df))}))
     return {
@@ -140,8 +142,7 @@ def clean(
 
 def engineer(sold: DataFrame, folder: str | None = None, method: str = "exact") -> Tables:
     """Ratios and durations, a sample, a metric summary and segment summaries."""
-    folder = staging.work_folder(sold.sparkSession, folder)
-    staged = sinks.stage(features.engineer(sold), folder, "sold_engineered")
+    staged = _kept(features.engineer(sold), folder, "sold_engineered")
     report = checks.check(staged, checks.feature_checks(_rows(sold)))
     checks.enforce(report)
     sample = features.sample_rows(staged)
@@ -158,13 +159,12 @@ def engineer(sold: DataFrame, folder: str | None = None, method: str = "exact")
 def remove_outliers(
     engineered: DataFrame, folder: str | None = None, expected_rows: int | None = None
 ) -> Tables:
-    """Flag outliers and broken rules, and stage the full and the filtered table."""
-    folder = staging.work_folder(engineered.sparkSession, folder)
+    """Flag outliers and broken rules; the filtered table is a view of the flagged one."""
     checks.require_columns(engineered, f.OUTLIER_FLAGS)
     checks.require_flags(engineered, [rule.flag for rule in f.BUSINESS_RULES])
     thresholds = outliers.iqr_thresholds(engineered, list(f.OUTLIER_FLAGS))
     outliers.require_usable(thresholds)
-    flagged = sinks.stage(
+    flagged = _kept(
         outliers.exclusion_flags(outliers.iqr_flags(engineered)), folder, "sold_flagged"
     )
     checks.require_columns(flagged, engineered.columns, "flagged table")
@@ -176,7 +176,7 @@ def remove_outliers(
     checks.enforce(report)
     return {
         "flagged": flagged,
-        "table": sinks.stage(outliers.kept_rows(flagged), folder, "sold_filtered"),
+        "table": outliers.kept_rows(flagged),
         "checks": report,
         "thresholds": thresholds,
         "comparison": outliers.before_after(flagged),

@@ -118,3 +118,8 @@ def test_column_names_with_dots(spark):
     df = spark.createDataFrame([(1.0, "k"), (3.0, "k")], "`X.1` double, `g.1` string")
     (row,) = distribution(df, ["X.1"], by=["g.1"]).collect()
     assert (row["g.1"], row["field"], row["median"]) == ("k", "X.1", 2.0)
+
+
+def test_group_names_must_not_hide_results(spark):
+    with pytest.raises(ValueError, match="mean"):
+        distribution(spark.range(1).withColumnRenamed("id", "mean"), {"x": F.lit(1.0)}, by=["mean"])

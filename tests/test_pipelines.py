@@ -59,11 +59,11 @@ def steps(spark, feed, tmp_path_factory):
         suffix = "_filled" if dataset == "sold" else None
         ingested = pipelines.ingest(spark, pattern, dataset, work, suffix)
         audited = pipelines.audit_and_prune(ingested["table"], dataset)
-        enriched = pipelines.enrich(audited["table"], monthly, date, dataset, work)
+        enriched = pipelines.enrich(audited["table"], monthly, date, dataset)
         cleaned = pipelines.clean(enriched["table"], dataset, work)
         out[dataset] = {"ingest": ingested, "audit": audited, "enrich": enriched, "clean": cleaned}
     out["explore"] = pipelines.explore_sold(out["sold"]["audit"]["table"])
-    out["engineer"] = pipelines.engineer(out["sold"]["clean"]["table"], work)
+    out["engineer"] = pipelines.engineer(out["sold"]["clean"]["table"])
     out["outliers"] = pipelines.remove_outliers(out["engineer"]["table"], work)
     out["events"] = pipelines.build_events(out["listings"]["clean"]["table"], out["outliers"]["table"], work)
     return out
