@@ -61,7 +61,7 @@ def _long_values(df: DataFrame, fields: Mapping[str, Column], by: Sequence[str])
     pairs = [
         part
         for position, value in enumerate(fields.values())
-        for part in (F.lit(position), value.cast("double"))
+        for part in (F.lit(position), F.nanvl(value.cast("double"), F.lit(None)))
     ]
     return df.select(
         *[ref(name) for name in by],

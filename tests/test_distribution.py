@@ -123,3 +123,9 @@ def test_column_names_with_dots(spark):
 def test_group_names_must_not_hide_results(spark):
     with pytest.raises(ValueError, match="mean"):
         distribution(spark.range(1).withColumnRenamed("id", "mean"), {"x": F.lit(1.0)}, by=["mean"])
+
+
+def test_nan_of_an_expression_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
+    (row,) = distribution(df, {"y": F.col("x") * 2}).collect()
+    assert (row["non_missing_count"], row["missing_count"], row["median"], row["max"]) == (2, 1, 4.0, 6.0)
