@@ -78,23 +78,23 @@ def _covers(rank: str) -> str:
     return f"(_start <= {rank} AND {rank} < _start + _n)"
 
 
-def _wanted_cells(weighted: DataFrame, by: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+def _wanted_cells(values: DataFrame, by: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """The cells that hold a wanted rank, each with the summary of its field.
 
     A field without any value keeps its cell of missing values.
     """
     keys = [*_quoted(by), FIELD]
-    cells = weighted.groupBy(*keys, CELL).agg(
-        F.expr(f"sum({WEIGHT}) AS _n"),
-        F.expr(f"sum({VALUE} * {WEIGHT}) AS _sum"),
-        F.expr(f"sum({VALUE} * {VALUE} * {WEIGHT}) AS _squares"),
+    cells = values.groupBy(*keys, CELL).agg(
+        F.expr("count(1) AS _n"),
+        F.expr(f"sum({VALUE}) AS _sum"),
+        F.expr(f"var_pop({VALUE}) AS _variance"),
         F.expr(f"min({VALUE}) AS _low"),
         F.expr(f"max({VALUE}) AS _high"),
     )
     whole = f"PARTITION BY {', '.join(keys)}"
     present = f"if({CELL} = {MISSING_CELL}, 0, _n)"
-    # Squares are centred cell by cell, so that they do not cancel out.
-    inner = "if(_low < _high, _squares - _sum * (_sum / _n), 0D)"
+    # Deviations within the cells and between them, without cancellation.
+    inner = "if(_low < _high, _variance * _n, 0D)"
     centre = "(_sum / _n - total / nullif(non_missing_count, 0))"
     # The ordered window comes first: its sort serves the others too.
     ranked = cells.selectExpr(
