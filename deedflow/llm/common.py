@@ -12,7 +12,9 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rows that one task ranks or walks over as one group, on average.
-GROUP_ROWS = 4096
+GROUP_ROWS = 512
+# Buckets whose sums one task adds up.
+FAN = 4096
 # One hot key is joined in so many parts.
 SALTS = 32
 
@@ -79,7 +81,7 @@ def ranked(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str]
     grows with a group.
     """
     sums = df.groupBy(*keys, bucket).agg(F.sum(weight).alias("_sum"))
-    sums = sums.withColumn("_upper", F.expr(f"{bucket} div {GROUP_ROWS}"))
+    sums = sums.withColumn("_upper", F.expr(f"{bucket} div {FAN}"))
     uppers = sums.groupBy(*keys, "_upper").agg(F.sum("_sum").alias("_upper_sum"))
     by_upper = Window.partitionBy(*keys).orderBy("_upper").rowsBetween(Window.unboundedPreceding, -1)
     uppers = uppers.select(

@@ -63,7 +63,9 @@ def drop_bitmaps(
     frequent = segments.groupBy("_h1", "_h2").agg(
         F.sum("_documents").alias("_documents"), F.min("_first").alias("_first")
     ).filter(F.col("_documents") >= min_documents).select("_h1", "_h2", "_first")
-    dropped = occurrences.join(frequent, ["_h1", "_h2"]).filter(
+    # The verdict goes back by run, as a frequent key has many occurrences but few runs.
+    runs = segments.select(*run).join(frequent, ["_h1", "_h2"])
+    dropped = occurrences.join(runs, run).filter(
         ~((F.col("_null") == F.col("_first._null")) & (F.col("_id") == -F.col("_first._negative")))
     )
     words = dropped.groupBy(*ROW, F.expr("_pos div 64").cast("int").alias("_word")).agg(

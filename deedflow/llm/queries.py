@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedflow.llm import line_dedup, mixing, sharding
+from deedflow.llm import line_dedup, mixing, sharding, token_counts, toxicity
 from deedflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,16 @@ def op8_interleave(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "source",
     )
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (toxicity.fold(toxicity.FOLDS) == 0).alias("held_out"), "score", "predicted", "flagged"
+    )
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
