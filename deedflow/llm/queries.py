@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedflow.llm import line_dedup, mixing, sharding, token_counts, toxicity
+from deedflow.llm import decontamination, line_dedup, mixing, sharding, simhash, token_counts, toxicity
 from deedflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,18 @@ def op2_pivotal_mix(spark, sf_dir):
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query
+def op3_simhash(spark, sf_dir):
+    return simhash.clusters(table(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
+@query
+def op4_decontamination(spark, sf_dir):
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_line_dedup(spark, sf_dir):
     return line_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
