@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedflow.llm import decontamination, line_dedup, mixing, sharding, simhash, token_counts, toxicity
+from deedflow.llm import decontamination, line_dedup, mixing, sharding, simhash, substring_dedup, token_counts, toxicity
 from deedflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,32 @@ def op8_interleave(spark, sf_dir):
     )
 
 
+@query
+def op6_substring_dedup(spark, sf_dir):
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+ORACLES["op6_substring_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda w: w <> '') AS words
+  FROM documents),
+starts AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 33, 1))) AS s FROM docs),
+windows AS (
+  SELECT doc_id, s, count(*) OVER (PARTITION BY array_to_string(words[s:s + 34], ' ')) AS n FROM starts),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS place FROM windows WHERE n > 1),
+lost AS (
+  SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(len(l.places), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN l.places IS NULL THEN d.words
+    ELSE list_filter(d.words, lambda w, i: NOT list_contains(l.places, i)) END, ' ')) AS kept_sha256
+FROM docs d LEFT JOIN lost l USING (doc_id)
+"""
+
+
 @query
 def op7_toxicity(spark, sf_dir):
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
