@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedflow.llm import decontamination, line_dedup, mixing, sharding, simhash, substring_dedup, token_counts, toxicity
+from deedflow.llm import decontamination, line_dedup, mixing, neighbours, sharding, simhash, substring_dedup, token_counts, toxicity
 from deedflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,7 +83,8 @@ def op6_substring_dedup(spark, sf_dir):
 
 ORACLES["op6_substring_dedup"] = r"""
 WITH docs AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda w: w <> '') AS words
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-
+]+'), lambda w: w <> '') AS words
   FROM documents),
 starts AS (
   SELECT doc_id, words, unnest(range(1, greatest(len(words) - 33, 1))) AS s FROM docs),
@@ -108,6 +109,11 @@ def op7_toxicity(spark, sf_dir):
     )
 
 
+@query
+def op9_neighbours(spark, sf_dir):
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
