@@ -42,6 +42,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def masked(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table under column names that clash with nothing, and the new name of each column."""
+    names = {name: f"c{k}" for k, name in enumerate(docs.columns)}
+    return docs.select(*[F.col("`" + old.replace("`", "``") + "`").alias(new) for old, new in names.items()]), names
+
+
+def unmasked(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(new).alias(old) for old, new in names.items()])
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from deedflow.llm.common import SALTS, repeated, staged, text_key, unit, word_count
+from deedflow.llm.common import SALTS, masked, repeated, staged, text_key, unit, unmasked, word_count
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
@@ -149,22 +149,23 @@ def taken_words(docs: DataFrame, weights=WEIGHTS, limit: int = LIMIT, seed: int
 
 def mixed(docs: DataFrame, weights=WEIGHTS, limit: int = LIMIT, seed: int = SEED) -> DataFrame:
     """The mix itself: the rows of `docs`, each as often as it is taken, with all their columns."""
-    names = docs.columns
     keys = ["_k_none", "_k_name", "_k_null", "_k_id", "_k_size", "_k_text"]
 
-    def keyed(df, text, size):
+    def keyed(df, source, doc_id, size, text):
         return df.select(
-            "*", F.col("source").isNull().alias("_k_none"), F.coalesce("source", F.lit("")).alias("_k_name"),
-            F.col("doc_id").isNull().alias("_k_null"), F.coalesce("doc_id", F.lit(0)).alias("_k_id"),
+            "*", F.col(source).isNull().alias("_k_none"), F.coalesce(source, F.lit("")).alias("_k_name"),
+            F.col(doc_id).isNull().alias("_k_null"), F.coalesce(doc_id, F.lit(0)).alias("_k_id"),
             size.alias("_k_size"), text.alias("_k_text"),
         )
 
-    counts = keyed(copies(docs, weights, limit, seed), F.col("_text"), F.col("size"))
-    rows = keyed(docs, F.xxhash64("text"), word_count(F.col("text")))
+    counts = keyed(copies(docs, weights, limit, seed), "source", "doc_id", F.col("size"), F.col("_text"))
+    rows, names = masked(docs)
+    text = F.col(names["text"])
+    rows = keyed(rows, names["source"], names["doc_id"], word_count(text), F.xxhash64(text))
     # Equal rows are numbered in any order, as any of them may be taken.
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
     joined = rows.join(counts.select(*keys, "_copies", "_taken").filter("_taken > 0"), keys)
     joined = joined.withColumn("_number", number).withColumn(
         "_times", F.expr("_taken div _copies + if(_number <= _taken % _copies, 1L, 0L)")
     ).filter("_times > 0")
-    return repeated(joined, "_times", "_time").select(*names)
+    return unmasked(repeated(joined, "_times", "_time"), names)

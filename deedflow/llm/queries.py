@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deedflow.llm import decontamination, line_dedup, mixing, neighbours, sharding, simhash, substring_dedup, token_counts, toxicity
+from deedflow.llm import decontamination, language_model, line_dedup, mixing, neighbours, sharding, simhash, substring_dedup, token_counts, toxicity
 from deedflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_lm_scores(spark, sf_dir):
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_pivotal_mix(spark, sf_dir):
     mix = mixing.taken_words(table(spark, sf_dir, "documents"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from deedflow.llm.common import staged
+from deedflow.llm.common import masked, staged, unmasked
 from deedflow.llm.components import components
 
 SHINGLE = 3
@@ -222,7 +222,9 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     kept = clusters(docs, shingle, distance).select("representative").distinct().selectExpr(
         "representative._null AS _k_null", "coalesce(representative._id, 0L) AS _k_id",
         "representative._text AS _k_text")
-    rows = docs.select(
-        "*", F.col("doc_id").isNull().alias("_k_null"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_k_id"),
-        F.xxhash64("text").alias("_k_text"))
-    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    rows, names = masked(docs)
+    doc_id, text = F.col(names["doc_id"]), F.col(names["text"])
+    rows = rows.select(
+        "*", doc_id.isNull().alias("_k_null"), F.coalesce(doc_id.cast("long"), F.lit(0)).alias("_k_id"),
+        F.xxhash64(text).alias("_k_text"))
+    return unmasked(rows.join(kept, keys, "left_semi").dropDuplicates(keys), names)
