@@ -134,6 +134,19 @@ INVALID_RULES = (
 ANY_INVALID_FLAG = "any_invalid_numeric_flag"
 BUSINESS_RULES = INVALID_RULES[:3]
 
+TIMELINE_FLAGS = ("listing_after_close_flag", "purchase_after_close_flag", "negative_timeline_flag")
+# Dates in their order, with the flag for the wrong one.
+DATE_ORDER = (
+    ("ListingContractDate", "CloseDate", "listing_after_close_flag"),
+    ("PurchaseContractDate", "CloseDate", "purchase_after_close_flag"),
+    ("ListingContractDate", "PurchaseContractDate", ""),
+)
+GEO_FLAGS = (
+    "missing_coordinate_flag", "zero_coordinate_flag", "positive_longitude_flag",
+    "outside_california_bounds_flag", "invalid_coordinate_flag",
+)
+FILLED_FLAG = "coordinate_filled_flag"
+
 # ---------------------------------------------------------------------------
 # End of fixed values.
 # ---------------------------------------------------------------------------

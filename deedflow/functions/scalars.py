@@ -142,7 +142,7 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
 
 
-def values_agree(left: Column, right: Column) -> Column:
+def equal_as_numbers_or_text(left: Column, right: Column) -> Column:
     """Equal text, or numbers within 1e-8 + 1e-5 * |right|; NULL never agrees."""
     a, b = text_to_double(left.cast("string")), text_to_double(right.cast("string"))
     close = F.abs(a - b) <= F.lit(1e-8) + F.lit(1e-5) * F.abs(b)

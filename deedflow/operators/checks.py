@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from deedflow import fields as f
 from deedflow.functions.scalars import any_of, flag_word, is_finite, is_true, is_year_month, ref
@@ -49,21 +50,28 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ContractError(f"the keys {list(keys)} are not unique")
 
 
-def unexpected_flags(df: DataFrame, name: str) -> DataFrame:
-    """Up to five distinct values, in order, that are no boolean word."""
-    word = flag_word(ref(name))
-    return (
-        df.filter(word.isNotNull() & ~word.isin(*TRUE_WORDS, *FALSE_WORDS))
-        .select(word.alias("value")).distinct().orderBy("value").limit(5)
-    )
+def unexpected_flags(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Per flag column, up to five different values, in order, that are no boolean word.
+
+    One aggregation: of each column the words are first made distinct, which
+    partial aggregation does before anything is shuffled.
+    """
+    words = F.stack(F.lit(len(names)), *[part for name in names for part in (F.lit(name), flag_word(ref(name)))])
+    bad = df.select(words.alias("field", "value")).filter(
+        F.col("value").isNotNull() & ~F.col("value").isin(*TRUE_WORDS, *FALSE_WORDS)
+    ).distinct()
+    place = F.row_number().over(Window.partitionBy("field").orderBy("value"))
+    return bad.withColumn("place", place).filter("place <= 5").select("field", "value").orderBy("field", "value")
 
 
 def require_flags(df: DataFrame, names: Iterable[str]) -> None:
-    for name in names:
-        if name in df.columns and not isinstance(df.schema[name].dataType, T.BooleanType):
-            values = [row["value"] for row in unexpected_flags(df, name).collect()]
-            if values:
-                raise ContractError(f"{name} holds unexpected boolean values: {values}")
+    text = [n for n in names if n in df.columns and not isinstance(df.schema[n].dataType, T.BooleanType)]
+    values = defaultdict(list)
+    for row in unexpected_flags(df, text).collect() if text else []:
+        values[row["field"]].append(row["value"])
+    if values:
+        found = ", ".join(f"{name} holds unexpected boolean values: {words}" for name, words in values.items())
+        raise ContractError(found)
 
 
 def check(df: DataFrame, violations: Mapping[str, Column]) -> DataFrame:

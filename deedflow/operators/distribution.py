@@ -8,28 +8,32 @@ one task. The plan here has no such limit:
    rank range of each cell. They are pre-aggregated before the shuffle, and a
    group has at most a few thousand of them however many rows it holds.
 2. Only the cells that hold a wanted rank are opened: their values are counted
-   and ranked.
-
-The table is scanned twice, only cell counts and opened cells are shuffled, and
-the wanted cells are broadcast. Their number has a bound for a whole table and
-for few groups. For other groups it is counted first, on a checkpoint, and
-beyond `BROADCAST_ROWS` a shuffled join takes the place of the broadcast: values
-are then counted by group, field and value, which spreads one hot group over all
-tasks.
+   once each, and each cell is cut into equal parts between its least and its
+   largest value, `STEPS` times. A step counts the parts and keeps those that hold a wanted
+   rank. A cell holds 2 ** 42 different doubles, so what remains to be ranked one by
+   one is bounded, and so is every window, however many values share a cell.
+
+The table is scanned twice, and only cell counts and opened cells are shuffled.
+The wanted cells of a whole table are broadcast, as fields and quantiles
+bound their number. Those of groups are joined without a hint, on exchanges
+that adaptive execution can split or turn into a broadcast. Building the plan starts no job.
+
+Fields in `moments` get no quantiles: one cell holds all their values, and
+none is opened.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from deedflow.functions.scalars import ref, to_double
-from deedflow.sources.staging import checkpointed
 
 CELLS_PER_OCTAVE = 1024
-# Wanted cells take some 200 bytes each.
-BROADCAST_ROWS = 200_000
+# Parts that a step cuts a cell into, and the number of steps.
+PARTS = 8192
+STEPS = 2
 # Lifts the logarithm of the smallest double above zero.
 CELL_OFFSET = 1100 * CELLS_PER_OCTAVE
 LARGEST_DOUBLE = 1.7976931348623157e308
@@ -78,11 +82,8 @@ def _covers(rank: str) -> str:
     return f"(_start <= {rank} AND {rank} < _start + _n)"
 
 
-def _wanted_cells(values: DataFrame, by: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """The cells that hold a wanted rank, each with the summary of its field.
-
-    A field without any value keeps its cell of missing values.
-    """
+def _ranked_cells(values: DataFrame, by: Sequence[str]) -> DataFrame:
+    """All cells with the rank of their first value and the summary of their field."""
     keys = [*_quoted(by), FIELD]
     cells = values.groupBy(*keys, CELL).agg(
         F.expr("count(1) AS _n"),
@@ -109,29 +110,26 @@ def _wanted_cells(values: DataFrame, by: Sequence[str], probabilities: Sequence[
     ).selectExpr(
         "*", f"sum({inner} + _n * {centre} * {centre}) OVER ({whole}) AS _deviation"
     )
-    wanted = " OR ".join(
-        _covers(f"{side}{_rank(p)}") for p in probabilities for side in ("floor", "ceil")
-    )
-    return ranked.filter(
-        f"if(non_missing_count = 0, true, {CELL} <> {MISSING_CELL} AND ({wanted}))"
-    ).selectExpr(
-        *keys,
-        CELL,
-        "struct(_start, row_count, non_missing_count, total, min, max,"
+    return ranked.selectExpr(
+        *keys, CELL, "_n", "_start", "_low", "_high", "non_missing_count",
+        "struct(row_count, non_missing_count, total, min, max,"
         " total / nullif(non_missing_count, 0) AS mean,"
         " sqrt(_deviation / if(non_missing_count > 1, non_missing_count - 1, NULL)) AS std) AS _summary",
     )
 
 
+def _wanted(probabilities: Sequence[float]) -> str:
+    return " OR ".join(_covers(f"{side}{_rank(p)}") for p in probabilities for side in ("floor", "ceil"))
+
+
 def distribution(
     df: DataFrame,
     fields: Sequence[str] | Mapping[str, Column],
     quantiles: Mapping[str, float] = MEDIAN,
     by: Sequence[str] = (),
-    few_groups: bool = False,
     method: str = "exact",
     accuracy: int = 10_000,
-    broadcast_rows: int = BROADCAST_ROWS,
+    moments: Collection[str] = (),
 ) -> DataFrame:
     """Counts, moments, extremes and quantiles, one row per group and field.
 
@@ -141,9 +139,7 @@ def distribution(
     `total` (0 where nothing is present), `mean`, `std` (sample), `min`, `max`
     and one column per entry of `quantiles`.
 
-    `few_groups` says that the number of groups has a bound of its own, as
-    calendar months and flags have. Otherwise grouping runs a first job that
-    counts cells (see `broadcast_rows`).
+    Fields named in `moments` have NULL quantiles and cost no second pass.
     `method="approx"` takes quantiles from a bounded sketch in one scan.
     """
     reserved = {"field", "missing_count", *SUMMARY, *quantiles}
@@ -154,7 +150,7 @@ def distribution(
     if method == "approx":
         result = _approximate(df, fields, quantiles, by, accuracy)
     elif method == "exact":
-        result = _exact(df, fields, quantiles, by, None if few_groups or not by else broadcast_rows)
+        result = _exact(df, fields, quantiles, by, moments)
     else:
         raise ValueError(f"unknown method {method!r}")
     names = ", ".join("'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'" for name in fields)
@@ -174,46 +170,82 @@ def distribution(
     return result.selectExpr(*_quoted(by), *measures)
 
 
-def _exact(df, fields, quantiles, by, broadcast_rows) -> DataFrame:
-    keys = [*_quoted(by), FIELD]
-    values = _long_values(df, fields, by).withColumn(WEIGHT, F.lit(1)).withColumn(CELL, value_cell(VALUE))
+def _part(value: str) -> str:
+    """Part of a cell between `_low` and `_high` that a value falls into: ordered like the values."""
+    inside = f"least(greatest(({value} - _low) / (_high - _low), 0D), 1D)"
+    return (
+        f"CASE WHEN {value} = _low THEN 0 WHEN {value} = _high THEN {PARTS}"
+        f" ELSE coalesce(1 + CAST(floor({inside} * {PARTS - 2}) AS int), 0) END"
+    )
 
-    names = [*keys, CELL]
-    wanted = _wanted_cells(values, by, list(quantiles.values())).selectExpr(
-        *[f"{name} AS _w{i}" for i, name in enumerate(names)], "_summary"
+
+def _same(left: Sequence[str], right: Sequence[str], nullable: int) -> Column:
+    """Equality of keys; the first `nullable` of them may be NULL."""
+    return F.expr(" AND ".join(
+        f"{a} {'<=>' if i < nullable else '='} {b}" for i, (a, b) in enumerate(zip(left, right))
+    ))
+
+
+def _exact(df, fields, quantiles, by, moments) -> DataFrame:
+    keys = [*_quoted(by), FIELD]
+    probabilities = list(quantiles.values())
+    whole = [i for i, name in enumerate(fields) if name in moments]
+    plain = f"{FIELD} IN ({', '.join(map(str, whole))})" if whole else "false"
+    celled = _long_values(df, fields, by).withColumn(CELL, value_cell(VALUE))
+    if whole:
+        celled = celled.withColumn(CELL, F.expr(
+            f"if({plain} AND {CELL} <> {MISSING_CELL}, 0, {CELL})"))
+    cells = _ranked_cells(celled, by)
+    wanted = cells.filter(
+        f"NOT ({plain}) AND if(non_missing_count = 0, true, {CELL} <> {MISSING_CELL} AND ({_wanted(probabilities)}))"
     )
-    small = True
-    if broadcast_rows is not None:
-        wanted = checkpointed(wanted)
-        small = wanted.count() <= broadcast_rows
-    if small:
+    names = [*keys, CELL]
+    wanted = wanted.selectExpr(
+        *[f"{name} AS _w{i}" for i, name in enumerate(names)], "_start", "_low", "_high", "_summary")
+    if not by:
+        # A row per field and wanted rank at most.
         wanted = F.broadcast(wanted)
     else:
-        values = (
-            values.groupBy(*keys, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
-            .withColumn(CELL, value_cell(VALUE))
-        )
-    same = " AND ".join(
-        f"{name} {'<=>' if i < len(by) else '='} _w{i}" for i, name in enumerate(names)
-    )
-    inside = values.join(wanted, F.expr(same))
-    if small:
-        opened = inside.groupBy(*names, VALUE, "_summary").agg(F.expr(f"sum({WEIGHT}) AS _n"))
-    else:
-        opened = inside.selectExpr(*names, VALUE, f"{WEIGHT} AS _n", "_summary")
+        celled = celled.filter(f"NOT ({plain})").groupBy(*names, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
+    weight = WEIGHT if by else "1"
+    keyed = [f"_w{i}" for i in range(len(names))]
+    opened = celled.filter(f"NOT ({plain})").join(wanted, _same(names, keyed, len(by))).groupBy(
+        *names, VALUE, "_start", "_low", "_high", "_summary"
+    ).agg(F.expr(f"sum({weight}) AS _n"))
+    for step in range(STEPS):
+        part = f"_part{step}"
+        opened = opened.withColumn(part, F.expr(_part(VALUE)))
+        inner = [*names, part]
+        counted = opened.groupBy(*inner).agg(
+            F.expr("sum(_n) AS _n"), F.expr(f"min({VALUE}) AS _new_low"), F.expr(f"max({VALUE}) AS _new_high"),
+            F.expr("first(_start) AS _start"), F.expr("first(_summary) AS _summary"),
+        ).selectExpr(
+            *inner, "_n", "_new_low", "_new_high", "_summary.non_missing_count AS non_missing_count",
+            f"_start + sum(_n) OVER (PARTITION BY {', '.join(names)} ORDER BY {part}) - _n AS _start",
+        ).filter(f"non_missing_count = 0 OR {_wanted(probabilities)}")
+        kept = counted.selectExpr(
+            *[f"{name} AS _k{i}" for i, name in enumerate(inner)], "_new_low", "_new_high", "_start AS _new_start")
+        opened = opened.join(kept, _same(inner, [f"_k{i}" for i in range(len(inner))], len(by))).selectExpr(
+            *inner, VALUE, "_n", "_summary", "_new_start AS _start", "_new_low AS _low", "_new_high AS _high")
+        names = inner
     before = f"sum(_n) OVER (PARTITION BY {', '.join(names)} ORDER BY {VALUE}) - _n"
     rest = [f"_summary.{name}" for name in SUMMARY]
-    ranked = opened.selectExpr(*keys, VALUE, "_n", *rest, f"_summary._start + {before} AS _start")
+    ranked = opened.selectExpr(*keys, VALUE, "_n", *rest, f"_start + {before} AS _start")
     measures = [f"first({name}) AS {name}" for name in SUMMARY]
-    for i, p in enumerate(quantiles.values()):
+    for i, p in enumerate(probabilities):
         for side in ("floor", "ceil"):
             covered = _covers(f"{side}{_rank(p)}")
             measures.append(f"max(if({covered}, {VALUE}, NULL)) AS _{side}{i}")
     result = ranked.groupBy(*keys).agg(*[F.expr(measure) for measure in measures])
-    return result.selectExpr(*keys, *SUMMARY, *[
+    result = result.selectExpr(*keys, *SUMMARY, *[
         f"_floor{i} + (_ceil{i} - _floor{i}) * ({_rank(p)} - floor{_rank(p)}) AS {name}"
-        for i, (name, p) in enumerate(zip(_quoted(quantiles), quantiles.values()))
+        for i, (name, p) in enumerate(zip(_quoted(quantiles), probabilities))
     ])
+    if not whole:
+        return result
+    described = cells.filter(plain).groupBy(*keys).agg(F.expr("first(_summary) AS _summary"))
+    return result.unionByName(described.selectExpr(
+        *keys, *rest, *[f"CAST(NULL AS double) AS {name}" for name in _quoted(quantiles)]))
 
 
 def _approximate(df, fields, quantiles, by, accuracy) -> DataFrame:

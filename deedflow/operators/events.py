@@ -16,14 +16,16 @@ from deedflow.operators.distribution import distribution
 from deedflow.operators.reports import count_if, report_rows, row_count
 
 RATIO = "CloseToOriginalListRatio"
+KEY_PART, KEY_PARTS = "_key_part", 16
 
 
 def _events(
-    df: DataFrame, date: str, kind: str, start: str, required: Iterable[str], optional: Iterable[str]
+    df: DataFrame, date: str, kind: str, start: str, required: Iterable[str], optional: Iterable[str],
+    formats: Sequence[str],
 ) -> DataFrame:
     require_columns(df, [*required, date], f"source of {kind} events")
     used = {*required, *(name for name in optional if name in df.columns)}
-    day = to_date(df, date)
+    day = to_date(df, date, formats)
     derived = {
         "EventType": F.lit(kind),
         "EventDate": day,
@@ -53,17 +55,19 @@ def _events(
     )
 
 
-def listing_events(listings: DataFrame, start: str = f.EVENT_FLOOR) -> DataFrame:
+def listing_events(
+    listings: DataFrame, start: str = f.EVENT_FLOOR, formats: Sequence[str] = ()
+) -> DataFrame:
     return _events(
-        listings, "ListingContractDate", f.NEW_LISTING, start, f.EVENT_DIMENSIONS, f.EVENT_OPTIONAL
+        listings, "ListingContractDate", f.NEW_LISTING, start, f.EVENT_DIMENSIONS, f.EVENT_OPTIONAL, formats
     )
 
 
-def sale_events(sold: DataFrame, start: str = f.EVENT_FLOOR) -> DataFrame:
+def sale_events(sold: DataFrame, start: str = f.EVENT_FLOOR, formats: Sequence[str] = ()) -> DataFrame:
     """Closed-sale events with their ratios as they came."""
     return _events(
         sold, "CloseDate", f.CLOSED_SALE, start,
-        (*f.EVENT_DIMENSIONS, *f.SOLD_MEASURES), f.EVENT_OPTIONAL,
+        (*f.EVENT_DIMENSIONS, *f.SOLD_MEASURES), f.EVENT_OPTIONAL, formats,
     )
 
 
@@ -102,10 +106,11 @@ def market_events(
     sold: DataFrame,
     start: str = f.EVENT_FLOOR,
     bounds: tuple[float, float] = f.RATIO_BOUNDS,
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """Both kinds of events in one table, in no particular order."""
-    sales = clean_ratio(sale_events(sold, start), bounds=bounds)
-    return listing_events(listings, start).unionByName(sales)
+    sales = clean_ratio(sale_events(sold, start, formats), bounds=bounds)
+    return listing_events(listings, start, formats).unionByName(sales)
 
 
 def sorted_events(events: DataFrame) -> DataFrame:
@@ -132,9 +137,15 @@ def duplicate_identity(
 ) -> DataFrame:
     """Keep every copy of rows that share their keys, with the number of copies.
 
-    A join rather than a window: AQE splits a hot key over several tasks.
+    The rows of a key are dealt over `KEY_PARTS` parts by their other columns and
+    meet a copy of its count in each, so that a hot key is no hot task.
     """
-    return events.join(repeated_keys(events, keys), list(keys)).select(
+    part = F.pmod(F.xxhash64(*[ref(name) for name in events.columns], F.monotonically_increasing_id()), F.lit(KEY_PARTS))
+    dealt = events.withColumn(KEY_PART, part.cast("int"))
+    repeated = repeated_keys(events, keys).withColumn(
+        KEY_PART, F.explode(F.sequence(F.lit(0), F.lit(KEY_PARTS - 1)))
+    )
+    return dealt.join(repeated, [*keys, KEY_PART]).select(
         *[ref(name) for name in events.columns], "copies"
     )
 
@@ -242,8 +253,9 @@ def monthly_market(
         "days": F.col("DaysOnMarket"),
         "ratio": F.col(RATIO),
     }
-    # Calendar months are few whatever the size of the table.
-    summary = distribution(events, described, by=["EventMonth"], few_groups=True, method=method)
+    # Only the price needs its values ranked.
+    plain = [name for name in described if name != "price"]
+    summary = distribution(events, described, by=["EventMonth"], method=method, moments=plain)
 
     def of(field: str, measure: str) -> Column:
         return F.max(F.when(F.col("field") == field, F.col(measure)))

@@ -56,9 +56,10 @@ def share_vs_reference(df: DataFrame, value: str, reference: str) -> DataFrame:
     )
 
 
-def rows_before(df: DataFrame, earlier: str, later: str) -> DataFrame:
+def rows_before(df: DataFrame, earlier: str, later: str, formats: Sequence[str] = ()) -> DataFrame:
     """Number of rows whose first date lies before the second."""
-    return df.agg(count_if(to_timestamp(df, earlier) < to_timestamp(df, later)).alias("rows"))
+    before = to_timestamp(df, earlier, formats) < to_timestamp(df, later, formats)
+    return df.agg(count_if(before).alias("rows"))
 
 
 def county_field(df: DataFrame) -> str | None:

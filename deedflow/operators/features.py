@@ -23,11 +23,11 @@ def elapsed_days(end: Column, start: Column) -> tuple[Column, Column]:
     return F.when(days >= 0, days), is_true(days < 0)
 
 
-def engineer(df: DataFrame) -> DataFrame:
+def engineer(df: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
     """Add ratios, calendar fields and durations; every row is kept."""
     require_columns(df, NUMBERS + DATES)
     typed = df.withColumns(
-        {name: to_double(df, name) for name in NUMBERS} | {name: to_date(df, name) for name in DATES}
+        {name: to_double(df, name) for name in NUMBERS} | {name: to_date(df, name, formats) for name in DATES}
     )
     close, purchase, listing = (F.col(name) for name in DATES)
     to_contract, bad_contract = elapsed_days(purchase, listing)
@@ -59,7 +59,7 @@ def feature_summary(engineered: DataFrame, metrics: Sequence[str] = f.METRICS) -
     }
     numeric = ~F.col("field").isin(*text) if text else F.lit(True)
     populated = F.col("non_missing_count")
-    return distribution(engineered, described).select(
+    return distribution(engineered, described, moments=text).select(
         F.col("field").alias("metric"),
         populated.alias("populated_rows"),
         F.col("missing_count").alias("missing_rows"),

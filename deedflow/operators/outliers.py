@@ -95,9 +95,15 @@ def iqr_summary(df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACT
     )
 
 
-def iqr_thresholds(df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACTOR) -> DataFrame:
-    """Quantiles, bounds and outlier counts, rounded to four decimals."""
-    bounds = iqr_bounds(df, fields, factor, QUARTILES | TAILS)
+def iqr_thresholds(
+    df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACTOR, bounds: DataFrame | None = None
+) -> DataFrame:
+    """Quantiles, bounds and outlier counts, rounded to four decimals.
+
+    `bounds` saves computing them again (see `iqr_bounds`).
+    """
+    if bounds is None:
+        bounds = iqr_bounds(df, fields, factor, QUARTILES | TAILS)
     counted = _with_counts(df, bounds, fields, outlier_counts(df, bounds, fields))
     measures = ("q1", "median", "q3", "iqr", "lower_bound", "upper_bound", *TAILS)
     return counted.select(
@@ -120,14 +126,15 @@ def require_usable(thresholds: DataFrame) -> None:
 
 
 def iqr_flags(
-    df: DataFrame, flags: Mapping[str, str] = f.OUTLIER_FLAGS, factor: float = f.IQR_FACTOR
+    df: DataFrame, flags: Mapping[str, str] = f.OUTLIER_FLAGS, factor: float = f.IQR_FACTOR,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Outlier flag per field and for any of them; every row is kept."""
     fields = list(flags)
     typed = df.withColumns({name: to_double(df, name) for name in fields})
-    limits = field_values(
-        iqr_bounds(typed, fields, factor), fields, ("lower_bound", "upper_bound")
-    )
+    if bounds is None:
+        bounds = iqr_bounds(typed, fields, factor)
+    limits = field_values(bounds, fields, ("lower_bound", "upper_bound"))
     flagged = typed.withColumn("_limits", limits).withColumns({
         flag: any_of(outside(ref(name), F.col("_limits").getField(f"f{i}")))
         for i, (name, flag) in enumerate(flags.items())
@@ -163,7 +170,7 @@ def before_after(flagged: DataFrame, fields: Mapping[str, str] | None = None) ->
     for name in fields:
         described[f"full {name}"] = to_double(flagged, name)
         described[f"kept {name}"] = F.when(kept, to_double(flagged, name))
-    summary = distribution(flagged, described)
+    summary = distribution(flagged, described, moments=["kept"])
 
     def median(name: str) -> Column:
         return rounded(F.max(F.when(F.col("field") == name, F.col("median"))), 2)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from deedflow.functions.scalars import ref, rounded, to_date, to_double, year_month
@@ -11,11 +13,13 @@ from deedflow.operators.reports import count_if, report_rows, row_count
 MONTH, RATE = "year_month", "rate_30yr_fixed"
 
 
-def select_rates(raw: DataFrame, date: str = "observation_date", rate: str = "MORTGAGE30US") -> DataFrame:
+def select_rates(
+    raw: DataFrame, date: str = "observation_date", rate: str = "MORTGAGE30US", formats: Sequence[str] = ()
+) -> DataFrame:
     """Observations with a readable date and rate."""
     require_columns(raw, (date, rate), "rate series")
     return raw.select(
-        to_date(raw, date).alias("date"), to_double(raw, rate).alias(RATE)
+        to_date(raw, date, formats).alias("date"), to_double(raw, rate).alias(RATE)
     ).dropna(subset=["date", RATE])
 
 
@@ -32,14 +36,16 @@ def require_rates(monthly: DataFrame) -> None:
     require_unique(monthly, [MONTH])
 
 
-def enrich_monthly(df: DataFrame, monthly: DataFrame, date: str) -> DataFrame:
+def enrich_monthly(
+    df: DataFrame, monthly: DataFrame, date: str, formats: Sequence[str] = ()
+) -> DataFrame:
     """Left join of the monthly rate on the month of `date`.
 
     `monthly` has one row per calendar month (see `require_rates`), which bounds
     the broadcast.
     """
     require_columns(df, [date])
-    keyed = df.withColumn(MONTH, year_month(to_date(df, date)))
+    keyed = df.withColumn(MONTH, year_month(to_date(df, date, formats)))
     return keyed.join(F.broadcast(monthly.select(MONTH, RATE)), MONTH, "left").select(
         *[ref(name) for name in df.columns], MONTH, RATE
     )

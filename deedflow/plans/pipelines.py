@@ -8,6 +8,7 @@ lazy unless a folder is given. Reports stay lazy too; `write_reports` saves them
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -55,9 +56,12 @@ def ingest(
     # Text files are parsed once; counts and later steps read the staged copy.
     staged = sinks.stage(combined, folder, f"{dataset}_combined")
     condition = F.col(column) == value
+    report = files.file_report(staged, headers)
+    if not files.unions_reconcile(report, combined):
+        warnings.warn(f"{dataset}: rows of the files and of the staged union differ", stacklevel=2)
     return {
         "table": staged.filter(condition),
-        "files": files.file_report(staged, headers),
+        "files": report,
         "filter": quality.filter_counts(staged, condition, dataset),
     }
 
@@ -79,7 +83,9 @@ def audit_and_prune(df: DataFrame, dataset: str, threshold: float = 90) -> Table
     return tables
 
 
-def explore_sold(sold: DataFrame, fields: Sequence[str] = f.EXPLORED_FIELDS) -> Tables:
+def explore_sold(
+    sold: DataFrame, fields: Sequence[str] = f.EXPLORED_FIELDS, formats: Sequence[str] = ()
+) -> Tables:
     """Distributions, outlier bounds, plot data and the usual questions."""
     available, _ = checks.split_fields(sold, fields)
     tables = {
@@ -98,7 +104,8 @@ def explore_sold(sold: DataFrame, fields: Sequence[str] = f.EXPLORED_FIELDS) ->
     if {"ClosePrice", "ListPrice"} <= present:
         tables["price_vs_list"] = explore.share_vs_reference(sold, "ClosePrice", "ListPrice")
     if {"ListingContractDate", "CloseDate"} <= present:
-        tables["close_before_listing"] = explore.rows_before(sold, "CloseDate", "ListingContractDate")
+        tables["close_before_listing"] = explore.rows_before(
+            sold, "CloseDate", "ListingContractDate", formats)
     county = explore.county_field(sold)
     if county and "ClosePrice" in present:
         tables["top_counties"] = explore.top_groups(sold, county, "ClosePrice")
@@ -106,11 +113,12 @@ def explore_sold(sold: DataFrame, fields: Sequence[str] = f.EXPLORED_FIELDS) ->
 
 
 def enrich(
-    df: DataFrame, monthly: DataFrame, date: str, dataset: str, folder: str | None = None
+    df: DataFrame, monthly: DataFrame, date: str, dataset: str, folder: str | None = None,
+    formats: Sequence[str] = (),
 ) -> Tables:
     """Join the monthly rate; every row must keep its place and find a rate."""
     rates.require_rates(monthly)
-    staged = _kept(rates.enrich_monthly(df, monthly, date), folder, f"{dataset}_enriched")
+    staged = _kept(rates.enrich_monthly(df, monthly, date, formats), folder, f"{dataset}_enriched")
     tables = {
         "table": staged,
         "quality": rates.join_quality(df, staged, date, dataset),
@@ -134,15 +142,18 @@ def clean(
         "dataset": summary,
         "types": quality.coercion_report(quality.coalesce_redundant(df), dataset, formats=formats),
         "numeric": quality.invalid_report(staged, dataset),
-        "dates": quality.flag_summary(staged, quality.TIMELINE_FLAGS, dataset),
-        "geographic": quality.flag_summary(staged, (*quality.GEO_FLAGS, quality.FILLED_FLAG), dataset),
+        "dates": quality.flag_summary(staged, f.TIMELINE_FLAGS, dataset),
+        "geographic": quality.flag_summary(staged, (*f.GEO_FLAGS, f.FILLED_FLAG), dataset),
         "redundant": quality.redundant_report(df, dataset),
     }
 
 
-def engineer(sold: DataFrame, folder: str | None = None, method: str = "exact") -> Tables:
+def engineer(
+    sold: DataFrame, folder: str | None = None, method: str = "exact", dataset: str = "sold",
+    formats: Sequence[str] = (),
+) -> Tables:
     """Ratios and durations, a sample, a metric summary and segment summaries."""
-    staged = _kept(features.engineer(sold), folder, "sold_engineered")
+    staged = _kept(features.engineer(sold, formats), folder, f"{dataset}_engineered")
     report = checks.check(staged, checks.feature_checks(_rows(sold)))
     checks.enforce(report)
     sample = features.sample_rows(staged)
@@ -157,15 +168,20 @@ def engineer(sold: DataFrame, folder: str | None = None, method: str = "exact")
 
 
 def remove_outliers(
-    engineered: DataFrame, folder: str | None = None, expected_rows: int | None = None
+    engineered: DataFrame, folder: str | None = None, expected_rows: int | None = None,
+    dataset: str = "sold",
 ) -> Tables:
     """Flag outliers and broken rules; the filtered table is a view of the flagged one."""
     checks.require_columns(engineered, f.OUTLIER_FLAGS)
     checks.require_flags(engineered, [rule.flag for rule in f.BUSINESS_RULES])
-    thresholds = outliers.iqr_thresholds(engineered, list(f.OUTLIER_FLAGS))
+    fields = list(f.OUTLIER_FLAGS)
+    # One row per field: the bounds are computed once, for the report and for the flags.
+    bounds = outliers.iqr_bounds(engineered, fields, quantiles=outliers.QUARTILES | outliers.TAILS)
+    bounds = engineered.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
+    thresholds = outliers.iqr_thresholds(engineered, fields, bounds=bounds)
     outliers.require_usable(thresholds)
     flagged = _kept(
-        outliers.exclusion_flags(outliers.iqr_flags(engineered)), folder, "sold_flagged"
+        outliers.exclusion_flags(outliers.iqr_flags(engineered, bounds=bounds)), folder, f"{dataset}_flagged"
     )
     checks.require_columns(flagged, engineered.columns, "flagged table")
     checks.require_boolean(
@@ -184,15 +200,22 @@ def remove_outliers(
 
 
 def build_events(
-    listings: DataFrame, sold: DataFrame, folder: str | None = None, start: str = f.EVENT_FLOOR
+    listings: DataFrame, sold: DataFrame, folder: str | None = None, start: str = f.EVENT_FLOOR,
+    formats: Sequence[str] = (), name: str = "market_events", ordered: bool = False,
 ) -> Tables:
-    """The market-event table by month, its reports and the monthly measures."""
+    """The market-event table by month, its reports and the monthly measures.
+
+    `ordered` writes the table in its final order (see `sorted_events`), not by month.
+    """
     folder = staging.work_folder(sold.sparkSession, folder)
-    sales = events.sale_events(sold, start)
-    staged = sinks.stage(
-        events.market_events(listings, sold, start), folder, "market_events", partition_by=["EventMonth"]
-    ).select(*f.EVENT_SCHEMA.names)
-    expected = _rows(events.listing_events(listings, start)) + _rows(sales)
+    sales = events.sale_events(sold, start, formats)
+    combined = events.market_events(listings, sold, start, formats=formats)
+    if ordered:
+        staged = sinks.stage(events.sorted_events(combined), folder, name)
+    else:
+        staged = sinks.stage(combined, folder, name, partition_by=["EventMonth"])
+    staged = staged.select(*f.EVENT_SCHEMA.names)
+    expected = _rows(events.listing_events(listings, start, formats)) + _rows(sales)
     report = checks.check(staged, checks.event_checks(expected, start))
     checks.enforce(report)
     return {

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections import defaultdict
-from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from deedflow.functions.scalars import na_to_null, ref
@@ -14,7 +16,6 @@ from deedflow.operators.quality import union_by_name, union_report
 from deedflow.operators.rates import select_rates
 
 SOURCE_FILE = "source_file"
-PROBES_AT_ONCE = 16
 
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
@@ -23,14 +24,15 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def prefer_versions(files: DataFrame, suffix: str = "_filled") -> DataFrame:
-    """One path per file stem: the one with the suffix where both exist."""
+    """One path per folder and file stem: the one with the suffix where both exist."""
+    folder = F.regexp_extract("path", r"^(.*/)?[^/]*$", 1)
     name = F.regexp_extract("path", r"([^/]*?)(\.[^./]*)?$", 1)
     filled = name.endswith(suffix)
     stem = F.when(filled, F.substring(name, F.lit(1), F.length(name) - len(suffix))).otherwise(name)
     return (
-        files.groupBy(stem.alias("stem"))
+        files.groupBy(folder.alias("folder"), stem.alias("stem"))
         .agg(F.max_by("path", F.struct(filled, F.col("path"))).alias("path"))
-        .orderBy("stem")
+        .orderBy("folder", "stem")
     )
 
 
@@ -65,14 +67,59 @@ def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(unique_names(list(first or ())))
 
 
-def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Column names per file; each probe is a small job, some run at once."""
-    with ThreadPoolExecutor(PROBES_AT_ONCE) as pool:
-        return dict(zip(paths, pool.map(lambda path: read_header(spark, path), paths)))
+def _plain_path(path: str) -> str:
+    """A path without scheme, as Spark may write it with another number of slashes."""
+    return re.sub(r"^file:/+", "/", path)
+
 
+def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Column names per file, from one job over the first line of each.
 
-def _file_name(path: str) -> str:
-    return path.rsplit("/", 1)[-1]
+    Only a file whose first line leaves a quote open is probed by itself.
+    """
+    first = spark.read.text(list(paths)).select(
+        _decoded(F.col("_metadata.file_path")).alias("path"), "value"
+    ).where("_metadata.file_block_start = 0").mapInArrow(_first_lines, "path string, value string")
+    # One line per file.
+    lines = {_plain_path(row["path"]): row["value"] for row in first.collect()}
+    headers = {}
+    for path in paths:
+        line = lines.get(_plain_path(path))
+        if line is None or line.count('"') % 2:
+            headers[path] = read_header(spark, path)
+        else:
+            record = next(csv.reader([line.lstrip("\ufeff")]), [])
+            headers[path] = tuple(unique_names(record))
+    return headers
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each path; a task reads the start of a file in order."""
+    last = None
+    for batch in batches:
+        kept = []
+        for k, path in enumerate(batch.column(0).to_pylist()):
+            if path != last:
+                kept.append(k)
+                last = path
+        yield batch.take(pa.array(kept, pa.int64()))
+
+
+def file_labels(paths: Iterable[str]) -> dict[str, str]:
+    """A name per path: the file name, with as many folders before it as it takes to tell all apart."""
+    split = {path: _plain_path(path).split("/") for path in paths}
+    for depth in range(1, 1 + max(map(len, split.values()), default=1)):
+        labels = {path: "/".join(parts[-depth:]) for path, parts in split.items()}
+        if len(set(labels.values())) == len(labels):
+            break
+    return labels
+
+
+def _label(depth: int) -> Column:
+    """`file_labels` of the file that a row comes from."""
+    if depth == 1:
+        return _decoded(F.col("_metadata.file_name"))
+    return F.regexp_extract(_decoded(F.col("_metadata.file_path")), "((?:[^/]*/){%d}[^/]*)$" % (depth - 1), 1)
 
 
 def check_letter_case(names: Iterable[str]) -> None:
@@ -101,16 +148,17 @@ def _decoded(uri_part: Column) -> Column:
 
 
 def files_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Names of files with line breaks in quoted fields.
+    """Those of the paths whose files have line breaks in quoted fields.
 
     A line that opens such a field, or closes one, has an odd number of quotes.
     The lines are read as text, so that large files are split over many tasks.
     """
     odd = F.expr("(length(value) - length(replace(value, '\"', ''))) % 2 = 1")
     found = spark.read.text(list(paths)).filter(odd).select(
-        _decoded(F.col("_metadata.file_name")).alias("name")
+        _decoded(F.col("_metadata.file_path")).alias("path")
     )
-    return {row["name"] for row in found.distinct().collect()}
+    known = {_plain_path(row["path"]) for row in found.distinct().collect()}
+    return {path for path in paths if _plain_path(path) in known}
 
 
 def read_union(
@@ -119,7 +167,7 @@ def read_union(
     multi_line: bool | None = None,
     headers: Mapping[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
-    """All files as text columns, aligned by name, with the file they came from.
+    """All files as text columns, aligned by name, with the file they came from (see `file_labels`).
 
     Files with equal headers share one scan. Files with line breaks in quoted
     fields cannot be split; by default one pass over the text finds them, and
@@ -131,17 +179,17 @@ def read_union(
     headers = headers or read_headers(spark, paths)
     check_letter_case({name for header in headers.values() for name in header})
     whole = files_with_line_breaks(spark, paths) if multi_line is None else set()
+    depth = 1 + next(iter(file_labels(headers).values())).count("/")
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
     for path, header in headers.items():
-        in_one_piece = _file_name(path) in whole if multi_line is None else multi_line
+        in_one_piece = path in whole if multi_line is None else multi_line
         groups[header, in_one_piece].append(path)
 
     frames = []
     for (header, in_one_piece), group in groups.items():
         schema = T.StructType([T.StructField(column, T.StringType()) for column in header])
         rows = _csv(spark, in_one_piece).option("header", True).schema(schema).csv(group)
-        name = _decoded(F.col("_metadata.file_name"))
-        frames.append(normalise_missing(rows.withColumn(SOURCE_FILE, name)))
+        frames.append(normalise_missing(rows.withColumn(SOURCE_FILE, _label(depth))))
     combined = union_by_name(frames)
     data = [column for column in combined.columns if column != SOURCE_FILE]
     return combined.select(*[ref(column) for column in data], SOURCE_FILE)
@@ -152,7 +200,8 @@ def file_report(combined: DataFrame, headers: Mapping[str, tuple[str, ...]]) ->
 
     Files without rows are listed too.
     """
-    widths = [(_file_name(path), len(header)) for path, header in headers.items()]
+    labels = file_labels(headers)
+    widths = [(labels[path], len(header)) for path, header in headers.items()]
     columns = combined.sparkSession.createDataFrame(widths, f"{SOURCE_FILE} string, column_count int")
     counted = union_report(combined, SOURCE_FILE)
     # One row per file on both sides.
@@ -168,11 +217,16 @@ def file_report(combined: DataFrame, headers: Mapping[str, tuple[str, ...]]) ->
     return files.unionByName(total)
 
 
-def unions_reconcile(report: DataFrame) -> bool:
-    """Whether the files' rows add up to the total; a mismatch is only a warning."""
+def unions_reconcile(report: DataFrame, parsed: DataFrame | None = None) -> bool:
+    """Whether the files' rows add up to the total; a mismatch is only a warning.
+
+    `parsed` is the union as read from the files. With it, its rows are set
+    against those of the report, which is one of the staged copy.
+    """
     sums = report.groupBy("is_total").agg(F.sum("row_count").alias("n")).collect()
     totals = {row["is_total"]: row["n"] for row in sums}
-    return totals.get(True, 0) == totals.get(False, 0)
+    expected = totals.get(False, 0) if parsed is None else parsed.count()
+    return totals.get(True, 0) == expected == totals.get(False, 0)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -194,7 +248,8 @@ def select_available(
 
 
 def read_rates(
-    spark: SparkSession, path: str, date: str = "observation_date", rate: str = "MORTGAGE30US"
+    spark: SparkSession, path: str, date: str = "observation_date", rate: str = "MORTGAGE30US",
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """Weekly observations from a staged CSV file."""
-    return select_rates(read_table(spark, path, "csv"), date, rate)
+    return select_rates(read_table(spark, path, "csv"), date, rate, formats)

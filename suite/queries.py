@@ -274,20 +274,20 @@ def invalid_counts(spark, sf_dir):
 
 @query
 def timeline_flags(spark, sf_dir):
-    return quality.timeline_flags(sold(spark, sf_dir)).select("ListingKey", *quality.TIMELINE_FLAGS)
+    return quality.order_flags(sold(spark, sf_dir)).select("ListingKey", *f.TIMELINE_FLAGS)
 
 
 @query
 def flag_summary(spark, sf_dir):
     return quality.flag_summary(
-        quality.timeline_flags(sold(spark, sf_dir)), quality.TIMELINE_FLAGS, "sold"
+        quality.order_flags(sold(spark, sf_dir)), f.TIMELINE_FLAGS, "sold"
     )
 
 
 @query
 def geo_flags(spark, sf_dir):
     return quality.geo_flags(view(spark, sf_dir, proxies.GEO)).select(
-        "c_custkey", *quality.GEO_FLAGS, quality.FILLED_FLAG
+        "c_custkey", *f.GEO_FLAGS, f.FILLED_FLAG
     )
 
 

@@ -46,12 +46,11 @@ def test_whole_and_grouped_match_pandas(spark, rows):
     frame = pd.DataFrame(rows, columns=["x", "g"]).astype({"x": float})
     (whole,) = distribution(df, ["x"], QUANTILES).collect()
     assert_matches_pandas(whole, frame["x"])
-    for plan in ({}, {"few_groups": True}, {"broadcast_rows": 0}):
-        grouped = distribution(df, ["x"], QUANTILES, by=["g"], **plan).collect()
-        assert len(grouped) == frame["g"].nunique(dropna=False)
-        for row in grouped:
-            member = frame["g"].isna() if row["g"] is None else frame["g"] == row["g"]
-            assert_matches_pandas(row, frame.loc[member, "x"])
+    grouped = distribution(df, ["x"], QUANTILES, by=["g"]).collect()
+    assert len(grouped) == frame["g"].nunique(dropna=False)
+    for row in grouped:
+        member = frame["g"].isna() if row["g"] is None else frame["g"] == row["g"]
+        assert_matches_pandas(row, frame.loc[member, "x"])
 
 
 def test_cells_are_ordered_like_values(spark):
@@ -74,11 +73,50 @@ def test_hot_value_and_hot_group(spark):
     frame = df.toPandas()
     (row,) = distribution(df, ["x"], QUANTILES).collect()
     assert_matches_pandas(row, frame["x"])
-    for limit in (0, 10**6):
-        grouped = distribution(df, ["x"], QUANTILES, by=["g"], broadcast_rows=limit)
-        (hot,) = grouped.filter("g = 'hot'").collect()
-        assert_matches_pandas(hot, frame.loc[frame["g"] == "hot", "x"])
-        assert grouped.count() == frame["g"].nunique()
+    grouped = distribution(df, ["x"], QUANTILES, by=["g"])
+    (hot,) = grouped.filter("g = 'hot'").collect()
+    assert_matches_pandas(hot, frame.loc[frame["g"] == "hot", "x"])
+    assert grouped.count() == frame["g"].nunique()
+
+
+def test_a_million_values_in_one_cell(spark):
+    # All within 0.01 % of each other, the extremes of the cell among them.
+    df = spark.range(0, 1_000_000, 1, 8).select((F.col("id") * 7919 % 1_000_003 * 1e-10 + 1.0001).alias("x"))
+    frame = df.toPandas()
+    assert df.select(value_cell("x")).distinct().count() == 1
+    (row,) = distribution(df, ["x"], QUANTILES).collect()
+    assert_matches_pandas(row, frame["x"])
+    (row,) = distribution(df.withColumn("g", F.lit("g")), ["x"], QUANTILES, by=["g"]).collect()
+    assert_matches_pandas(row, frame["x"])
+
+
+def test_building_the_plan_starts_no_job(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("x"), (F.col("id") % 7).alias("g"))
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    distribution(df, ["x"], QUANTILES, by=["g"])
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_fields_with_moments_only(spark):
+    df = spark.createDataFrame([(1.0, 2.0, "a"), (3.0, None, "a"), (None, None, "b")], "x double, y double, g string")
+    for by in ([], ["g"]):
+        full = {(r["field"], *(r[n] for n in by)): r for r in distribution(df, ["x", "y"], QUANTILES, by=by).collect()}
+        part = distribution(df, ["x", "y"], QUANTILES, by=by, moments=["y"]).collect()
+        assert len(part) == len(full)
+        for row in part:
+            other = full[(row["field"], *(row[n] for n in by))].asDict()
+            for name in ("row_count", "non_missing_count", "total", "mean", "std", "min", "max"):
+                assert row[name] == other[name]
+            for name in QUANTILES:
+                assert row[name] == (None if row["field"] == "y" else other[name])
+
+
+def test_infinite_values_keep_their_place(spark):
+    values = [float("-inf"), -1.7e308, 0.0, 1.7e308, float("inf"), float("inf"), 1.7976931348623157e308]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    (row,) = distribution(df, {"x": F.col("x")}, {"r3": 0.5}).collect()
+    assert row["r3"] == sorted(values)[3]
 
 
 def test_empty_and_all_missing(spark):

@@ -42,6 +42,34 @@ def test_union_aligns_by_name(spark, tmp_path):
     assert not files.unions_reconcile(report.filter("source_file IS NULL OR source_file <> 'b+2.csv'"))
 
 
+def test_equal_names_in_two_folders(spark, tmp_path):
+    for folder, text in (("y", "A\n1\n2\n"), ("z", "A,B\n3,4\n")):
+        (tmp_path / folder).mkdir()
+        write(tmp_path / folder, "S202401.csv", text)
+    found = files.prefer_versions(files.list_files(spark, f"{tmp_path}/*/S*.csv"))
+    paths = files.file_paths(found)
+    assert len(paths) == 2
+    headers = files.read_headers(spark, paths)
+    df = files.read_union(spark, paths, headers=headers)
+    report = files.file_report(df, headers)
+    got = {r["source_file"]: (r["column_count"], r["row_count"]) for r in report.collect()}
+    assert got == {"y/S202401.csv": (1, 2), "z/S202401.csv": (2, 1), None: (2, 3)}
+    assert files.unions_reconcile(report, df)
+    # The files lose a row after they were staged.
+    assert not files.unions_reconcile(report, df.limit(2))
+
+
+def test_headers_take_one_job(spark, tmp_path):
+    paths = [write(tmp_path, f"f{k}.csv", f"A,B{k}\n1,2\n") for k in range(12)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    headers = files.read_headers(spark, paths)
+    jobs = tracker.getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert headers == {path: ("A", f"B{k}") for k, path in enumerate(paths)}
+    assert len(jobs) <= 2
+
+
 def test_repeated_header_names(spark, tmp_path):
     path = write(tmp_path, "a.csv", "A,B,A,,A.1\n1,2,3,4,5\n")
     df = files.read_union(spark, [path])
@@ -69,7 +97,7 @@ def test_files_with_line_breaks_are_found(spark, tmp_path):
         write(tmp_path, "broken 1.csv", 'A,B\n1,"x\ny"\n'),
         write(tmp_path, "plain.csv", 'A,B\n1,"x, ""y"""\n2,z\n'),
     ]
-    assert files.files_with_line_breaks(spark, paths) == {"broken 1.csv"}
+    assert files.files_with_line_breaks(spark, paths) == {paths[0]}
     for multi_line in (None, True):
         rows = files.read_union(spark, paths, multi_line).orderBy("source_file", "A").collect()
         assert [r["B"] for r in rows] == ["x\ny", 'x, "y"', "z"]

@@ -43,17 +43,12 @@ def test_whole_table_quantiles_shuffle_cells_only(spark):
     assert "percentile" not in physical and "ObjectHashAggregate" not in physical
 
 
-def test_groups_are_broadcast_only_below_the_limit(spark):
+def test_groups_are_joined_without_a_hint(spark):
     df = table(spark, SF_DIR, "lineitem")
-
-    def joins(limit):
-        physical = plan(distribution(df, ["l_tax"], by=["l_returnflag"], broadcast_rows=limit))
-        return physical.split("== Physical Plan ==")[1]
-
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in joins(1000) and "SortMergeJoin" not in joins(1000)
-        assert "SortMergeJoin" in joins(0) and "BroadcastHashJoin" not in joins(0)
+        physical = plan(distribution(df, ["l_tax"], by=["l_returnflag"])).split("== Physical Plan ==")[1]
+        assert "BroadcastHashJoin" not in physical and "SortMergeJoin" in physical
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
