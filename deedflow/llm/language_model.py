@@ -42,8 +42,8 @@ ADDED = 0.1
 TRIGRAM = 30.0
 MASS, POWER = 8.0, 0.8
 STEPS = 1024
-CHUNK = 1 << 21
-SHARD = 3 << 19
+CHUNK = 3 << 19
+SHARD = 1 << 20
 SPLIT = 17
 SLOT_BITS = 22
 CONTEXT = np.uint64((1 << 40) - 1)
@@ -181,7 +181,7 @@ def _quantised(values: np.ndarray) -> np.ndarray:
 class Trie:
     """The n-grams of one shard: word, the word before it, the word before that.
 
-    `w`, `b`, `a` are distinct n-grams in order, `n` their counts in training;
+    `w`, `b`, `a` are distinct n-grams, `n` their counts in training;
     `counts` the exact counts of words. `share` is U and `mass` L.
     """
 
@@ -376,6 +376,9 @@ def _chunk_rows(settings: Settings, chunk: int, parts: list[tuple]) -> Iterator[
     w = np.concatenate([p[0] for p in parts])
     lengths = np.concatenate([p[1] for p in parts])
     held = np.concatenate([p[2] for p in parts])
+    ids = np.concatenate([p[3] for p in parts])
+    empty = np.concatenate([p[4] for p in parts])
+    parts.clear()
     begins = np.cumsum(lengths) - lengths
     doc = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
     b = np.concatenate([[START], w[:-1]])
@@ -385,6 +388,7 @@ def _chunk_rows(settings: Settings, chunk: int, parts: list[tuple]) -> Iterator[
     # An n-gram that a text repeats is one record with its number.
     mark = _mixed(w + _mixed(b + _mixed(a + _mixed(doc.astype(np.uint64)))))
     _, first, times = np.unique(mark, return_index=True, return_counts=True)
+    del mark
     w, b, a, doc = w[first], b[first] & CONTEXT, a[first] & CONTEXT, doc[first]
     parts_of = settings.parts(w)
     shard = settings.place(w, (_mixed(b) % parts_of.astype(np.uint64)).astype(np.int64))
@@ -404,8 +408,6 @@ def _chunk_rows(settings: Settings, chunk: int, parts: list[tuple]) -> Iterator[
             shards, blobs = [], []
     if blobs:
         yield _rows(TOKENS, shards, chunk, blobs)
-    ids = np.concatenate([p[3] for p in parts])
-    empty = np.concatenate([p[4] for p in parts])
     texts = _packed([ids.view(np.uint64), empty.astype(np.int64), held.astype(np.int64), lengths])
     yield _rows(TEXTS, [chunk % settings.shards], chunk, [texts])
 
@@ -427,7 +429,7 @@ def _sent(rows: DataFrame, vocabulary: DataFrame, shared) -> DataFrame:
                 size += len(hashes)
                 if size >= CHUNK:
                     yield from _chunk_rows(settings, base + number, parts)
-                    number, parts, size = number + 1, [], 0
+                    number, size = number + 1, 0
         if parts:
             yield from _chunk_rows(settings, base + number, parts)
 
@@ -457,27 +459,27 @@ def _scored(settings: Settings, counts: list[bytes], blobs: list[tuple[int, byte
         own, contexts, steps, b, a, doc, times = _unpacked(data)
         contexts = np.cumsum(contexts)
         columns.append((own[np.cumsum(steps.astype(np.int64))], contexts[b.astype(np.int64)], contexts[a.astype(np.int64)],
-                        doc.astype(np.int64), times.astype(np.int64)))
+                        doc.astype(np.int32), times.astype(np.int32)))
     sizes = [len(c[0]) for c in columns]
     w, b, a, doc, times = (np.concatenate(c) for c in zip(*columns))
-    del columns
-    wi = np.unique(w, return_inverse=True)
-    ci = np.unique(np.concatenate([b, a]), return_inverse=True)
-    count = len(ci[0])
-    low = ci[1][:len(b)] * count + ci[1][len(b):]
-    lows = np.unique(low, return_inverse=True)
-    key = wi[1] * len(lows[0]) + lows[1]
+    columns.clear()
+    blobs = [(chunk, None) for chunk, _ in blobs]
+    # An n-gram is known by a hash of all its words.
+    key = _mixed(w + _mixed(b + _mixed(a)))
     _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+    del key
+    inverse = inverse.astype(np.int32)
     w, b, a = w[first], b[first], a[first]
     n = np.bincount(inverse, times * (1 - doc % 2), len(first))
     trie = Trie(w, b, a, n, (words, n1), settings.share, settings.mass)
     steps, known = trie.score(w, b, a)
+    del trie, w, b, a, n, first
     base = np.log10(known + ADDED)
     at = 0
     for (chunk, _), size in zip(blobs, sizes):
         k = inverse[at:at + size]
         texts, place = np.unique(doc[at:at + size] // 2, return_inverse=True)
-        m = times[at:at + size]
+        m = times[at:at + size].astype(np.int64)
         sums = np.stack([np.bincount(place, x, len(texts)) for x in (m * steps[k], m * base[k], m * (known[k] > 0))])
         data = zstandard.compress(texts.astype(np.int32).tobytes() + sums[0].astype(np.int32).tobytes()
                                   + sums[2].astype(np.int32).tobytes() + sums[1].tobytes(), 1)
