@@ -23,6 +23,7 @@ def union(parts: Iterable[str]) -> str:
 
 CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "sold": ((), sql_text(proxies.SOLD)),
+    "rich": ((), sql_text(proxies.RICH)),
     "listings": ((), sql_text(proxies.LISTINGS)),
     "rates_raw": ((), sql_text(proxies.RATES)),
     "twin": ((), sql_text(proxies.TWIN)),
@@ -76,6 +77,23 @@ FROM (SELECT *,
     CAST(date_diff('day', ListingContractDate, PurchaseContractDate) AS INTEGER) AS to_contract,
     CAST(date_diff('day', PurchaseContractDate, CloseDate) AS INTEGER) AS to_close
   FROM sold) t"""),
+    "rich_features": (("rich",), """
+SELECT * REPLACE (CAST(DaysOnMarket AS DOUBLE) AS DaysOnMarket,
+    CAST(CloseDate AS DATE) AS CloseDate, CAST(ListingContractDate AS DATE) AS ListingContractDate,
+    CAST(PurchaseContractDate AS DATE) AS PurchaseContractDate),
+  CASE WHEN OriginalListPrice > 0 THEN ClosePrice / OriginalListPrice END AS PriceRatio,
+  CASE WHEN OriginalListPrice > 0 THEN ClosePrice / OriginalListPrice END AS CloseToOriginalListRatio,
+  CASE WHEN LivingArea > 0 THEN ClosePrice / LivingArea END AS PricePerSqFt,
+  CAST(year(CloseDate) AS INTEGER) AS Year, CAST(month(CloseDate) AS INTEGER) AS Month,
+  strftime(CloseDate, '%Y-%m') AS YrMo,
+  CASE WHEN to_contract >= 0 THEN to_contract END AS ListingToContractDays,
+  CASE WHEN to_close >= 0 THEN to_close END AS ContractToCloseDays,
+  coalesce(to_contract < 0, false) AS invalid_listing_to_contract_days_flag,
+  coalesce(to_close < 0, false) AS invalid_contract_to_close_days_flag
+FROM (SELECT *,
+    CAST(date_diff('day', ListingContractDate, PurchaseContractDate) AS INTEGER) AS to_contract,
+    CAST(date_diff('day', PurchaseContractDate, CloseDate) AS INTEGER) AS to_close
+  FROM rich) t"""),
 }
 
 _STRIPPED = r"nullif(regexp_replace({0}, '^\s+|\s+$', '', 'g'), '')"
@@ -385,7 +403,7 @@ ORACLES["feature_summary"] = with_cte(["features"], union(
 ))
 
 
-def _segment(prefix: str, segment: str) -> str:
+def _segment(prefix: str, segment: str, source: str = "features") -> str:
     def centre(name: str, label: str) -> str:
         return (f"{rnd(f'avg({name})', 2)} AS average_{label}, "
                 f"{rnd(f'median(CAST({name} AS DOUBLE))', 2)} AS median_{label}")
@@ -396,7 +414,7 @@ def _segment(prefix: str, segment: str) -> str:
   {centre('CloseToOriginalListRatio', 'close_to_original_list_ratio')},
   {rnd('median(CAST(ListingToContractDays AS DOUBLE))', 2)} AS median_listing_to_contract_days,
   {rnd('median(CAST(ContractToCloseDays AS DOUBLE))', 2)} AS median_contract_to_close_days
-FROM features WHERE {segment} IS NOT NULL GROUP BY {segment}"""
+FROM {source} WHERE {segment} IS NOT NULL GROUP BY {segment}"""
 
 
 ORACLES["segment_summary"] = with_cte(["features"], _segment("CountyOrParish", "CountyOrParish"))
@@ -527,3 +545,54 @@ ORACLES["rate_contracts"] = _checks(["enriched"], "enriched", {
     "row_count_unchanged": "abs(count(*) - (SELECT count(*) FROM lineitem))",
     "rate_matched": "count(*) - count(rate_30yr_fixed)",
 })
+
+ORACLES["segments_many"] = with_cte(["rich_features"], """
+SELECT segment_field, segment_value, record_count, closed_sales_count, median_days_on_market,
+  median_listing_to_contract_days, median_contract_to_close_days FROM (""" + union(
+    _segment(f"'{name}' AS segment_field, {name} AS segment_value", name, "rich_features")
+    for name in ("PropertyType", "PropertySubType", "CountyOrParish", "MLSAreaMajor", "ListOfficeName", "BuyerOfficeName")
+) + ") t")
+ORACLES["invalid_rules_all"] = with_cte(["rich"], """
+SELECT *, invalid_close_price_flag OR invalid_living_area_flag OR invalid_days_on_market_flag
+    OR invalid_bedrooms_flag OR invalid_bathrooms_flag AS any_invalid_numeric_flag
+FROM (SELECT ListingKey, CASE WHEN BedroomsTotal >= 0 THEN BedroomsTotal END AS BedroomsTotal,
+    CASE WHEN BathroomsTotalInteger >= 0 THEN BathroomsTotalInteger END AS BathroomsTotalInteger,
+    coalesce(ClosePrice <= 0, false) AS invalid_close_price_flag,
+    coalesce(LivingArea <= 0, false) AS invalid_living_area_flag,
+    coalesce(DaysOnMarket < 0, false) AS invalid_days_on_market_flag,
+    coalesce(BedroomsTotal < 0, false) AS invalid_bedrooms_flag,
+    coalesce(BathroomsTotalInteger < 0, false) AS invalid_bathrooms_flag
+  FROM rich) t""")
+CTE["rich_flagged"] = (("rich", "iqr"), CTE["flagged"][1].replace("FROM sold s", "FROM rich s"))
+ORACLES["exclusion_earlier_flags"] = with_cte(["rich_flagged"], """
+SELECT ListingKey, any_iqr_outlier_flag, broken AS week7_business_rule_invalid_flag,
+  any_iqr_outlier_flag OR broken AS week7_exclusion_flag
+FROM (SELECT ListingKey,
+    close_price_iqr_outlier_flag OR living_area_iqr_outlier_flag OR days_on_market_iqr_outlier_flag
+      AS any_iqr_outlier_flag,
+    coalesce(earlier_flag = 'True', false) OR coalesce(ClosePrice <= 0, false)
+      OR coalesce(LivingArea <= 0, false) OR coalesce(DaysOnMarket < 0, false) AS broken
+  FROM rich_flagged) t
+WHERE NOT (any_iqr_outlier_flag OR broken)""")
+ORACLES["coerce_date_formats"] = with_cte(["dirty"], f"""
+SELECT event_id, {_NUMBER} AS num_text,
+  coalesce({_TIME}, CAST(try_strptime(date_text, '%m/%d/%Y') AS TIMESTAMP)) AS date_text FROM dirty""")
+ORACLES["enrich_date_formats"] = with_cte(["enriched"], """
+SELECT ListingKey, strftime(CloseDate, '%m/%d/%Y') AS CloseDate, year_month, rate_30yr_fixed FROM enriched""")
+ORACLES["repeated_months"] = with_cte(["rates_raw"], """
+SELECT strftime(observation_date, '%Y-%m') AS year_month, count(*) AS copies
+FROM rates_raw WHERE try_cast(rate_text AS DOUBLE) IS NOT NULL GROUP BY 1 HAVING count(*) > 1""")
+ORACLES["fields_without_numbers"] = with_cte(["sold"], """
+SELECT 'Nothing' AS field, count(*) AS missing_count FROM sold""")
+ORACLES["dropped_columns"] = with_cte(["sold"], """
+SELECT 'sold' AS dataset, 'Rare' AS "column", 'More than 90% missing values' AS reason
+FROM sold HAVING count(*) FILTER (WHERE DaysOnMarket = -3) < 0.1 * count(*)""")
+ORACLES["unexpected_flags"] = union(
+    f"""SELECT * FROM (SELECT DISTINCT '{name}' AS field, lower({name}) AS value FROM orders
+  WHERE lower({name}) NOT IN ('true', '1', 'yes', 'false', '0', 'no') ORDER BY value LIMIT 5) t"""
+    for name in ("o_orderstatus", "o_orderpriority")
+)
+ORACLES["reports_of_both"] = with_cte(["sold", "listings"], union(
+    ORACLES["filter_counts"].rsplit(")\n", 1)[-1].replace("'sold'", f"'{name}'").replace("FROM sold", f"FROM {name}")
+    for name in ("sold", "listings")
+))

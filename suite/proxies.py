@@ -37,6 +37,15 @@ JOIN {supplier} s ON l.l_suppkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey
 JOIN {region} r ON n.n_regionkey = r.r_regionkey JOIN {part} p ON l.l_partkey = p.p_partkey
 """
 
+# Sales with segments of many values, rooms, and flags that an earlier step left as text.
+RICH = SOLD.replace("  l.l_shipdate AS CloseDate", """  l.l_shipdate AS CloseDate,
+  CASE WHEN l.l_orderkey % 83 = 0 THEN NULL ELSE 'area ' || CAST(l.l_partkey AS STRING) END AS MLSAreaMajor,
+  'office ' || CAST(l.l_suppkey AS STRING) AS ListOfficeName,
+  CASE WHEN l.l_orderkey % 3 = 0 THEN 'one buyer' ELSE 'buyer ' || CAST(o.o_custkey AS STRING) END AS BuyerOfficeName,
+  CASE WHEN l.l_partkey % 47 = 0 THEN -1 WHEN l.l_partkey % 43 = 0 THEN NULL ELSE l.l_linenumber END AS BedroomsTotal,
+  CASE WHEN l.l_partkey % 41 = 0 THEN -2 ELSE l.l_linenumber END AS BathroomsTotalInteger,
+  CASE l.l_partkey % 31 WHEN 0 THEN 'True' WHEN 1 THEN 'no' WHEN 2 THEN '0' ELSE NULL END AS earlier_flag""", 1)
+
 LISTINGS = """
 SELECT CAST(o.o_orderkey AS STRING) AS ListingKey,
   CASE WHEN o.o_orderkey % 11 = 0 THEN 'Land' ELSE 'Residential' END AS PropertyType,

@@ -431,3 +431,82 @@ def outlier_contracts(spark, sf_dir):
 def rate_contracts(spark, sf_dir):
     expected = table(spark, sf_dir, "lineitem").agg(F.count("*").alias("n")).scalar()
     return checks.check(enriched_sold(spark, sf_dir), checks.rate_checks(expected))
+
+
+# -- wider inputs and contracts ----------------------------------------------
+
+
+def rich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, proxies.RICH)
+
+
+@query
+def segments_many(spark, sf_dir):
+    # Rounded means of few doubles depend on their order; counts and medians of days do not.
+    return features.segment_summaries(features.engineer(rich(spark, sf_dir))).select(
+        "segment_field", "segment_value", "record_count", "closed_sales_count", "median_days_on_market",
+        "median_listing_to_contract_days", "median_contract_to_close_days",
+    )
+
+
+@query
+def invalid_rules_all(spark, sf_dir):
+    return quality.apply_rules(rich(spark, sf_dir)).select(
+        "ListingKey", "BedroomsTotal", "BathroomsTotalInteger",
+        *[rule.flag for rule in f.INVALID_RULES], f.ANY_INVALID_FLAG,
+    )
+
+
+@query
+def exclusion_earlier_flags(spark, sf_dir):
+    flagged = outliers.iqr_flags(rich(spark, sf_dir)).withColumnRenamed("earlier_flag", "invalid_close_price_flag")
+    return outliers.kept_rows(outliers.exclusion_flags(flagged)).select(
+        "ListingKey", f.ANY_OUTLIER_FLAG, f.BUSINESS_RULE_FLAG, f.EXCLUSION_FLAG
+    )
+
+
+@query
+def coerce_date_formats(spark, sf_dir):
+    dirty = view(spark, sf_dir, proxies.DIRTY)
+    return quality.coerce_types(dirty, ["date_text"], ["num_text"], ["MM/dd/yyyy"])
+
+
+@query
+def enrich_date_formats(spark, sf_dir):
+    text = sold(spark, sf_dir).select("ListingKey", F.date_format("CloseDate", "MM/dd/yyyy").alias("CloseDate"))
+    return rates.enrich_monthly(text, monthly_rates(spark, sf_dir), "CloseDate", ["MM/dd/yyyy"])
+
+
+@query
+def repeated_months(spark, sf_dir):
+    """Keys that a unique right side of a join may not repeat."""
+    raw = rates.select_rates(view(spark, sf_dir, proxies.RATES), rate="rate_text")
+    return events.repeated_keys(raw.select(year_month(F.col("date")).alias("year_month")), ["year_month"])
+
+
+@query
+def fields_without_numbers(spark, sf_dir):
+    wide = sold(spark, sf_dir).withColumn("Nothing", F.lit(None).cast("double"))
+    thresholds = outliers.iqr_thresholds(wide, ["ClosePrice", "Nothing"])
+    return thresholds.filter("non_missing_count = 0").select("field", "missing_count")
+
+
+@query
+def dropped_columns(spark, sf_dir):
+    wide = sold(spark, sf_dir).withColumn("Rare", F.when(F.col("DaysOnMarket") == -3, "x"))
+    return quality.dropped_report(spark, {"sold": quality.sparse_columns(quality.missingness(wide))})
+
+
+@query
+def unexpected_flags(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return checks.unexpected_flags(orders, ["o_orderstatus", "o_orderpriority"])
+
+
+@query
+def reports_of_both(spark, sf_dir):
+    reports = [
+        quality.filter_counts(df, F.col("PropertyType") == "Residential", name)
+        for name, df in (("sold", sold(spark, sf_dir)), ("listings", listings(spark, sf_dir)))
+    ]
+    return quality.union_by_name(reports)

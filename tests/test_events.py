@@ -94,6 +94,26 @@ def test_duplicates_leave_missing_keys_out(spark, market):
     assert events.duplicate_identity(df, ["k"]).count() == 2
 
 
+def test_a_hot_identity_is_spread(spark):
+    rows = spark.range(20_000, numPartitions=4).selectExpr(
+        "if(id % 10 < 9, 'hot', CAST(id AS string)) AS ListingKey",
+        "if(id % 2 = 0, 'New Listing', 'Closed Sale') AS EventType", "id AS n")
+    # Equal rows too: no column tells the copies apart.
+    events_ = rows.unionByName(rows.limit(100)).drop("n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = events.duplicate_identity(events_)
+        sizes = [r["n"] for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) >= 18_000 and max(sizes) < 0.5 * sum(sizes)
+        assert found.filter("ListingKey = 'hot'").select("EventType", "copies").distinct().count() == 2
+    finally:
+        for name in ("autoBroadcastJoinThreshold", "shuffle.partitions", "adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(f"spark.sql.{name}")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_coverage(market):
     rows = {(r["event_type"], r["field"]): r for r in events.field_coverage(market).collect()}
     assert len(rows) == 14

@@ -151,3 +151,31 @@ def test_reports_are_written(spark, steps, tmp_path):
     pipelines.write_reports(reports, str(tmp_path))
     back = files.read_table(spark, f"{tmp_path}/coverage", "csv")
     assert back.count() == 14
+
+
+def test_dates_in_another_format(spark, feed, tmp_path):
+    """All steps on dates like 01/20/2024, as they come and before any cleaning."""
+    import re
+
+    for name in ("Sold202401.csv", "Listing202401.csv", "rates.csv"):
+        text = (feed / name).read_text()
+        (tmp_path / name).write_text(re.sub(r"(\d{4})-(\d\d)-(\d\d)", r"\2/\3/\1", text))
+    formats, work = ["MM/dd/yyyy"], str(tmp_path / "work")
+    monthly = pipelines.rates.monthly_average(files.read_rates(spark, f"{tmp_path}/rates.csv", formats=formats))
+    cleaned = {}
+    for dataset, date in (("Listing", "ListingContractDate"), ("Sold", "CloseDate")):
+        table = pipelines.ingest(spark, f"{tmp_path}/{dataset}2*.csv", dataset, work)["table"]
+        explored = pipelines.explore_sold(table, formats=formats) if dataset == "Sold" else {}
+        if explored:
+            assert explored["close_before_listing"].first()[0] == 0
+        enriched = pipelines.enrich(table, monthly, date, dataset, formats=formats)["table"]
+        assert enriched.filter("year_month IS NULL").count() == 0
+        cleaned[dataset] = pipelines.clean(enriched, dataset, formats=formats)["table"]
+    sold = pipelines.engineer(cleaned["Sold"], formats=formats)["table"]
+    kept = pipelines.remove_outliers(sold)["table"]
+    built = pipelines.build_events(cleaned["Listing"], kept, work, ordered=True)
+    assert built["table"].filter("EventType = 'New Listing'").count() == 20
+    assert built["table"].filter("EventMonth IS NULL").count() == 0
+    direct = pipelines.events.listing_events(
+        spark.read.option("header", True).csv(f"{tmp_path}/Listing202401.csv"), formats=formats)
+    assert direct.count() == 20
