@@ -5,9 +5,8 @@ from __future__ import annotations
 import csv
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from deedflow.functions.scalars import na_to_null, ref
@@ -77,9 +76,12 @@ def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[s
 
     Only a file whose first line leaves a quote open is probed by itself.
     """
-    first = spark.read.text(list(paths)).select(
-        _decoded(F.col("_metadata.file_path")).alias("path"), "value"
-    ).where("_metadata.file_block_start = 0").mapInArrow(_first_lines, "path string, value string")
+    lines = spark.read.text(list(paths)).select(
+        _decoded(F.col("_metadata.file_path")).alias("path"), "value",
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"),
+    )
+    # Rows of the first block of a file are numbered in their order.
+    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "row").alias("value"))
     # One line per file.
     lines = {_plain_path(row["path"]): row["value"] for row in first.collect()}
     headers = {}
@@ -93,18 +95,6 @@ def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[s
     return headers
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of each path; a task reads the start of a file in order."""
-    last = None
-    for batch in batches:
-        kept = []
-        for k, path in enumerate(batch.column(0).to_pylist()):
-            if path != last:
-                kept.append(k)
-                last = path
-        yield batch.take(pa.array(kept, pa.int64()))
-
-
 def file_labels(paths: Iterable[str]) -> dict[str, str]:
     """A name per path: the file name, with as many folders before it as it takes to tell all apart."""
     split = {path: _plain_path(path).split("/") for path in paths}
