@@ -8,10 +8,10 @@ one task. The plan here has no such limit:
    rank range of each cell. They are pre-aggregated before the shuffle, and a
    group has at most a few thousand of them however many rows it holds.
 2. Only the cells that hold a wanted rank are opened: their values are counted
-   once each, and each cell is cut into equal parts between its least and its
-   largest value, `STEPS` times. A step counts the parts and keeps those that hold a wanted
-   rank. A cell holds 2 ** 42 different doubles, so what remains to be ranked one by
-   one is bounded, and so is every window, however many values share a cell.
+   once each, and each cell is cut into `PARTS` equal parts between its least and its
+   largest value. Parts are counted, and only those that hold a wanted rank are ranked
+   value by value. A cell holds 2 ** 42 different doubles, so a window sees some 2 ** 21
+   parts or values at most, however many rows share a cell.
 
 The table is scanned twice, and only cell counts and opened cells are shuffled.
 The wanted cells of a whole table are broadcast, as fields and quantiles
@@ -31,9 +31,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from deedflow.functions.scalars import ref, to_double
 
 CELLS_PER_OCTAVE = 1024
-# Parts that a step cuts a cell into, and the number of steps.
-PARTS = 8192
-STEPS = 2
+# Parts that a wanted cell is cut into.
+PARTS = 1 << 21
+PART = "_part"
 # Lifts the logarithm of the smallest double above zero.
 CELL_OFFSET = 1100 * CELLS_PER_OCTAVE
 LARGEST_DOUBLE = 1.7976931348623157e308
@@ -212,25 +212,24 @@ def _exact(df, fields, quantiles, by, moments) -> DataFrame:
     opened = celled.filter(f"NOT ({plain})").join(wanted, _same(names, keyed, len(by))).groupBy(
         *names, VALUE, "_start", "_low", "_high", "_summary"
     ).agg(F.expr(f"sum({weight}) AS _n"))
-    for step in range(STEPS):
-        part = f"_part{step}"
-        opened = opened.withColumn(part, F.expr(_part(VALUE)))
-        inner = [*names, part]
-        counted = opened.groupBy(*inner).agg(
-            F.expr("sum(_n) AS _n"), F.expr(f"min({VALUE}) AS _new_low"), F.expr(f"max({VALUE}) AS _new_high"),
-            F.expr("first(_start) AS _start"), F.expr("first(_summary) AS _summary"),
-        ).selectExpr(
-            *inner, "_n", "_new_low", "_new_high", "_summary.non_missing_count AS non_missing_count",
-            f"_start + sum(_n) OVER (PARTITION BY {', '.join(names)} ORDER BY {part}) - _n AS _start",
-        ).filter(f"non_missing_count = 0 OR {_wanted(probabilities)}")
-        kept = counted.selectExpr(
-            *[f"{name} AS _k{i}" for i, name in enumerate(inner)], "_new_low", "_new_high", "_start AS _new_start")
-        opened = opened.join(kept, _same(inner, [f"_k{i}" for i in range(len(inner))], len(by))).selectExpr(
-            *inner, VALUE, "_n", "_summary", "_new_start AS _start", "_new_low AS _low", "_new_high AS _high")
-        names = inner
+    opened = opened.withColumn(PART, F.expr(_part(VALUE)))
+    inner = [*names, PART]
+    kept = opened.groupBy(*inner).agg(
+        F.expr("sum(_n) AS _n"), F.expr("first(_start) AS _start"),
+        F.expr("first(_summary.non_missing_count) AS non_missing_count"),
+    ).selectExpr(
+        *inner, "_n", "non_missing_count",
+        f"_start + sum(_n) OVER (PARTITION BY {', '.join(names)} ORDER BY {PART}) - _n AS _start",
+    ).filter(f"non_missing_count = 0 OR {_wanted(probabilities)}").selectExpr(
+        *[f"{name} AS _k{i}" for i, name in enumerate(inner)], "_start AS _part_start")
+    if not by:
+        # Bounded as the wanted cells are.
+        kept = F.broadcast(kept)
+    opened = opened.join(kept, _same(inner, [f"_k{i}" for i in range(len(inner))], len(by)))
+    names = inner
     before = f"sum(_n) OVER (PARTITION BY {', '.join(names)} ORDER BY {VALUE}) - _n"
     rest = [f"_summary.{name}" for name in SUMMARY]
-    ranked = opened.selectExpr(*keys, VALUE, "_n", *rest, f"_start + {before} AS _start")
+    ranked = opened.selectExpr(*keys, VALUE, "_n", *rest, f"_part_start + {before} AS _start")
     measures = [f"first({name}) AS {name}" for name in SUMMARY]
     for i, p in enumerate(probabilities):
         for side in ("floor", "ceil"):
