@@ -15,7 +15,7 @@ A leaf pair returns a spanning star of its links, not all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -199,27 +199,37 @@ def clusters(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     fingerprint 0 and are a group like any other; no rows give no rows.
     """
     rows = staged(fingerprints(docs, shingle), "fingerprints")
-    first = F.struct(F.col("doc_id").isNull().alias("_null"), F.col("doc_id").alias("_id"), F.col("_text").alias("_text"))
-    fps = staged(rows.groupBy("fp").agg(F.min(first).alias("first")), "distinct-fingerprints")
-    grouped = components(links(fps, distance)).select(F.col("node").alias("fp"), "root")
-    linked = fps.join(grouped, "fp")
-    firsts = linked.groupBy("root").agg(F.min("first").alias("best"))
-    best = linked.select("fp", "root").join(firsts, "root").select("fp", "best")
-    # Written, so that the join of all rows has exchanges of its own and a hot fingerprint is split.
-    named = staged(fps.join(best, "fp", "left").selectExpr("fp", "coalesce(best, first) AS representative"), "groups")
-    return rows.join(named, "fp").select(
+    return grouped(rows, "fp", lambda fps: links(fps, distance)).select(
         "doc_id", "_text", "fp", F.col("representative._id").alias("component_id"), "representative"
     )
 
 
+def grouped(rows: DataFrame, key: str, linked_by: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Staged rows (`doc_id`, `_text`, `key`) with the `representative` of all keys that links connect."""
+    first = F.struct(F.col("doc_id").isNull().alias("_null"), F.col("doc_id").alias("_id"), F.col("_text").alias("_text"))
+    keys = staged(rows.groupBy(key).agg(F.min(first).alias("first")), "distinct-keys")
+    roots = components(linked_by(keys)).select(F.col("node").alias(key), "root")
+    linked = keys.join(roots, key)
+    firsts = linked.groupBy("root").agg(F.min("first").alias("best"))
+    best = linked.select(key, "root").join(firsts, "root").select(key, "best")
+    # Written, so that the join of all rows has exchanges of its own and a hot key is split.
+    named = staged(keys.join(best, key, "left").selectExpr(key, "coalesce(best, first) AS representative"), "groups")
+    return rows.join(named, key)
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The rows of `docs` that represent their group, once each, with all their columns."""
+    return representing(docs, clusters(docs, shingle, distance))
+
+
+def representing(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of `docs` that are a `representative` in `groups`, once each, with all their columns."""
     keys = ["_k_null", "_k_id", "_k_text"]
-    kept = clusters(docs, shingle, distance).select("representative").distinct().selectExpr(
+    kept = groups.select("representative").distinct().selectExpr(
         "representative._null AS _k_null", "coalesce(representative._id, 0L) AS _k_id",
         "representative._text AS _k_text")
     rows, names = masked(docs)
