@@ -162,6 +162,19 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.toxicity(empty(spark), labels).count() == 0
 
 
+def test_pipeline_decides_by_the_threshold_of_the_language(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "fit", lambda *_: (toxicity.Model(), {"en": 0.0, "de": 1.0}))
+    docs = documents(spark)
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    scored = toxicity.toxicity(docs, labels).collect()
+    kept = toxicity.accepted(docs, labels)
+    assert kept.columns == docs.columns
+    langs = [r.lang for r in kept.select("lang").collect()]
+    assert "en" not in langs
+    assert langs.count("de") == docs.filter("lang = 'de'").count()
+    assert len(langs) == sum(not r.flagged for r in scored) != sum(r.predicted == 0 for r in scored)
+
+
 def test_long_texts_are_scored_whole():
     model = toxicity.train(
         toxicity.word_ids(["good day to you"] * 40 + ["good day stupid clown to you"] * 40), np.array([0] * 40 + [1] * 40, np.float32))
