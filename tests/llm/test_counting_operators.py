@@ -162,6 +162,23 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.toxicity(empty(spark), labels).count() == 0
 
 
+@pytest.mark.parametrize("labelled", [[], [(1, 1), (2, 1)], [(1, 0), (2, 0)]])
+def test_toxicity_without_both_labels_rejects_nothing(spark, labelled):
+    labels = spark.createDataFrame(labelled, "doc_id long, toxic int")
+    found = toxicity.toxicity(documents(spark), labels).collect()
+    assert len({r.score for r in found}) == 1 and not any(r.predicted or r.flagged for r in found)
+    assert toxicity.accepted(documents(spark), labels).count() == len(rows())
+
+
+def test_toxicity_learns_once_from_rows_of_one_id(spark, monkeypatch):
+    learned = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic: learned.append(len(texts)) or toxicity.Model())
+    data = [r for r in rows() if r[0] in (1, 2, 3, 4)] + [(3, f"another text {k}", *rows()[3][2:]) for k in range(500)]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id long, toxic int")
+    toxicity.fit(documents(spark, data), labels, folds=1000)
+    assert max(learned) <= 4
+
+
 def test_pipeline_decides_by_the_threshold_of_the_language(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit", lambda *_: (toxicity.Model(), {"en": 0.0, "de": 1.0}))
     docs = documents(spark)
