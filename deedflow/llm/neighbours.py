@@ -3,20 +3,23 @@
 Vectors are projected to a few dimensions by seeded random directions, shifted, and
 ordered along a Hilbert curve; every curve has directions and a shift of its own.
 Spark range-partitions each order, and ranks along it cut it into blocks of
-`WINDOW` rows. A query meets the rows at most `WINDOW` places away, which lie in its own block and
-the two beside it, and the best of all curves are merged and ranked by the exact
+at most `BLOCK` rows. A query meets the rows at most a window away, in its own block and
+those beside it, and the best of all curves are merged and ranked by the exact
 inner product of the original vectors.
 
 Equal vectors are one point of the curve. A point keeps its smallest ids only,
 as many as a result can show, so a vector shared by a third of all rows is one
 row of the search and loses no neighbour.
 
-The share of true neighbours found depends on `WINDOW * CURVES` against the table for
-vectors without structure, and on structure otherwise; the work grows in proportion to the table.
+The share of true neighbours found depends on the window against the table for
+vectors without structure, and on structure otherwise. So the window is `WINDOW` rows, or `SHARE` of the
+points if that is more: four curves of twice this share meet 92% of any table by chance alone. The work
+grows with the square of a large table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,11 @@ EVERY = 20
 CURVES = 4
 PROJECTED = 6
 BITS = 10
+# Rows on either side of a query: this many, and on larger tables a fixed share of the table.
 WINDOW = 12_000
+SHARE = 0.234
+# Rows of a block, at most.
+BLOCK = 12_000
 SEED = 5
 
 
@@ -92,7 +99,12 @@ def points(vectors: DataFrame) -> DataFrame:
     return staged(packed, "vectors")
 
 
-def _ordered(shapes: DataFrame, curves: int, window: int, size: int) -> DataFrame:
+def reach(count: int) -> int:
+    """Rows on either side of a query that keep the recall on a table of `count` points."""
+    return max(WINDOW, math.ceil(SHARE * count))
+
+
+def _ordered(shapes: DataFrame, curves: int, size: int) -> DataFrame:
     """Every point on every curve: `curve`, `place` from 0."""
     rng = np.random.default_rng(SEED)
     axes = rng.standard_normal((curves, PROJECTED, size)) / np.sqrt(size)
@@ -130,12 +142,12 @@ def _ordered(shapes: DataFrame, curves: int, window: int, size: int) -> DataFram
 
 
 def neighbours(
-    vectors: DataFrame, nearest: int = NEAREST, every: int = EVERY, curves: int = CURVES, window: int = WINDOW
+    vectors: DataFrame, nearest: int = NEAREST, every: int = EVERY, curves: int = CURVES, window: int | None = None
 ) -> DataFrame:
     """For each query its `nearest` candidates found: `query_id`, `rank` from 1, `vec_id`, `score`.
 
     Queries are rows whose `vec_id` is divisible by `every`; candidates are all
-    rows but the query's own. Scores are inner products in double precision; ties go to the
+    rows but the query's own. Without a `window` it follows from the table by `reach`. Scores are inner products in double precision; ties go to the
     smaller id. All vectors have the length of the first; others are left out.
     """
     spark = vectors.sparkSession
@@ -153,12 +165,15 @@ def neighbours(
         F.first("vector").alias("vector"), F.max((F.pmod("vec_id", F.lit(every)) == 0).cast("int")).alias("asks")
     ).join(ids, "point")
     shapes = staged(shapes, "points")
-    ordered = _ordered(shapes, curves, window, first["n"] // 8)
-    placed = ordered.join(shapes, "point").withColumn("block", F.expr(f"place div {window}"))
+    window = window or reach(shapes.count())
+    block = min(window, BLOCK)
+    ordered = _ordered(shapes, curves, first["n"] // 8)
+    placed = ordered.join(shapes, "point").withColumn("block", F.expr(f"place div {block}"))
     columns = ["curve", "block", "place", "point", "vector"]
     targets = placed.select(*columns, "ids", F.lit(False).alias("asks"))
     queries = placed.filter("asks = 1").select(
-        "curve", F.explode(F.expr("array(block - 1, block, block + 1)")).alias("block"), "place", "point", "vector",
+        "curve", F.explode(F.expr(
+            f"sequence(greatest(place - {window}, 0L) div {block}, (place + {window}) div {block})")).alias("block"), "place", "point", "vector",
         F.lit(None).cast("array<long>").alias("ids"), F.lit(True).alias("asks"))
 
     schema = pa.schema([

@@ -138,6 +138,21 @@ def test_neighbours_in_narrow_windows_reach_the_recall(spark):
     assert hits / (20 * found.query_id.nunique()) >= 0.9
 
 
+def test_neighbours_keep_the_recall_on_larger_tables(spark, monkeypatch):
+    # The bounds are scaled down, so that the table is many times larger than the least window.
+    monkeypatch.setattr(neighbours, "WINDOW", 100)
+    monkeypatch.setattr(neighbours, "BLOCK", 100)
+    matrix = np.random.default_rng(8).standard_normal((4000, 64))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(matrix)], "vec_id long, embedding array<double>")
+    found = neighbours.neighbours(df).toPandas()
+    hits = 0
+    for query, group in found.groupby("query_id"):
+        score = matrix @ matrix[query]
+        score[query] = -np.inf
+        hits += len(set(np.argsort(-score)[:20]) & set(group.vec_id))
+    assert len(found) == 4000 and hits / 4000 >= 0.9
+
+
 def test_hilbert_neighbours_touch():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = neighbours.hilbert_keys(cells, 3)
