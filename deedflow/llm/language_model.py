@@ -481,8 +481,8 @@ def _scored(settings: Settings, counts: list[bytes], blobs: list[tuple[int, byte
         texts, place = np.unique(doc[at:at + size] // 2, return_inverse=True)
         m = times[at:at + size].astype(np.int64)
         sums = np.stack([np.bincount(place, x, len(texts)) for x in (m * steps[k], m * base[k], m * (known[k] > 0))])
-        data = zstandard.compress(texts.astype(np.int32).tobytes() + sums[0].astype(np.int32).tobytes()
-                                  + sums[2].astype(np.int32).tobytes() + sums[1].tobytes(), 1)
+        data = zstandard.compress(texts.astype(np.int32).tobytes() + sums[2].astype(np.int32).tobytes()
+                                  + sums[0].astype(np.int64).tobytes() + sums[1].tobytes(), 1)
         yield _rows(TOKENS, [0], chunk, [data])
         at += size
 
@@ -531,11 +531,11 @@ def _gathered(shared):
                              zero.copy(), zero.copy(), np.zeros(len(ids), np.int64))
                 else:
                     raw = zstandard.decompress(data)
-                    size = len(raw) // 20
-                    texts, steps, known = np.frombuffer(raw, np.int32, 3 * size).reshape(3, size)
-                    state[4][texts] += steps
+                    size = len(raw) // 24
+                    texts, known = np.frombuffer(raw, np.int32, 2 * size).reshape(2, size)
+                    state[4][texts] += np.frombuffer(raw, np.int64, size, 8 * size)
                     state[6][texts] += known
-                    state[5][texts] += np.frombuffer(raw, np.float64, size, 12 * size)
+                    state[5][texts] += np.frombuffer(raw, np.float64, size, 16 * size)
         if state is not None:
             yield done()
     return gather

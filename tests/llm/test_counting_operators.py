@@ -88,6 +88,16 @@ def test_model_beats_unigrams_on_held_out_texts(spark):
     assert found.score.sum() > found.base_score.sum()
 
 
+def test_score_of_a_very_long_text_does_not_overflow(spark):
+    # All steps of an unknown word lie in one shard, and together they pass 32 bits.
+    name, count = next(k for k in range(1000, 2000) if held(k, 10)), 600_000
+    data = [*rows(), (name, "unseen " * count, "en", "a", 0, "x", 0.0, 0, 0)]
+    found = next(r for r in language_model.scores(documents(spark, data)).collect() if r.doc_id == name)
+    assert found.held_out and found.n_tokens == count + 1
+    assert found.base_score * language_model.STEPS < -2**31
+    assert abs(found.score - found.base_score) < 0.0005 * count + 30
+
+
 def test_scores_of_no_rows_and_of_no_training_rows(spark):
     assert language_model.scores(empty(spark)).count() == 0
     out = [r for r in rows() if held(r[0], 10)][:2]
