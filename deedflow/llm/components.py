@@ -16,8 +16,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large stars hang every larger neighbour of a node on its least neighbour, small
     stars every smaller one; both keep components whole. The edges of a node
-    meet only in a pre-aggregated minimum and a join that adaptive execution
-    splits. The rounds end when the edges are stars; every round is written to the shared folder.
+    meet in a pre-aggregated minimum and in a join with it, which streams them through one
+    task: the aggregate has no exchange of its own, so adaptive execution does not split a hot node.
+    The rounds end when the edges are stars; every round is written to the shared folder.
     """
     edges = staged(edges.filter("u <> v").selectExpr("greatest(u, v) AS u", "least(u, v) AS v").distinct(), "edges")
     state = _state(edges)

@@ -112,7 +112,7 @@ FROM docs d LEFT JOIN lost l USING (doc_id)
 def op7_toxicity(spark, sf_dir):
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select(
-        "doc_id", (toxicity.fold(toxicity.FOLDS) == 0).alias("held_out"), "score", "predicted", "flagged"
+        "doc_id", F.coalesce(toxicity.fold(toxicity.FOLDS) == 0, F.lit(False)).alias("held_out"), "score", "predicted", "flagged"
     )
 
 
