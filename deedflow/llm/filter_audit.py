@@ -1,8 +1,8 @@
 """What each of several filters removes, alone and in every order, from a sparse document-term matrix.
 
 Tasks build shards of the matrix in compressed sparse rows with a vocabulary
-of their own. The words of all vocabularies form one dictionary, numbered in
-global order, and each shard is written anew with these numbers. Only
+of their own. The words of all vocabularies meet once, by word, and get the
+numbers of one dictionary; each shard is then built anew with these numbers. Only
 vocabularies and shards are shuffled, never single words of texts. Row sums (words) and numbers of
 nonzeros (different words) decide two of the filters; the rest are flags of the text.
 
@@ -19,12 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from deedflow.llm.common import UPPER, staged
-from deedflow.llm.ordered import numbered
 
 FILTERS = "ABCDE"
 FEW_WORDS = 200
@@ -39,14 +39,22 @@ MATRIX = f"{ROWS}, starts binary, indices binary, counts binary"
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Unsigned numbers in little space: equal bytes of all numbers side by side."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    """Unsigned numbers in little space: steps from one to the next, equal bytes of all steps side by side."""
+    steps = values - np.concatenate([np.zeros(1, values.dtype), values[:-1]])[:len(values)]
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(len(values), -1).T)
     return zstandard.compress(planes.tobytes(), 1)
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(kind).reshape(-1), dtype=kind)
+
+
+def _stored(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 class _Shard:
@@ -73,14 +81,15 @@ class _Shard:
         starts = np.concatenate([[0], np.cumsum([len(row) for row in self.indices])]).astype(np.uint64)
         ids, langs, digests, flags = zip(*self.rows)
         columns = {
-            "part": pa.array([part], pa.int32()), "run": pa.array([run], pa.int32()),
             "doc_ids": pa.array([ids], pa.list_(pa.int64())), "langs": pa.array([langs], pa.list_(pa.string())),
             "digests": pa.array([digests], pa.list_(pa.binary())), "flags": pa.array([flags], pa.list_(pa.int32())),
             "starts": pa.array([packed(starts)]), "indices": pa.array([packed(np.concatenate(self.indices))]),
             "counts": pa.array([packed(np.concatenate(self.counts))]),
-            "words": pa.array([list(self.words)], pa.list_(pa.binary())),
         }
-        return pa.RecordBatch.from_pydict(columns)
+        # One value, as many NULL lists beside it would cost the exchange with Python the square of their number.
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([run], pa.int32()), pa.array([_stored(pa.RecordBatch.from_pydict(columns))]),
+             pa.array([list(self.words)], pa.list_(pa.binary()))], ["part", "run", "shard", "words"])
 
 
 def _local_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,33 +104,46 @@ def _local_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield shard.batch(part, run)
 
 
+def _words_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the different words of a sorted partition; of each word only the first row keeps its text."""
+    part, last, run = TaskContext.get().partitionId(), None, -1
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        words = batch.column("word")
+        new = pa.concat_arrays([
+            pa.array([last != words[0].as_py()]), pc.not_equal(words.slice(1), words.slice(0, len(words) - 1))])
+        runs = run + np.cumsum(new.to_numpy(zero_copy_only=False))
+        last, run = words[-1].as_py(), int(runs[-1])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("part"), batch.column("run"), batch.column("local"), pc.if_else(new, words, pa.scalar(None, words.type)),
+             pa.array(np.full(len(words), part, np.int32)), pa.array(runs)],
+            ["part", "run", "local", "word", "_part", "_run"])
+
+
 def _renumbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shards with global numbers; before each come the rows of its vocabulary."""
     places, numbers = [], []
     for batch in batches:
-        kinds = batch.column("is_shard").to_numpy(zero_copy_only=False)
-        place, number = batch.column("local").to_numpy(zero_copy_only=False), batch.column("term").to_numpy(zero_copy_only=False)
-        at = 0
-        for row in np.nonzero(kinds)[0]:
+        place, number = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("local", "term"))
+        shards, at = batch.column("shard"), 0
+        for row in np.flatnonzero(shards.is_valid().to_numpy(zero_copy_only=False)):
             places.append(place[at:row])
             numbers.append(number[at:row])
-            # NULL in the rows of shards turns the columns into floats, exact up to 2 ** 53.
-            known = np.concatenate(places).astype(np.int64)
+            known = np.concatenate(places)
             terms = np.zeros(len(known), np.uint64)
             terms[known] = np.concatenate(numbers).astype(np.uint64)
             places, numbers, at = [], [], row + 1
-            shard = batch.slice(row, 1)
+            (shard,) = pa.ipc.open_stream(shards[row].as_py())
             local = unpacked(shard.column("indices")[0].as_py(), np.uint32)
-            names = [name for name in shard.schema.names if name not in ("is_shard", "local", "term")]
-            columns = {name: shard.column(name) for name in names}
-            columns["indices"] = pa.array([packed(terms[local])])
-            yield pa.RecordBatch.from_pydict(columns)
+            at_indices = shard.schema.get_field_index("indices")
+            yield shard.set_column(at_indices, "indices", pa.array([packed(terms[local])]))
         places.append(place[at:])
         numbers.append(number[at:])
 
 
 def term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The dictionary (`word`, `term` from 0 in order of bytes) and the matrix in shards of rows.
+    """The dictionary (`word`, `term` from 0 without gaps) and the matrix in shards of rows.
 
     A shard has the rows' `doc_ids`, `langs`, `digests` of the texts and `flags`, and `starts`, `indices` and
     `counts` in packed form (`unpacked`, of 64, 64 and 32 bits). Words are what stands between white space. NULL is an empty text, which has
@@ -131,16 +153,26 @@ def term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.coalesce(F.col("text"), F.lit("")).alias("text")
     ).select("doc_id", "lang", F.col("text").cast("binary").alias("text"), F.length("text").alias("points"))
-    shards = staged(rows.mapInArrow(_local_shards, f"part int, run int, {MATRIX}, words array<binary>"), "local-shards")
+    shards = staged(rows.mapInArrow(_local_shards, "part int, run int, shard binary, words array<binary>"), "local-shards")
+    # A word comes once per shard at most, however frequent it is.
     words = shards.select("part", "run", F.posexplode("words").alias("local", "word"))
-    dictionary = numbered(words.select("word").distinct(), ["word"], "dictionary").withColumnRenamed("_at", "term")
-    # A word comes once per shard at most, and the dictionary is written: a frequent word can be split.
-    known = words.join(dictionary, "word").selectExpr("part", "run", "false AS is_shard", "CAST(local AS long) AS local", "term")
-    names = [field.split()[0] for field in MATRIX.split(", ")]
-    both = known.unionByName(
-        shards.selectExpr("part", "run", "true AS is_shard", *names), allowMissingColumns=True)
-    matrix = both.repartition("part", "run").sortWithinPartitions("part", "run", "is_shard").select(
-        "is_shard", "local", "term", *names).mapInArrow(_renumbered, MATRIX)
+    words = words.repartition("word").sortWithinPartitions("word").mapInArrow(
+        _words_in_order, "part int, run int, local int, word binary, _part int, _run long")
+    words = staged(words, "dictionary")
+    # One row per partition.
+    offsets, at = [], 0
+    for row in words.groupBy("_part").agg(F.max("_run").alias("last")).orderBy("_part").collect():
+        offsets.append((row["_part"], at))
+        at += row["last"] + 1
+    offsets = F.broadcast(docs.sparkSession.createDataFrame(offsets, "_part int, _offset long"))
+    known = words.join(offsets, "_part").selectExpr("part", "run", "local", "_offset + _run AS term", "word")
+    dictionary = known.filter("word IS NOT NULL").select("word", "term")
+    # The rows of a shard's vocabulary, then the shard.
+    key = "shiftleft(CAST(part AS long), 32) + 2L * run"
+    both = known.selectExpr(f"{key} AS key", "local", "term", "CAST(NULL AS binary) AS shard").unionByName(
+        shards.selectExpr(f"{key} + 1 AS key", "0 AS local", "0L AS term", "shard"))
+    matrix = both.repartition(F.expr("key div 2")).sortWithinPartitions("key").select("local", "term", "shard").mapInArrow(
+        _renumbered, MATRIX)
     return dictionary, matrix
 
 
@@ -199,18 +231,14 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Columns: `part`, `filter_order`, `step`, `kept`, `removed`, `redundant`, `unique_fails`,
     `good_lost`, `toxic_lost`, `shapley`. No documents give no rows. Other columns are not looked at.
     """
-    orders = ", ".join("'" + "".join(order) + "'" for order in itertools.permutations(FILTERS))
+    bit = {letter: 1 << k for k, letter in enumerate(FILTERS)}
+    steps = [
+        f"struct('{''.join(order)}' AS filter_order, {k + 1} AS step, {bit[letter]} AS own, {sum(bit[l] for l in order[:k])} AS earlier)"
+        for order in itertools.permutations(FILTERS) for k, letter in enumerate(order)
+    ]
     # At most one entry per mask.
     parts = failing_groups(docs, labels).groupBy("part").agg(F.expr("collect_list(struct(mask, n, good, toxic)) AS masks"))
-    steps = parts.selectExpr("*", f"explode(array({orders})) AS filter_order").selectExpr(
-        "*", f"explode(sequence(1, {len(FILTERS)})) AS step")
-
-    def bit(place: str) -> str:
-        return f"shiftleft(1, ascii(substring(filter_order, {place}, 1)) - {ord(FILTERS[0])})"
-
-    steps = steps.selectExpr(
-        "*", f"{bit('step')} AS own",
-        f"aggregate(filter(sequence(1, {len(FILTERS)}), x -> x < step), 0, (s, x) -> s | {bit('x')}) AS earlier")
+    steps = parts.selectExpr("*", f"inline(array({', '.join(steps)}))")
 
     def total(value: str, condition: str, name: str) -> str:
         return f"aggregate(masks, 0L, (s, e) -> s + if({condition}, {value}, 0L)) AS {name}"

@@ -94,21 +94,6 @@ def scanned(
         *([f"if({goes_on} AND _run = 0, _behind, _lag) AS _lag"] if lag else []))
 
 
-def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """All rows, staged in order, with their place `_at` from 0."""
-    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    table = staged(rows.select(
-        "*", F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_run")), name)
-    counts, offsets, at = table.groupBy("_part").count().orderBy("_part").collect(), [], 0
-    for row in counts:
-        offsets.append((row["_part"], at))
-        at += row["count"]
-    # One row per partition.
-    offsets = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part int, _offset long"))
-    return table.join(offsets, "_part").select(*df.columns, F.expr("_offset + _run").alias("_at"))
-
-
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Joins the arcs of a task to the longest paths that lie in it."""
     parts = [batch for batch in batches if batch.num_rows]
