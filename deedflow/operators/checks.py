@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from deedflow import fields as f
 from deedflow.functions.scalars import any_of, flag_word, is_finite, is_true, is_year_month, ref
@@ -85,6 +85,12 @@ def check(df: DataFrame, violations: Mapping[str, Column]) -> DataFrame:
     ])
 
 
+def check_counts(spark: SparkSession, violations: Mapping[str, int]) -> DataFrame:
+    """The same rows from numbers that are known, such as those observed while a table was written."""
+    rows = [(name, int(count), count == 0) for name, count in violations.items()]
+    return spark.createDataFrame(rows, "check string, violations long, passed boolean")
+
+
 def enforce(report: DataFrame) -> None:
     failed = [f"{row['check']} ({row['violations']})" for row in report.collect() if not row["passed"]]
     if failed:

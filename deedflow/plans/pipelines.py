@@ -9,9 +9,9 @@ lazy unless a folder is given. Reports stay lazy too; `write_reports` saves them
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from deedflow import fields as f
 from deedflow.operators import checks, events, explore, features, outliers, quality, rates
@@ -19,6 +19,7 @@ from deedflow.operators.reports import row_count
 from deedflow.sources import files, sinks, staging
 
 Tables = dict[str, DataFrame]
+ROWS_UNCHANGED = "row_count_unchanged"
 
 
 def _rows(df: DataFrame):
@@ -29,6 +30,39 @@ def _kept(df: DataFrame, folder: str | None, name: str) -> DataFrame:
     return df if folder is None else sinks.stage(df, folder, name)
 
 
+def _verified(
+    source: DataFrame, build: Callable[[DataFrame], DataFrame], folder: str | None, name: str,
+    checked: Callable[[Column | int], Mapping[str, Column]],
+) -> tuple[DataFrame, DataFrame]:
+    """The table that a step builds of `source`, and its enforced checks, of which one compares their rows.
+
+    The write of a staged table observes the rows read, the rows written and all checks, so that nothing is
+    scanned for them. A lazy table is checked by one aggregation.
+    """
+    if folder is None:
+        table, observed = build(source), {}
+    else:
+        read = Observation(f"source of {name}")
+        table, observed = sinks.stage_observed(
+            build(source.observe(read, row_count().alias("rows"))), folder, name, checked(0))
+        observed |= {ROWS_UNCHANGED: abs(observed.get(ROWS_UNCHANGED, 0) - read.get.get("rows", -1))}
+    return table, _enforced(table, observed, lambda: checked(_rows(source)))
+
+
+def _enforced(
+    table: DataFrame, observed: Mapping[str, int], checked: Callable[[], Mapping[str, Column]]
+) -> DataFrame:
+    """Checks from observed numbers if all of them hold, else from the table itself.
+
+    A task that ran twice may have been observed twice, so a violation is only believed after a scan.
+    """
+    if observed and not any(observed.values()):
+        return checks.check_counts(table.sparkSession, observed)
+    report = checks.check(table, checked())
+    checks.enforce(report)
+    return report
+
+
 def write_reports(tables: Mapping[str, DataFrame], folder: str) -> None:
     for name, table in tables.items():
         sinks.write_report(table, f"{folder}/{name}")
@@ -54,10 +88,10 @@ def ingest(
     column, value = keep
     checks.require_columns(combined, [column], dataset)
     # Text files are parsed once; counts and later steps read the staged copy.
-    staged = sinks.stage(combined, folder, f"{dataset}_combined")
+    staged, seen = sinks.stage_observed(combined, folder, f"{dataset}_combined", {"rows": row_count()})
     condition = F.col(column) == value
     report = files.file_report(staged, headers)
-    if not files.unions_reconcile(report, combined):
+    if not files.unions_reconcile(report, seen.get("rows", 0)):
         warnings.warn(f"{dataset}: rows of the files and of the staged union differ", stacklevel=2)
     return {
         "table": staged.filter(condition),
@@ -118,15 +152,15 @@ def enrich(
 ) -> Tables:
     """Join the monthly rate; every row must keep its place and find a rate."""
     rates.require_rates(monthly)
-    staged = _kept(rates.enrich_monthly(df, monthly, date, formats), folder, f"{dataset}_enriched")
-    tables = {
+    staged, report = _verified(
+        df, lambda rows: rates.enrich_monthly(rows, monthly, date, formats), folder, f"{dataset}_enriched",
+        checks.rate_checks)
+    return {
         "table": staged,
         "quality": rates.join_quality(df, staged, date, dataset),
         "unmatched_months": rates.unmatched_months(staged, dataset),
-        "checks": checks.check(staged, checks.rate_checks(_rows(df))),
+        "checks": report,
     }
-    checks.enforce(tables["checks"])
-    return tables
 
 
 def clean(
@@ -134,12 +168,13 @@ def clean(
 ) -> Tables:
     """Types, validity flags and date and coordinate flags; every row is kept."""
     checks.require_flags(df, f.FILLED_INDICATORS)
-    staged = _kept(quality.clean(df, formats), folder, f"{dataset}_clean")
-    summary = quality.dataset_summary(df, staged, dataset)
-    checks.enforce(checks.check(staged, {"row_count_unchanged": checks.rows_differ_from(_rows(df))}))
+    staged, report = _verified(
+        df, lambda rows: quality.clean(rows, formats), folder, f"{dataset}_clean",
+        lambda rows: {ROWS_UNCHANGED: checks.rows_differ_from(rows)})
     return {
         "table": staged,
-        "dataset": summary,
+        "checks": report,
+        "dataset": quality.dataset_summary(df, staged, dataset),
         "types": quality.coercion_report(quality.coalesce_redundant(df), dataset, formats=formats),
         "numeric": quality.invalid_report(staged, dataset),
         "dates": quality.flag_summary(staged, f.TIMELINE_FLAGS, dataset),
@@ -153,9 +188,8 @@ def engineer(
     formats: Sequence[str] = (),
 ) -> Tables:
     """Ratios and durations, a sample, a metric summary and segment summaries."""
-    staged = _kept(features.engineer(sold, formats), folder, f"{dataset}_engineered")
-    report = checks.check(staged, checks.feature_checks(_rows(sold)))
-    checks.enforce(report)
+    staged, report = _verified(
+        sold, lambda rows: features.engineer(rows, formats), folder, f"{dataset}_engineered", checks.feature_checks)
     sample = features.sample_rows(staged)
     features.require_sample(sample)
     return {
@@ -208,16 +242,21 @@ def build_events(
     `ordered` writes the table in its final order (see `sorted_events`), not by month.
     """
     folder = staging.work_folder(sold.sparkSession, folder)
-    sales = events.sale_events(sold, start, formats)
-    combined = events.market_events(listings, sold, start, formats=formats)
+    listed, sales = events.listing_events(listings, start, formats), events.sale_events(sold, start, formats)
+    kinds = [Observation(f"{name} of listings"), Observation(f"{name} of sales")]
+    # The events of each kind are counted before they are put together, and all of them as they are written.
+    combined = listed.observe(kinds[0], row_count().alias("rows")).unionByName(
+        events.clean_ratio(sales.observe(kinds[1], row_count().alias("rows"))))
     if ordered:
-        staged = sinks.stage(events.sorted_events(combined), folder, name)
+        combined, partition_by = events.sorted_events(combined), []
     else:
-        staged = sinks.stage(combined, folder, name, partition_by=["EventMonth"])
+        partition_by = ["EventMonth"]
+    staged, observed = sinks.stage_observed(combined, folder, name, checks.event_checks(0, start), partition_by)
     staged = staged.select(*f.EVENT_SCHEMA.names)
-    expected = _rows(events.listing_events(listings, start, formats)) + _rows(sales)
-    report = checks.check(staged, checks.event_checks(expected, start))
-    checks.enforce(report)
+    read = sum(kind.get.get("rows", 0) for kind in kinds)
+    observed |= {"row_count_reconciles": abs(observed.get("row_count_reconciles", 0) - read)}
+    report = _enforced(
+        staged, observed, lambda: checks.event_checks(_rows(listed) + _rows(sales), start))
     return {
         "table": staged,
         "checks": report,

@@ -13,6 +13,7 @@ from deedflow.functions.scalars import na_to_null, ref
 from deedflow.operators.checks import ContractError, require_columns
 from deedflow.operators.quality import union_by_name, union_report
 from deedflow.operators.rates import select_rates
+from deedflow.sources import records
 
 SOURCE_FILE = "source_file"
 
@@ -151,6 +152,49 @@ def files_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str
     return {path for path in paths if _plain_path(path) in known}
 
 
+def _path() -> Column:
+    return _decoded(F.col("_metadata.file_path"))
+
+
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return records.file_lines(spark, paths, _path())
+
+
+def unclosed_files(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Those of the paths whose files end inside a quoted field; only a reader of whole files makes sense of them."""
+    if not paths:
+        return set()
+    known = {_plain_path(path) for path in records.unclosed_files(records.split_states(_lines(spark, paths)))}
+    return {path for path in paths if _plain_path(path) in known}
+
+
+def _read_files(
+    spark: SparkSession, header: Sequence[str], paths: Sequence[str], how: str, depth: int | None
+) -> DataFrame:
+    """Files of one header: in splits by `lines`, in splits by `records`, or in one piece each (`whole`).
+
+    With a `depth` the name of the file is added (see `file_labels`).
+    """
+    if how == "records":
+        lines = _lines(spark, paths)
+        rows = records.parsed(records.records(lines, records.split_states(lines)), header)
+        name = F.regexp_extract("path", "((?:[^/]*/){%d}[^/]*)$" % ((depth or 1) - 1), 1)
+        rows = rows.select(*[ref(column) for column in header], name.alias(SOURCE_FILE))
+        return normalise_missing(rows if depth else rows.drop(SOURCE_FILE))
+    schema = T.StructType([T.StructField(column, T.StringType()) for column in header])
+    rows = _csv(spark, how == "whole").option("header", True).schema(schema).csv(list(paths))
+    return normalise_missing(rows.withColumn(SOURCE_FILE, _label(depth)) if depth else rows)
+
+
+def _ways(spark: SparkSession, paths: Sequence[str], multi_line: bool | None) -> dict[str, str]:
+    """How each file is read."""
+    if multi_line is not None:
+        return dict.fromkeys(paths, "whole" if multi_line else "lines")
+    broken = files_with_line_breaks(spark, paths)
+    whole = unclosed_files(spark, sorted(broken))
+    return {path: "whole" if path in whole else "records" if path in broken else "lines" for path in paths}
+
+
 def read_union(
     spark: SparkSession,
     paths: Sequence[str],
@@ -159,28 +203,21 @@ def read_union(
 ) -> DataFrame:
     """All files as text columns, aligned by name, with the file they came from (see `file_labels`).
 
-    Files with equal headers share one scan. Files with line breaks in quoted
-    fields cannot be split; by default one pass over the text finds them, and
-    all others are read in splits. `multi_line` settles this for all files.
+    Files with equal headers share one scan. By default one pass over the text finds
+    files with line breaks in quoted fields, and all files are read in splits: those without breaks by lines,
+    the others by records (see `records`). `multi_line` settles for all files whether each is read in one piece.
     `headers` saves probing the files again (see `read_headers`).
     """
     if not paths:
         raise ContractError("no files to read")
     headers = headers or read_headers(spark, paths)
     check_letter_case({name for header in headers.values() for name in header})
-    whole = files_with_line_breaks(spark, paths) if multi_line is None else set()
+    ways = _ways(spark, list(headers), multi_line)
     depth = 1 + next(iter(file_labels(headers).values())).count("/")
-    groups: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
+    groups: dict[tuple[tuple[str, ...], str], list[str]] = defaultdict(list)
     for path, header in headers.items():
-        in_one_piece = path in whole if multi_line is None else multi_line
-        groups[header, in_one_piece].append(path)
-
-    frames = []
-    for (header, in_one_piece), group in groups.items():
-        schema = T.StructType([T.StructField(column, T.StringType()) for column in header])
-        rows = _csv(spark, in_one_piece).option("header", True).schema(schema).csv(group)
-        frames.append(normalise_missing(rows.withColumn(SOURCE_FILE, _label(depth))))
-    combined = union_by_name(frames)
+        groups[header, ways[path]].append(path)
+    combined = union_by_name([_read_files(spark, header, group, how, depth) for (header, how), group in groups.items()])
     data = [column for column in combined.columns if column != SOURCE_FILE]
     return combined.select(*[ref(column) for column in data], SOURCE_FILE)
 
@@ -207,26 +244,28 @@ def file_report(combined: DataFrame, headers: Mapping[str, tuple[str, ...]]) ->
     return files.unionByName(total)
 
 
-def unions_reconcile(report: DataFrame, parsed: DataFrame | None = None) -> bool:
+def unions_reconcile(report: DataFrame, parsed: int | None = None) -> bool:
     """Whether the files' rows add up to the total; a mismatch is only a warning.
 
-    `parsed` is the union as read from the files. With it, its rows are set
-    against those of the report, which is one of the staged copy.
+    `parsed` is the number of rows read from the files, as observed while they were
+    staged. With it, it is set against the report, which is one of the staged copy.
     """
     sums = report.groupBy("is_total").agg(F.sum("row_count").alias("n")).collect()
     totals = {row["is_total"]: row["n"] for row in sums}
-    expected = totals.get(False, 0) if parsed is None else parsed.count()
+    expected = totals.get(False, 0) if parsed is None else parsed
     return totals.get(True, 0) == expected == totals.get(False, 0)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A staged table. CSV columns come as text with missing tokens as NULL."""
-    if fmt == "csv":
-        header = read_header(spark, path)
-        check_letter_case(header)
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        return normalise_missing(_csv(spark, True).option("header", True).schema(schema).csv(path))
-    return spark.read.format(fmt).load(path)
+    """A staged table. CSV columns come as text with missing tokens as NULL; large files are read in splits."""
+    if fmt != "csv":
+        return spark.read.format(fmt).load(path)
+    header = read_header(spark, path)
+    check_letter_case(header)
+    groups = defaultdict(list)
+    for file, how in _ways(spark, file_paths(list_files(spark, path)), None).items():
+        groups[how].append(file)
+    return union_by_name([_read_files(spark, header, group, how, None) for how, group in groups.items()])
 
 
 def select_available(

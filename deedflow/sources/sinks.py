@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 DATE_FORMAT = "yyyy-MM-dd"
 
@@ -37,3 +37,12 @@ def stage(df: DataFrame, folder: str, name: str, partition_by: Sequence[str] = (
     path = f"{folder}/{name}"
     write_dataset(df, path, partition_by=partition_by)
     return df.sparkSession.read.parquet(path)
+
+
+def stage_observed(
+    df: DataFrame, folder: str, name: str, measures: Mapping[str, Column], partition_by: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, object]]:
+    """`stage`, and aggregates of the rows that were written, gathered by the write itself."""
+    seen = Observation(f"write of {name}")
+    observed = df.observe(seen, *[column.alias(key) for key, column in measures.items()])
+    return stage(observed, folder, name, partition_by), seen.get

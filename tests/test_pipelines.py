@@ -179,3 +179,48 @@ def test_dates_in_another_format(spark, feed, tmp_path):
     direct = pipelines.events.listing_events(
         spark.read.option("header", True).csv(f"{tmp_path}/Listing202401.csv"), formats=formats)
     assert direct.count() == 20
+
+
+def _jobs(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    result = run()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(name)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(jobs)
+
+
+def test_staged_steps_are_verified_by_their_own_write(spark, steps, monkeypatch, tmp_path):
+    """No scan counts rows: neither the source nor the staged table is aggregated for the checks."""
+    monkeypatch.setattr(pipelines, "_rows", lambda df: pytest.fail("rows are counted by a scan"))
+    monkeypatch.setattr(pipelines.checks, "check", lambda *_: pytest.fail("checks are counted by a scan"))
+    work, monthly = str(tmp_path), spark.createDataFrame([("2024-01", 6.6), ("2024-02", 6.7)], "year_month string, rate_30yr_fixed double")
+    table = steps["sold"]["audit"]["table"]
+    enriched, jobs = _jobs(spark, "enrich", lambda: pipelines.enrich(table, monthly, "CloseDate", "sold", work))
+    assert {r["check"]: r["violations"] for r in enriched["checks"].collect()} == {"row_count_unchanged": 0, "rate_matched": 0}
+    # Jobs that check the rates, broadcast them, and write the table.
+    assert jobs <= 6
+    cleaned, jobs = _jobs(spark, "clean", lambda: pipelines.clean(enriched["table"], "sold", work))
+    assert jobs <= 2 and cleaned["checks"].first()["passed"]
+    built, jobs = _jobs(spark, "events", lambda: pipelines.build_events(
+        steps["listings"]["clean"]["table"], steps["outliers"]["table"], work))
+    assert all(r["passed"] for r in built["checks"].collect()) and built["table"].count() == 95
+
+
+def test_a_lost_row_is_found_by_the_write(spark, steps, monkeypatch, tmp_path):
+    monkeypatch.setattr(pipelines.quality, "clean", lambda df, formats=(): df.filter("DaysOnMarket <> '7'"))
+    with pytest.raises(ContractError, match="row_count_unchanged"):
+        pipelines.clean(steps["sold"]["enrich"]["table"], "sold", str(tmp_path))
+
+
+def test_a_row_that_was_observed_twice_is_counted_again(spark, steps):
+    table = steps["sold"]["clean"]["table"]
+    rows = table.count()
+    report = pipelines._enforced(
+        table, {"row_count_unchanged": 1}, lambda: {"row_count_unchanged": pipelines.checks.rows_differ_from(rows)})
+    assert report.first()["passed"]
+
+
+def test_steps_on_an_empty_table(spark, steps, tmp_path):
+    table = steps["sold"]["audit"]["table"].limit(0)
+    cleaned = pipelines.clean(table, "sold", str(tmp_path))
+    assert cleaned["table"].count() == 0 and cleaned["checks"].first()["passed"]
