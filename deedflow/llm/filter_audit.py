@@ -32,7 +32,9 @@ DISTINCT_PERCENT = 50
 CAPITAL_PERCENT = 3
 SYMBOLS = "#$%&*|"
 # A shard is closed when it has so many words in its vocabulary, nonzeros or rows.
-SHARD_WORDS, SHARD_NONZEROS, SHARD_ROWS = 1 << 17, 1 << 21, 1 << 14
+SHARD_WORDS, SHARD_NONZEROS, SHARD_ROWS = 1 << 17, 1 << 20, 1 << 14
+# Texts that are turned into Python objects at a time.
+PIECE = 64
 
 ROWS = "doc_ids array<long>, langs array<string>, digests array<binary>, flags array<int>"
 MATRIX = f"{ROWS}, starts binary, indices binary, counts binary"
@@ -95,11 +97,12 @@ class _Shard:
 def _local_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, run, shard = TaskContext.get().partitionId(), 0, _Shard()
     for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns)):
-            shard.add(*row)
-            if shard.full():
-                yield shard.batch(part, run)
-                run, shard = run + 1, _Shard()
+        for at in range(0, batch.num_rows, PIECE):
+            for row in zip(*(column.to_pylist() for column in batch.slice(at, PIECE).columns)):
+                shard.add(*row)
+                if shard.full():
+                    yield shard.batch(part, run)
+                    run, shard = run + 1, _Shard()
     if shard.rows:
         yield shard.batch(part, run)
 
