@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 DATE_FORMAT = "yyyy-MM-dd"
 
@@ -32,11 +34,37 @@ def write_report(report: DataFrame, path: str) -> None:
     write_dataset(report, path, "csv")
 
 
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Write a new version of a table as Parquet, make it the current one, and return its folder.
+
+    The data go to a folder of their own. Only when they are complete is a line with its name added to the
+    manifest, a file that appears at once or not at all. So a run that dies leaves the version before
+    current, and readers of an earlier version keep their files: versions are never overwritten or removed here.
+    """
+    spark = df.sparkSession
+    version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}"
+    write_dataset(df, f"{path}/data/{version}", partition_by=partition_by)
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(f"{path}/manifest")
+    return f"{path}/data/{version}"
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Folder of the latest published version of a table."""
+    # One line per version.
+    latest = spark.read.text(f"{path}/manifest").agg(F.max("value").alias("version")).first()["version"]
+    if latest is None:
+        raise ValueError(f"{path} has no published version")
+    return f"{path}/data/{latest}"
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The latest published version. A later version does not change what was read here."""
+    return spark.read.parquet(current_version(spark, path))
+
+
 def stage(df: DataFrame, folder: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write a table and read it back: lineage ends at files that outlive executors."""
-    path = f"{folder}/{name}"
-    write_dataset(df, path, partition_by=partition_by)
-    return df.sparkSession.read.parquet(path)
+    """Publish a table and read it back: lineage ends at files that outlive executors and later runs."""
+    return df.sparkSession.read.parquet(publish(df, f"{folder}/{name}", partition_by))
 
 
 def stage_observed(

@@ -193,7 +193,32 @@ def test_partitioned_stage(spark, tmp_path):
     df = spark.range(100).withColumn("month", (F.col("id") % 3).cast("int"))
     staged = sinks.stage(df, str(tmp_path), "t", partition_by=["month"])
     assert staged.count() == 100
-    assert sorted(p.name for p in (tmp_path / "t").glob("month=*")) == ["month=0", "month=1", "month=2"]
+    assert sorted(p.name for p in (tmp_path / "t").glob("data/*/month=*")) == ["month=0", "month=1", "month=2"]
+
+
+def test_versions_leave_readers_of_earlier_ones_intact(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    sinks.publish(spark.range(10), path)
+    first = sinks.read_published(spark, path)
+    # A run that dies midway: some of its tasks are done, the others raise.
+    broken = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish(broken, path)
+    assert sinks.read_published(spark, path).count() == first.count() == 10
+    # A run that reads the table it replaces.
+    second = sinks.stage(first.filter("id > 3").unionByName(spark.range(100, 103)), str(tmp_path), "table")
+    assert sinks.read_published(spark, path).count() == second.count() == 9
+    assert first.count() == 10 and first.agg(F.max("id")).first()[0] == 9
+
+
+def test_a_version_without_its_line_in_the_manifest_is_not_read(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    kept = sinks.publish(spark.range(5), path)
+    sinks.write_dataset(spark.range(50), f"{path}/data/99990101T000000000000-late")
+    assert sinks.current_version(spark, path) == kept and sinks.read_published(spark, path).count() == 5
+    with pytest.raises(Exception):
+        sinks.current_version(spark, f"{tmp_path}/nothing")
 
 
 def test_rates_file(spark, tmp_path):

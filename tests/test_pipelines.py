@@ -224,3 +224,11 @@ def test_steps_on_an_empty_table(spark, steps, tmp_path):
     table = steps["sold"]["audit"]["table"].limit(0)
     cleaned = pipelines.clean(table, "sold", str(tmp_path))
     assert cleaned["table"].count() == 0 and cleaned["checks"].first()["passed"]
+
+
+def test_a_second_run_leaves_the_tables_of_the_first(spark, steps, tmp_path):
+    source = steps["sold"]["enrich"]["table"]
+    first = pipelines.clean(source, "sold", str(tmp_path))["table"]
+    rows = first.count()
+    second = pipelines.clean(source.filter("ListingKey <> 'k1-1'"), "sold", str(tmp_path))["table"]
+    assert second.count() == rows - 1 and first.count() == rows and first.filter("ListingKey = 'k1-1'").count() == 1
