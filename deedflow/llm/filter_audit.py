@@ -32,7 +32,7 @@ DISTINCT_PERCENT = 50
 CAPITAL_PERCENT = 3
 SYMBOLS = "#$%&*|"
 # A shard is closed when it has so many words in its vocabulary, nonzeros or rows.
-SHARD_WORDS, SHARD_NONZEROS, SHARD_ROWS = 1 << 18, 1 << 20, 1 << 14
+SHARD_WORDS, SHARD_NONZEROS, SHARD_ROWS = 3 << 16, 1 << 20, 1 << 14
 # Texts that are turned into Python objects at a time.
 PIECE = 64
 
