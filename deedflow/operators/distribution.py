@@ -13,13 +13,17 @@ one task. The plan here has no such limit:
    value by value. A cell holds 2 ** 42 different doubles, so a window sees some 2 ** 21
    parts or values at most, however many rows share a cell.
 
-The table is scanned twice, and only cell counts and opened cells are shuffled.
-The wanted cells of a whole table are broadcast, as fields and quantiles
-bound their number. Those of groups are joined without a hint, on exchanges
-that adaptive execution can split or turn into a broadcast. Building the plan starts no job.
+A whole table is scanned twice, and only cell counts and opened cells are shuffled.
+Its wanted cells are broadcast, as fields and quantiles bound their number. The cells can be
+computed once (`cell_counts`), staged, merged over groups such as months (`merge_cells`)
+and handed to any number of reports, which then only open what they want.
 
-Fields in `moments` get no quantiles: one cell holds all their values, and
-none is opened.
+Groups, and whole tables on request (`one_scan`), are scanned once: the distinct values of each
+group are counted by one shuffle, which both the cells and the opened values read. Wanted cells
+are joined without a hint, on exchanges that adaptive execution can split or turn into a broadcast.
+Building the plan starts no job.
+
+Fields in `moments` get no quantiles and none of their values is opened.
 """
 
 from __future__ import annotations
@@ -82,20 +86,75 @@ def _covers(rank: str) -> str:
     return f"(_start <= {rank} AND {rank} < _start + _n)"
 
 
-def _ranked_cells(values: DataFrame, by: Sequence[str]) -> DataFrame:
-    """All cells with the rank of their first value and the summary of their field."""
-    keys = [*_quoted(by), FIELD]
-    cells = values.groupBy(*keys, CELL).agg(
+def _celled(df: DataFrame, fields: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
+    return _long_values(df, fields, by).withColumn(CELL, value_cell(VALUE))
+
+
+def _numeric(df: DataFrame, fields: Sequence[str] | Mapping[str, Column]) -> Mapping[str, Column]:
+    return fields if isinstance(fields, Mapping) else {name: to_double(df, name) for name in fields}
+
+
+def _cells(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return values.groupBy(*keys, CELL).agg(
         F.expr("count(1) AS _n"),
         F.expr(f"sum({VALUE}) AS _sum"),
         F.expr(f"var_pop({VALUE}) AS _variance"),
         F.expr(f"min({VALUE}) AS _low"),
         F.expr(f"max({VALUE}) AS _high"),
+    ).selectExpr(*keys, CELL, "_n", "_sum", "if(_low < _high, _variance * _n, 0D) AS _inner", "_low", "_high")
+
+
+def _cells_of_counts(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cells from values with their counts.
+
+    Deviations are taken from the edge of the cell, so their squares are small. Digits are lost only
+    where the values of a cell spread over less than some 1e-8 of their size.
+    """
+    edge = f"(signum({CELL}) * pow(2D, (abs({CELL}) - {CELL_OFFSET}) / {CELLS_PER_OCTAVE}D))"
+    return counted.groupBy(*keys, CELL).agg(
+        F.expr(f"sum({WEIGHT}) AS _n"),
+        F.expr(f"sum({VALUE} * {WEIGHT}) AS _sum"),
+        F.expr(f"sum(({VALUE} - {edge}) * {WEIGHT}) AS _first"),
+        F.expr(f"sum(({VALUE} - {edge}) * ({VALUE} - {edge}) * {WEIGHT}) AS _second"),
+        F.expr(f"min({VALUE}) AS _low"),
+        F.expr(f"max({VALUE}) AS _high"),
+    ).selectExpr(
+        *keys, CELL, "_n", "_sum",
+        "if(_low < _high, greatest(_second - _first * _first / _n, 0D), 0D) AS _inner", "_low", "_high")
+
+
+def cell_counts(
+    df: DataFrame, fields: Sequence[str] | Mapping[str, Column], by: Sequence[str] = ()
+) -> DataFrame:
+    """Count, sum, squared deviation and extremes of each cell, per group and field.
+
+    A group has at most a few thousand rows per field. Tables of this kind add up: see `merge_cells`.
+    Rows carry the position of their field, so `fields` must be the same, in the same order, wherever
+    the cells are used.
+    """
+    return _cells(_celled(df, _numeric(df, fields), by), [*_quoted(by), FIELD])
+
+
+def merge_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Cells of larger groups, or of the whole table, from those of smaller ones."""
+    names = [*_quoted(by), FIELD, CELL]
+    whole = f"PARTITION BY {', '.join(names)}"
+    # Deviations from the merged mean, without cancellation. The window shares its exchange with the groups.
+    return cells.selectExpr(
+        *names, "_n", "_sum", "_inner", "_low", "_high",
+        f"_sum / _n - sum(_sum) OVER ({whole}) / sum(_n) OVER ({whole}) AS _off",
+    ).groupBy(*names).agg(
+        F.expr("sum(_n) AS _n"), F.expr("sum(_sum) AS _sum"),
+        F.expr("sum(_inner + _n * coalesce(_off * _off, 0D)) AS _inner"),
+        F.expr("min(_low) AS _low"), F.expr("max(_high) AS _high"),
     )
+
+
+def _ranked_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All cells with the rank of their first value and the summary of their field."""
     whole = f"PARTITION BY {', '.join(keys)}"
     present = f"if({CELL} = {MISSING_CELL}, 0, _n)"
     # Deviations within the cells and between them, without cancellation.
-    inner = "if(_low < _high, _variance * _n, 0D)"
     centre = "(_sum / _n - total / nullif(non_missing_count, 0))"
     # The ordered window comes first: its sort serves the others too.
     ranked = cells.selectExpr(
@@ -108,7 +167,7 @@ def _ranked_cells(values: DataFrame, by: Sequence[str]) -> DataFrame:
         f"min(_low) OVER ({whole}) AS min",
         f"max(_high) OVER ({whole}) AS max",
     ).selectExpr(
-        "*", f"sum({inner} + _n * {centre} * {centre}) OVER ({whole}) AS _deviation"
+        "*", f"sum(_inner + _n * {centre} * {centre}) OVER ({whole}) AS _deviation"
     )
     return ranked.selectExpr(
         *keys, CELL, "_n", "_start", "_low", "_high", "non_missing_count",
@@ -118,6 +177,58 @@ def _ranked_cells(values: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def _described(df: DataFrame, fields: Mapping[str, Column], positions: Sequence[int], by: Sequence[str]) -> DataFrame:
+    """Counts, moments and extremes alone: one row per group and field from one aggregation."""
+    values = df.select(*[ref(name) for name in by], *[
+        F.nanvl(value.cast("double"), F.lit(None)).alias(f"_v{i}") for i, value in enumerate(fields.values())])
+    rows = ", ".join(
+        f"struct({i} AS {FIELD}, count(1) AS row_count, count(_v{i}) AS non_missing_count, sum(_v{i}) AS total,"
+        f" avg(_v{i}) AS mean, stddev_samp(_v{i}) AS std, min(_v{i}) AS min, max(_v{i}) AS max)"
+        for i in positions)
+    grouped = values.groupBy(*_quoted(by)).agg(F.expr(f"array({rows}) AS _rows"))
+    return grouped.selectExpr(*_quoted(by), "inline(_rows)")
+
+
+def wanted_cells(cells: DataFrame, quantiles: Mapping[str, float] = MEDIAN, by: Sequence[str] = ()) -> DataFrame:
+    """Keys of the cells in which `distribution` looks for these quantiles; missing values are no cell.
+
+    For a whole table at most two per field and quantile.
+    """
+    keys = [*_quoted(by), FIELD]
+    ranked = _ranked_cells(cells, keys)
+    return ranked.filter(f"{CELL} <> {MISSING_CELL} AND ({_wanted(list(quantiles.values()))})").select(*keys, CELL)
+
+
+def count_values(
+    df: DataFrame, fields: Sequence[str] | Mapping[str, Column], wanted: DataFrame,
+    group: Column | None = None, grouped: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with their counts, from one scan: those of the wanted cells, and those of groups.
+
+    `wanted` (see `wanted_cells`) must be of a whole table, so that it may be broadcast. The second table
+    has the values of `grouped` per value of `group`, rows without either left out. Hand the tables to
+    `distribution` as `counted`, the second with `by=["group"]`.
+    """
+    fields = dict(_numeric(df, fields))
+    last = len(fields)
+    name = "_group"
+    values = df.withColumn(name, F.lit(None).cast("string") if group is None else group.cast("string"))
+    if grouped is not None:
+        fields[name] = grouped
+    celled = _celled(values, fields, [name]).filter(
+        f"{VALUE} IS NOT NULL AND ({FIELD} < {last} OR {name} IS NOT NULL)")
+    keyed = wanted.distinct().selectExpr(f"{FIELD} AS _w0", f"{CELL} AS _w1")
+    hits = celled.join(F.broadcast(keyed), F.expr(f"{FIELD} = _w0 AND {CELL} = _w1"), "left").filter(
+        f"_w0 IS NOT NULL OR {FIELD} = {last}")
+    counted = hits.groupBy(
+        F.expr(f"if({FIELD} = {last}, {name}, NULL) AS {name}"), FIELD, CELL, VALUE
+    ).agg(F.expr(f"count(1) AS {WEIGHT}"))
+    return (
+        counted.filter(f"{FIELD} < {last}").drop(name),
+        counted.filter(f"{FIELD} = {last}").selectExpr(f"{name} AS `group`", f"0 AS {FIELD}", CELL, VALUE, WEIGHT),
+    )
+
+
 def _wanted(probabilities: Sequence[float]) -> str:
     return " OR ".join(_covers(f"{side}{_rank(p)}") for p in probabilities for side in ("floor", "ceil"))
 
@@ -130,6 +241,9 @@ def distribution(
     method: str = "exact",
     accuracy: int = 10_000,
     moments: Collection[str] = (),
+    cells: DataFrame | None = None,
+    one_scan: bool = False,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Counts, moments, extremes and quantiles, one row per group and field.
 
@@ -140,17 +254,21 @@ def distribution(
     and one column per entry of `quantiles`.
 
     Fields named in `moments` have NULL quantiles and cost no second pass.
+    `cells` are those of the same fields and groups (`cell_counts`); they save counting them.
+    `counted` are values with their counts (`count_values`), of all wanted cells if `cells` are given, else
+    of all cells; then the table itself is not read.
+    `one_scan` reads a whole table once and shuffles the distinct values of its fields, as is
+    done for groups: right where the table is dear to compute or its values repeat.
     `method="approx"` takes quantiles from a bounded sketch in one scan.
     """
     reserved = {"field", "missing_count", *SUMMARY, *quantiles}
     if reserved & set(by):
         raise ValueError(f"group columns named like results: {sorted(reserved & set(by))}")
-    if not isinstance(fields, Mapping):
-        fields = {name: to_double(df, name) for name in fields}
+    fields = _numeric(df, fields)
     if method == "approx":
         result = _approximate(df, fields, quantiles, by, accuracy)
     elif method == "exact":
-        result = _exact(df, fields, quantiles, by, moments)
+        result = _exact(df, fields, quantiles, by, moments, cells, one_scan, counted)
     else:
         raise ValueError(f"unknown method {method!r}")
     names = ", ".join("'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'" for name in fields)
@@ -186,30 +304,53 @@ def _same(left: Sequence[str], right: Sequence[str], nullable: int) -> Column:
     ))
 
 
-def _exact(df, fields, quantiles, by, moments) -> DataFrame:
+def _exact(df, fields, quantiles, by, moments, cells, one_scan, counted) -> DataFrame:
     keys = [*_quoted(by), FIELD]
+    names = [*keys, CELL]
     probabilities = list(quantiles.values())
     whole = [i for i, name in enumerate(fields) if name in moments]
+    described = None
+    if whole and cells is None and (by or one_scan):
+        described = _described(df, fields, whole, by)
+        if len(whole) == len(fields):
+            return _without_quantiles(described, keys, quantiles)
     plain = f"{FIELD} IN ({', '.join(map(str, whole))})" if whole else "false"
-    celled = _long_values(df, fields, by).withColumn(CELL, value_cell(VALUE))
-    if whole:
-        celled = celled.withColumn(CELL, F.expr(
-            f"if({plain} AND {CELL} <> {MISSING_CELL}, 0, {CELL})"))
-    cells = _ranked_cells(celled, by)
+    if counted is not None:
+        opened, weight = counted, WEIGHT
+        if cells is None:
+            cells = _cells_of_counts(counted, keys)
+    elif cells is None and (by or one_scan):
+        ranked = {name: value for i, (name, value) in enumerate(fields.items()) if i not in whole}
+        opened = _celled(df, ranked, by)
+        if whole:
+            positions = ", ".join(str(i) for i in range(len(fields)) if i not in whole)
+            opened = opened.withColumn(FIELD, F.expr(f"element_at(array({positions}), {FIELD} + 1)"))
+        opened = opened.groupBy(*names, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
+        cells = _cells_of_counts(opened, keys)
+        weight = WEIGHT
+    else:
+        opened = _celled(df, fields, by)
+        if cells is None:
+            # One cell holds all values of a field that is only described.
+            folded = opened.withColumn(
+                CELL, F.expr(f"if({plain} AND {CELL} <> {MISSING_CELL}, 0, {CELL})")) if whole else opened
+            cells = _cells(folded, keys)
+        opened = opened.filter(f"NOT ({plain})") if whole else opened
+        weight = "1"
+        if by:
+            opened = opened.groupBy(*names, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
+            weight = WEIGHT
+    cells = _ranked_cells(cells, keys)
     wanted = cells.filter(
         f"NOT ({plain}) AND if(non_missing_count = 0, true, {CELL} <> {MISSING_CELL} AND ({_wanted(probabilities)}))"
     )
-    names = [*keys, CELL]
     wanted = wanted.selectExpr(
         *[f"{name} AS _w{i}" for i, name in enumerate(names)], "_start", "_low", "_high", "_summary")
     if not by:
         # A row per field and wanted rank at most.
         wanted = F.broadcast(wanted)
-    else:
-        celled = celled.filter(f"NOT ({plain})").groupBy(*names, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
-    weight = WEIGHT if by else "1"
     keyed = [f"_w{i}" for i in range(len(names))]
-    opened = celled.filter(f"NOT ({plain})").join(wanted, _same(names, keyed, len(by))).groupBy(
+    opened = opened.join(wanted, _same(names, keyed, len(by))).groupBy(
         *names, VALUE, "_start", "_low", "_high", "_summary"
     ).agg(F.expr(f"sum({weight}) AS _n"))
     opened = opened.withColumn(PART, F.expr(_part(VALUE)))
@@ -242,9 +383,15 @@ def _exact(df, fields, quantiles, by, moments) -> DataFrame:
     ])
     if not whole:
         return result
-    described = cells.filter(plain).groupBy(*keys).agg(F.expr("first(_summary) AS _summary"))
-    return result.unionByName(described.selectExpr(
-        *keys, *rest, *[f"CAST(NULL AS double) AS {name}" for name in _quoted(quantiles)]))
+    if described is None:
+        described = cells.filter(plain).groupBy(*keys).agg(F.expr("first(_summary) AS _summary")).selectExpr(
+            *keys, *rest)
+    return result.unionByName(_without_quantiles(described, keys, quantiles))
+
+
+def _without_quantiles(described: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float]) -> DataFrame:
+    return described.selectExpr(
+        *keys, *SUMMARY, *[f"CAST(NULL AS double) AS {name}" for name in _quoted(quantiles)])
 
 
 def _approximate(df, fields, quantiles, by, accuracy) -> DataFrame:

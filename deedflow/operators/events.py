@@ -245,25 +245,21 @@ def monthly_market(
     """
     for name, values in (filters or {}).items():
         events = events.filter(ref(name).isin(*values))
-    one = F.lit(1.0)
-    described = {
-        "new": F.when(F.col("EventType") == f.NEW_LISTING, one),
-        "closed": F.when(F.col("EventType") == f.CLOSED_SALE, one),
-        "price": F.col("ClosePrice"),
-        "days": F.col("DaysOnMarket"),
-        "ratio": F.col(RATIO),
-    }
-    # Only the price needs its values ranked.
-    plain = [name for name in described if name != "price"]
-    summary = distribution(events, described, by=["EventMonth"], method=method, moments=plain)
-
-    def of(field: str, measure: str) -> Column:
-        return F.max(F.when(F.col("field") == field, F.col(measure)))
-
-    return summary.groupBy("EventMonth").agg(
-        of("new", "non_missing_count").alias("new_listings"),
-        of("closed", "non_missing_count").alias("closed_sales"),
-        of("price", "median").alias("median_close_price"),
-        of("days", "mean").alias("average_days_on_market"),
-        of("ratio", "mean").alias("average_close_to_original_list_ratio"),
+    def average(name: str) -> Column:
+        return F.avg(F.nanvl(F.col(name), F.lit(None)))
+
+    # Only the price needs its values ranked; the rest is one plain aggregation by month.
+    counts = events.groupBy("EventMonth").agg(
+        count_if(F.col("EventType") == f.NEW_LISTING).alias("new_listings"),
+        count_if(F.col("EventType") == f.CLOSED_SALE).alias("closed_sales"),
+        average("DaysOnMarket").alias("average_days_on_market"),
+        average(RATIO).alias("average_close_to_original_list_ratio"),
+    )
+    priced = events.filter("ClosePrice IS NOT NULL")
+    prices = distribution(priced, ["ClosePrice"], by=["EventMonth"], method=method).select(
+        F.col("EventMonth").alias("_month"), F.col("median").alias("median_close_price"))
+    # A row per month on either side.
+    return counts.join(F.broadcast(prices), F.col("EventMonth").eqNullSafe(F.col("_month")), "left").select(
+        "EventMonth", "new_listings", "closed_sales", "median_close_price",
+        "average_days_on_market", "average_close_to_original_list_ratio",
     ).orderBy("EventMonth")

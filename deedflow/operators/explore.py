@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from deedflow import fields as f
 from deedflow.functions.scalars import ref, rounded, to_double, to_timestamp
-from deedflow.operators.distribution import distribution
+from deedflow.operators.distribution import (
+    CELL, FIELD, MISSING_CELL, VALUE, WEIGHT, cell_counts, count_values, distribution,
+)
 from deedflow.operators.outliers import QUARTILES, field_values, outside, with_fences
 from deedflow.operators.reports import count_if, report_rows, row_count
 
@@ -80,38 +82,75 @@ def top_groups(
 
 
 def histogram(df: DataFrame, field: str, bins: int = 50) -> DataFrame:
-    """Equal-width bins from minimum to maximum, empty ones included.
+    """Equal-width bins of one field; see `histograms`."""
+    return histograms(df, [field], bins).drop("field")
+
+
+def _bin(value: str, bins: int) -> str:
+    """Bin of a value between `_start` and `_stop`, from 1."""
+    edge = f"_start + {{}} * ((_stop - _start) / {bins})"
+    guess = f"least(floor(({value} - _start) / (_stop - _start) * {bins}), {bins - 1})"
+    # Rounding may place a value on the wrong side of a computed edge.
+    below = f"if({value} < {edge.format(guess)}, 1, 0)"
+    above = f"if({guess} < {bins - 1} AND {value} >= {edge.format(f'({guess} + 1)')}, 1, 0)"
+    return f"CAST({guess} - {below} + {above} + 1 AS int)"
+
+
+def _extents(cells: DataFrame) -> DataFrame:
+    """Range of the bins of each field with values, one row per field."""
+    pad = "if(min(_low) = max(_high), 0.5D, 0D)"
+    return cells.groupBy(FIELD).agg(
+        F.expr(f"min(_low) - {pad} AS _start"), F.expr(f"max(_high) + {pad} AS _stop")
+    ).filter("_start IS NOT NULL").withColumnRenamed(FIELD, "_binned")
+
+
+def _binned_cells(cells: DataFrame, bins: int) -> DataFrame:
+    """Cells with the bins of their least and largest values."""
+    # A row per field is broadcast.
+    return cells.filter(f"{CELL} <> {MISSING_CELL}").join(
+        F.broadcast(_extents(cells)), F.expr(f"{FIELD} = _binned")
+    ).selectExpr("*", f"{_bin('_low', bins)} AS _first", f"{_bin('_high', bins)} AS _last")
+
+
+def border_cells(cells: DataFrame, bins: int = 50) -> DataFrame:
+    """Keys of the cells that reach over an edge of a bin: fewer than `bins` per field."""
+    return _binned_cells(cells, bins).filter("_first < _last").select(FIELD, CELL)
+
+
+def histograms(
+    df: DataFrame, fields: Sequence[str], bins: int = 50, cells: DataFrame | None = None,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Equal-width bins of several fields from minimum to maximum, empty ones included.
 
     Bins are closed on the left and the last one on both sides. A column with
     one value gets a range of one around it; one without values gives no rows.
+
+    Bins are filled from cell counts, and only the cells at their edges are opened: two scans
+    for all fields. `cells` (`cell_counts`) save the first, `counted` (`count_values` of at
+    least the `border_cells`) the second.
     """
-    values = df.select(to_double(df, field).alias("x")).filter("x IS NOT NULL")
-    low, high = F.min("x"), F.max("x")
-    pad = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
-    extent = values.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high")).alias("e")).scalar()
-    ranged = values.withColumn("e", extent)
-    start, stop = F.col("e.low"), F.col("e.high")
-    width = (stop - start) / bins
-    guess = F.least(F.floor((F.col("x") - start) / (stop - start) * bins), F.lit(bins - 1))
-    # Rounding may place a value on the wrong side of a computed edge.
-    exact = (
-        guess
-        - F.when(F.col("x") < start + guess * width, 1).otherwise(0)
-        + F.when((guess < bins - 1) & (F.col("x") >= start + (guess + 1) * width), 1).otherwise(0)
-    )
-    counts = ranged.groupBy((exact + 1).cast("int").alias("bin")).agg(row_count().alias("count"))
-    index = df.sparkSession.range(1, bins + 1, 1, 1).select(F.col("id").cast("int").alias("bin"))
-    # At most `bins` rows are broadcast.
-    return (
-        index.withColumn("e", extent)
-        .filter(start.isNotNull())
-        .join(F.broadcast(counts), "bin", "left")
-        .select(
-            "bin",
-            (start + (F.col("bin") - 1) * width).alias("lower"),
-            F.when(F.col("bin") == bins, stop).otherwise(start + F.col("bin") * width).alias("upper"),
-            F.coalesce("count", F.lit(0)).alias("count"),
-        )
+    if cells is None:
+        cells = cell_counts(df, fields)
+    if counted is None:
+        counted, _ = count_values(df, fields, border_cells(cells, bins))
+    placed = _binned_cells(cells, bins)
+    # Border cells are bounded by fields and bins.
+    border = placed.filter("_first < _last").selectExpr(f"{FIELD} AS _w0", f"{CELL} AS _w1", "_start", "_stop")
+    inside = counted.join(F.broadcast(border), F.expr(f"{FIELD} = _w0 AND {CELL} = _w1")).selectExpr(
+        FIELD, f"{_bin(VALUE, bins)} AS bin", f"{WEIGHT} AS _n")
+    counts = placed.filter("_first = _last").selectExpr(FIELD, "_first AS bin", "_n").unionByName(inside).groupBy(
+        F.col(FIELD).alias("_counted"), F.col("bin").alias("_bin")
+    ).agg(F.expr("sum(_n) AS _n"))
+    every = _extents(cells).selectExpr("*", f"explode(sequence(1, {bins})) AS bin")
+    names = F.array(*[F.lit(name) for name in fields])
+    width = f"((_stop - _start) / {bins})"
+    return every.join(F.broadcast(counts), F.expr("_binned = _counted AND bin = _bin"), "left").select(
+        F.element_at(names, F.col("_binned") + 1).alias("field"),
+        "bin",
+        F.expr(f"_start + (bin - 1) * {width} AS lower"),
+        F.expr(f"if(bin = {bins}, _stop, _start + bin * {width}) AS upper"),
+        F.expr("coalesce(_n, 0) AS count"),
     )
 
 

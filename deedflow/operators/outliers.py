@@ -80,9 +80,15 @@ def _with_counts(df: DataFrame, bounds: DataFrame, fields: Sequence[str], counte
     })
 
 
-def iqr_summary(df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACTOR) -> DataFrame:
-    """Bounds and outlier counts, rounded to two decimals."""
-    bounds = iqr_bounds(df, fields, factor, {"q1": 0.25, "q3": 0.75})
+def iqr_summary(
+    df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACTOR, bounds: DataFrame | None = None
+) -> DataFrame:
+    """Bounds and outlier counts, rounded to two decimals.
+
+    `bounds` saves computing them again (see `iqr_bounds`).
+    """
+    if bounds is None:
+        bounds = iqr_bounds(df, fields, factor, {"q1": 0.25, "q3": 0.75})
     counted = _with_counts(df, bounds, fields, outlier_counts(df, bounds, fields))
     return counted.select(
         "field",
@@ -158,25 +164,33 @@ def kept_rows(flagged: DataFrame) -> DataFrame:
     return flagged.filter(~F.col(f.EXCLUSION_FLAG))
 
 
-def before_after(flagged: DataFrame, fields: Mapping[str, str] | None = None) -> DataFrame:
-    """Rows and medians of the full and of the filtered table, in one pass."""
+def before_after(
+    flagged: DataFrame, fields: Mapping[str, str] | None = None, bounds: DataFrame | None = None
+) -> DataFrame:
+    """Rows and medians of the full and of the filtered table.
+
+    `bounds` (see `iqr_bounds`) of the full table, with medians, save describing it again. The kept rows are
+    read once: flags are dear to compute, and the values of three fields are few.
+    """
     fields = fields or {
         "ClosePrice": "median_close_price",
         "LivingArea": "median_living_area",
         "DaysOnMarket": "median_days_on_market",
     }
-    kept = ~F.col(f.EXCLUSION_FLAG)
-    described = {"kept": F.when(kept, F.lit(1.0))}
-    for name in fields:
-        described[f"full {name}"] = to_double(flagged, name)
-        described[f"kept {name}"] = F.when(kept, to_double(flagged, name))
-    summary = distribution(flagged, described, moments=["kept"])
-
-    def median(name: str) -> Column:
-        return rounded(F.max(F.when(F.col("field") == name, F.col("median"))), 2)
-
-    total = F.max("row_count")
-    remaining = F.max(F.when(F.col("field") == "kept", F.col("non_missing_count")))
+    full = distribution(flagged, list(fields)) if bounds is None else bounds.filter(F.col("field").isin(*fields))
+    kept = distribution(kept_rows(flagged), list(fields), one_scan=True)
+    measures = ("field", "row_count", "median")
+    summary = full.select(F.lit("full").alias("part"), *measures).unionByName(
+        kept.select(F.lit("kept").alias("part"), *measures))
+
+    def of(part: str, measure: str, name: str | None = None) -> Column:
+        chosen = F.col("part") == part
+        return F.max(F.when(chosen if name is None else chosen & (F.col("field") == name), F.col(measure)))
+
+    def medians(part: str) -> dict[str, Column]:
+        return {alias: rounded(of(part, "median", name), 2) for name, alias in fields.items()}
+
+    total, remaining = of("full", "row_count"), of("kept", "row_count")
     removed = total - remaining
     return report_rows(summary, [
         {
@@ -184,13 +198,13 @@ def before_after(flagged: DataFrame, fields: Mapping[str, str] | None = None) ->
             "row_count": total,
             "rows_removed_from_full": F.lit(0).cast("bigint"),
             "percent_removed_from_full": F.lit(0.0),
-            **{alias: median(f"full {name}") for name, alias in fields.items()},
+            **medians("full"),
         },
         {
             "dataset": "filtered_analysis",
             "row_count": remaining,
             "rows_removed_from_full": removed,
             "percent_removed_from_full": rounded(percent(removed, total), 2),
-            **{alias: median(f"kept {name}") for name, alias in fields.items()},
+            **medians("kept"),
         },
     ])

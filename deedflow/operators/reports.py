@@ -34,3 +34,8 @@ def count_if(condition: Column) -> Column:
 
 def row_count() -> Column:
     return F.count(F.lit(1))
+
+
+def fixed(report: DataFrame) -> DataFrame:
+    """A report with a row per field or column, computed now and kept as rows of the plan."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from deedflow import fields as f
 from deedflow.operators import checks, events, explore, features, outliers, quality, rates
-from deedflow.operators.reports import row_count
+from deedflow.operators.reports import fixed, row_count
 from deedflow.sources import files, sinks, staging
 
 Tables = dict[str, DataFrame]
@@ -102,9 +102,8 @@ def ingest(
 
 def audit_and_prune(df: DataFrame, dataset: str, threshold: float = 90) -> Tables:
     """Missingness report, and the table without its sparse columns."""
-    missing = quality.missingness(df)
     # One row per column; collected once for the drop and kept as the report.
-    report = df.sparkSession.createDataFrame(missing.collect(), missing.schema)
+    report = fixed(quality.missingness(df))
     dropped = quality.sparse_columns(report, threshold)
     tables = {
         "table": quality.drop_columns(df, dropped),
@@ -210,8 +209,7 @@ def remove_outliers(
     checks.require_flags(engineered, [rule.flag for rule in f.BUSINESS_RULES])
     fields = list(f.OUTLIER_FLAGS)
     # One row per field: the bounds are computed once, for the report and for the flags.
-    bounds = outliers.iqr_bounds(engineered, fields, quantiles=outliers.QUARTILES | outliers.TAILS)
-    bounds = engineered.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
+    bounds = fixed(outliers.iqr_bounds(engineered, fields, quantiles=outliers.QUARTILES | outliers.TAILS))
     thresholds = outliers.iqr_thresholds(engineered, fields, bounds=bounds)
     outliers.require_usable(thresholds)
     flagged = _kept(
@@ -229,7 +227,7 @@ def remove_outliers(
         "table": outliers.kept_rows(flagged),
         "checks": report,
         "thresholds": thresholds,
-        "comparison": outliers.before_after(flagged),
+        "comparison": outliers.before_after(flagged, bounds=bounds),
     }
 
 

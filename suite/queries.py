@@ -11,6 +11,7 @@ from deedflow.functions.scalars import (
     postal_code, rounded, strip_text, to_flag, year_month,
 )
 from deedflow.operators import checks, events, explore, features, outliers, quality, rates
+from deedflow.operators.reports import fixed
 from suite import proxies
 from suite.proxies import EVENT_START, table, view
 
@@ -163,7 +164,9 @@ def exclusion_filter(spark, sf_dir):
 
 @query
 def before_after(spark, sf_dir):
-    return outliers.before_after(excluded(spark, sf_dir))
+    rows = sold(spark, sf_dir)
+    bounds = fixed(outliers.iqr_bounds(rows, OUTLIER_FIELDS))
+    return outliers.before_after(outliers.exclusion_flags(outliers.iqr_flags(rows, bounds=bounds)), bounds=bounds)
 
 
 @query
