@@ -43,7 +43,7 @@ CELL_OFFSET = 1100 * CELLS_PER_OCTAVE
 LARGEST_DOUBLE = 1.7976931348623157e308
 MEDIAN = {"median": 0.5}
 
-FIELD, VALUE, CELL, WEIGHT = "_field", "_value", "_cell", "_weight"
+FIELD, VALUE, CELL, WEIGHT, GROUP = "_field", "_value", "_cell", "_weight", "_group"
 # Cell of missing values, below all others.
 MISSING_CELL = -(1 << 62)
 SUMMARY = ("row_count", "non_missing_count", "total", "mean", "std", "min", "max")
@@ -74,7 +74,8 @@ def _long_values(df: DataFrame, fields: Mapping[str, Column], by: Sequence[str])
     return df.select(
         *[ref(name) for name in by],
         F.stack(F.lit(len(fields)), *pairs).alias(FIELD, VALUE),
-    )
+    # Never NULL, so that joins add no filter and all uses share one exchange.
+    ).withColumn(FIELD, F.expr(f"coalesce({FIELD}, -1)"))
 
 
 def _rank(probability: float) -> str:
@@ -202,31 +203,35 @@ def wanted_cells(cells: DataFrame, quantiles: Mapping[str, float] = MEDIAN, by:
 def count_values(
     df: DataFrame, fields: Sequence[str] | Mapping[str, Column], wanted: DataFrame,
     group: Column | None = None, grouped: Column | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with their counts, from one scan: those of the wanted cells, and those of groups.
+) -> DataFrame:
+    """Distinct values of the wanted cells with their counts, and those of groups, all from one scan.
 
-    `wanted` (see `wanted_cells`) must be of a whole table, so that it may be broadcast. The second table
-    has the values of `grouped` per value of `group`, rows without either left out. Hand the tables to
-    `distribution` as `counted`, the second with `by=["group"]`.
+    `wanted` (see `wanted_cells`) must be of a whole table, so that it may be broadcast. Rows of cells have
+    no `group`. Those of groups count the values of `grouped` per value of `group`; rows that lack either
+    are left out. Hand the parts (`values_of_cells`, `values_of_groups`) to `distribution` as `counted`.
     """
     fields = dict(_numeric(df, fields))
     last = len(fields)
-    name = "_group"
-    values = df.withColumn(name, F.lit(None).cast("string") if group is None else group.cast("string"))
+    values = df.withColumn(GROUP, F.lit(None).cast("string") if group is None else group.cast("string"))
+    if grouped is not None:
+        fields[GROUP] = grouped
+    celled = _celled(values, fields, [GROUP]).filter(f"{VALUE} IS NOT NULL")
     if grouped is not None:
-        fields[name] = grouped
-    celled = _celled(values, fields, [name]).filter(
-        f"{VALUE} IS NOT NULL AND ({FIELD} < {last} OR {name} IS NOT NULL)")
+        celled = celled.filter(f"{FIELD} < {last} OR {GROUP} IS NOT NULL")
     keyed = wanted.distinct().selectExpr(f"{FIELD} AS _w0", f"{CELL} AS _w1")
     hits = celled.join(F.broadcast(keyed), F.expr(f"{FIELD} = _w0 AND {CELL} = _w1"), "left").filter(
         f"_w0 IS NOT NULL OR {FIELD} = {last}")
-    counted = hits.groupBy(
-        F.expr(f"if({FIELD} = {last}, {name}, NULL) AS {name}"), FIELD, CELL, VALUE
-    ).agg(F.expr(f"count(1) AS {WEIGHT}"))
-    return (
-        counted.filter(f"{FIELD} < {last}").drop(name),
-        counted.filter(f"{FIELD} = {last}").selectExpr(f"{name} AS `group`", f"0 AS {FIELD}", CELL, VALUE, WEIGHT),
-    )
+    return hits.selectExpr(
+        f"if({FIELD} = {last}, {GROUP}, NULL) AS {GROUP}", f"if({FIELD} = {last}, 0, {FIELD}) AS {FIELD}", CELL, VALUE
+    ).groupBy(GROUP, FIELD, CELL, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
+
+
+def values_of_cells(counted: DataFrame) -> DataFrame:
+    return counted.filter(f"{GROUP} IS NULL").drop(GROUP)
+
+
+def values_of_groups(counted: DataFrame, name: str) -> DataFrame:
+    return counted.filter(f"{GROUP} IS NOT NULL").withColumnRenamed(GROUP, name)
 
 
 def _wanted(probabilities: Sequence[float]) -> str:

@@ -11,7 +11,7 @@ from deedflow.functions.scalars import ref, rounded, to_double, to_timestamp
 from deedflow.operators.distribution import (
     CELL, FIELD, MISSING_CELL, VALUE, WEIGHT, cell_counts, count_values, distribution,
 )
-from deedflow.operators.outliers import QUARTILES, field_values, outside, with_fences
+from deedflow.operators.outliers import QUARTILES, fence_report, with_fences
 from deedflow.operators.reports import count_if, report_rows, row_count
 
 PERCENTILES = {
@@ -19,12 +19,17 @@ PERCENTILES = {
 }
 
 
-def numeric_summary(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Counts, percentiles, mean and sample deviation, one row per field."""
+def numeric_summary(df: DataFrame, fields: Sequence[str], described: DataFrame | None = None) -> DataFrame:
+    """Counts, percentiles, mean and sample deviation, one row per field.
+
+    `described`, the distribution with `PERCENTILES`, saves computing it.
+    """
+    if described is None:
+        described = distribution(df, fields, PERCENTILES)
     measures = (
         "min", "p01", "p05", "p25", "mean", "median_p50", "p75", "p95", "p99", "max",
     )
-    return distribution(df, fields, PERCENTILES).select(
+    return described.select(
         "field",
         "non_missing_count",
         "missing_count",
@@ -69,11 +74,14 @@ def county_field(df: DataFrame) -> str | None:
 
 
 def top_groups(
-    df: DataFrame, group: str, value: str, min_count: int = 10, n: int = 10
+    df: DataFrame, group: str, value: str, min_count: int = 10, n: int = 10, counted: DataFrame | None = None
 ) -> DataFrame:
-    """Groups with the highest medians among those with enough values."""
+    """Groups with the highest medians among those with enough values.
+
+    `counted` (`values_of_groups`) saves reading the table.
+    """
     return (
-        distribution(df.filter(ref(group).isNotNull()), [value], by=[group])
+        distribution(df.filter(ref(group).isNotNull()), [value], by=[group], counted=counted)
         .filter(F.col("non_missing_count") >= min_count)
         .select(ref(group), F.col("non_missing_count").alias("transaction_count"), "median")
         .orderBy(F.desc("median"), ref(group))
@@ -96,18 +104,23 @@ def _bin(value: str, bins: int) -> str:
     return f"CAST({guess} - {below} + {above} + 1 AS int)"
 
 
+def _filled(cells: DataFrame) -> DataFrame:
+    """Cells of present values. All uses ask for the same columns, so that they share one aggregation."""
+    return cells.filter(f"{CELL} <> {MISSING_CELL} AND _n > 0")
+
+
 def _extents(cells: DataFrame) -> DataFrame:
     """Range of the bins of each field with values, one row per field."""
     pad = "if(min(_low) = max(_high), 0.5D, 0D)"
-    return cells.groupBy(FIELD).agg(
+    return _filled(cells).groupBy(FIELD).agg(
         F.expr(f"min(_low) - {pad} AS _start"), F.expr(f"max(_high) + {pad} AS _stop")
-    ).filter("_start IS NOT NULL").withColumnRenamed(FIELD, "_binned")
+    ).withColumnRenamed(FIELD, "_binned")
 
 
 def _binned_cells(cells: DataFrame, bins: int) -> DataFrame:
     """Cells with the bins of their least and largest values."""
     # A row per field is broadcast.
-    return cells.filter(f"{CELL} <> {MISSING_CELL}").join(
+    return _filled(cells).join(
         F.broadcast(_extents(cells)), F.expr(f"{FIELD} = _binned")
     ).selectExpr("*", f"{_bin('_low', bins)} AS _first", f"{_bin('_high', bins)} AS _last")
 
@@ -133,7 +146,7 @@ def histograms(
     if cells is None:
         cells = cell_counts(df, fields)
     if counted is None:
-        counted, _ = count_values(df, fields, border_cells(cells, bins))
+        counted = count_values(df, fields, border_cells(cells, bins))
     placed = _binned_cells(cells, bins)
     # Border cells are bounded by fields and bins.
     border = placed.filter("_first < _last").selectExpr(f"{FIELD} AS _w0", f"{CELL} AS _w1", "_start", "_stop")
@@ -154,26 +167,23 @@ def histograms(
     )
 
 
-def boxplot(df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACTOR) -> DataFrame:
-    """Quartiles, whisker ends and outlier counts, one row per field."""
-    bounds = with_fences(distribution(df, fields, QUARTILES), factor)
-    limits = field_values(bounds, fields, ("lower_bound", "upper_bound"))
-    values = df.select(*[to_double(df, name).alias(name) for name in fields], limits.alias("_limits"))
-    rows = []
-    for i, name in enumerate(fields):
-        below, above = outside(ref(name), F.col("_limits").getField(f"f{i}"))
-        rows.append({
-            "field": name,
-            "_low": F.min(F.when(~below, ref(name))),
-            "_high": F.max(F.when(~above, ref(name))),
-            "outliers_below": count_if(below),
-            "outliers_above": count_if(above),
-        })
-    ends = report_rows(values, rows)
+def boxplot(
+    df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACTOR, bounds: DataFrame | None = None,
+    fences: DataFrame | None = None,
+) -> DataFrame:
+    """Quartiles, whisker ends and outlier counts, one row per field.
+
+    `bounds` (`outliers.iqr_bounds`) and `fences` (`outliers.fence_report`) save computing them.
+    """
+    if bounds is None:
+        bounds = with_fences(distribution(df, fields, QUARTILES), factor)
+    if fences is None:
+        fences = fence_report(df, bounds, fields)
     # Both sides have one row per field.
-    return bounds.join(F.broadcast(ends), "field").select(
+    return bounds.join(F.broadcast(fences), "field").select(
         "field", "q1", "median", "q3",
-        F.least("_low", "q1").alias("whisker_low"),
-        F.greatest("_high", "q3").alias("whisker_high"),
-        "outliers_below", "outliers_above",
+        F.least("least_within", "q1").alias("whisker_low"),
+        F.greatest("largest_within", "q3").alias("whisker_high"),
+        F.col("below_lower_bound").alias("outliers_below"),
+        F.col("above_upper_bound").alias("outliers_above"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from deedflow import fields as f
 from deedflow.functions.scalars import any_of, is_true, percent, ref, rounded, to_double, to_flag
@@ -37,11 +37,17 @@ def iqr_bounds(
     return with_fences(distribution(df, fields, quantiles), factor)
 
 
-def field_values(report: DataFrame, fields: Sequence[str], columns: Sequence[str]) -> Column:
+def field_values(report: DataFrame | Sequence[Row], fields: Sequence[str], columns: Sequence[str]) -> Column:
     """A per-field report as one value: a struct with a struct per field.
 
-    Used as a scalar subquery, so that rows are compared with it without a join.
+    Used as a scalar subquery, so that rows are compared with it without a join; collected rows become constants.
     """
+    if not isinstance(report, DataFrame):
+        rows = {row["field"]: row for row in report}
+        return F.struct(*[
+            F.struct(*[F.lit(rows[name][column]).cast("double").alias(column) for column in columns]).alias(f"f{i}")
+            for i, name in enumerate(fields)
+        ])
     per_field = [
         F.max(F.when(F.col("field") == name, F.struct(*columns))).alias(f"f{i}")
         for i, name in enumerate(fields)
@@ -56,8 +62,8 @@ def outside(value: Column, bounds: Column) -> tuple[Column, Column]:
     return below, above
 
 
-def outlier_counts(df: DataFrame, bounds: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Values below and above the bounds, one row per field."""
+def fence_report(df: DataFrame, bounds: DataFrame | Sequence[Row], fields: Sequence[str]) -> DataFrame:
+    """Values below and above the bounds, and the outermost values within them, one row per field."""
     limits = field_values(bounds, fields, ("lower_bound", "upper_bound"))
     values = df.select(*[to_double(df, name).alias(name) for name in fields], limits.alias("_limits"))
     rows = []
@@ -67,10 +73,17 @@ def outlier_counts(df: DataFrame, bounds: DataFrame, fields: Sequence[str]) -> D
             "field": name,
             "below_lower_bound": count_if(below),
             "above_upper_bound": count_if(above),
+            "least_within": F.min(F.when(~below, ref(name))),
+            "largest_within": F.max(F.when(~above, ref(name))),
         })
     return report_rows(values, rows)
 
 
+def outlier_counts(df: DataFrame, bounds: DataFrame | Sequence[Row], fields: Sequence[str]) -> DataFrame:
+    """Values below and above the bounds, one row per field."""
+    return fence_report(df, bounds, fields).select("field", "below_lower_bound", "above_upper_bound")
+
+
 def _with_counts(df: DataFrame, bounds: DataFrame, fields: Sequence[str], counted: DataFrame) -> DataFrame:
     # Both sides have one row per field.
     total = F.col("below_lower_bound") + F.col("above_upper_bound")
@@ -81,15 +94,17 @@ def _with_counts(df: DataFrame, bounds: DataFrame, fields: Sequence[str], counte
 
 
 def iqr_summary(
-    df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACTOR, bounds: DataFrame | None = None
+    df: DataFrame, fields: Sequence[str], factor: float = f.IQR_FACTOR, bounds: DataFrame | None = None,
+    fences: DataFrame | None = None,
 ) -> DataFrame:
     """Bounds and outlier counts, rounded to two decimals.
 
-    `bounds` saves computing them again (see `iqr_bounds`).
+    `bounds` (`iqr_bounds`) and `fences` (`fence_report`) save computing them again.
     """
     if bounds is None:
         bounds = iqr_bounds(df, fields, factor, {"q1": 0.25, "q3": 0.75})
-    counted = _with_counts(df, bounds, fields, outlier_counts(df, bounds, fields))
+    counted = _with_counts(
+        df, bounds, fields, outlier_counts(df, bounds, fields) if fences is None else fences)
     return counted.select(
         "field",
         rounded("lower_bound", 2).alias("iqr_lower_bound"),
@@ -133,9 +148,12 @@ def require_usable(thresholds: DataFrame) -> None:
 
 def iqr_flags(
     df: DataFrame, flags: Mapping[str, str] = f.OUTLIER_FLAGS, factor: float = f.IQR_FACTOR,
-    bounds: DataFrame | None = None,
+    bounds: DataFrame | Sequence[Row] | None = None,
 ) -> DataFrame:
-    """Outlier flag per field and for any of them; every row is kept."""
+    """Outlier flag per field and for any of them; every row is kept.
+
+    Bounds that were collected enter as constants, others as a scalar subquery.
+    """
     fields = list(flags)
     typed = df.withColumns({name: to_double(df, name) for name in fields})
     if bounds is None:

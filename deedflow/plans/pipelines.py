@@ -14,7 +14,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from deedflow import fields as f
-from deedflow.operators import checks, events, explore, features, outliers, quality, rates
+from deedflow.functions.scalars import ref, to_double
+from deedflow.operators import checks, distribution, events, explore, features, outliers, quality, rates
 from deedflow.operators.reports import fixed, row_count
 from deedflow.sources import files, sinks, staging
 
@@ -117,31 +118,56 @@ def audit_and_prune(df: DataFrame, dataset: str, threshold: float = 90) -> Table
 
 
 def explore_sold(
-    sold: DataFrame, fields: Sequence[str] = f.EXPLORED_FIELDS, formats: Sequence[str] = ()
+    sold: DataFrame, fields: Sequence[str] = f.EXPLORED_FIELDS, formats: Sequence[str] = (),
+    folder: str | None = None, dataset: str = "sold",
 ) -> Tables:
-    """Distributions, outlier bounds, plot data and the usual questions."""
+    """Distributions, outlier bounds, plot data and the usual questions.
+
+    Three scans serve all distributions: one counts the cells of all fields, one opens the cells that any
+    report wants and counts the prices by county, and one compares values with the outlier bounds. The
+    first two are staged. The remaining questions read the one or two columns that they name.
+    """
     available, _ = checks.split_fields(sold, fields)
+    folder = staging.work_folder(sold.sparkSession, folder)
+    present = set(sold.columns)
+    county = explore.county_field(sold)
+    by_county = county and "ClosePrice" in present
+    cells = sinks.stage(distribution.cell_counts(sold, available), folder, f"{dataset}_cells")
+    wanted = distribution.wanted_cells(cells, explore.PERCENTILES).unionByName(explore.border_cells(cells))
+    groups = {"group": ref(county), "grouped": to_double(sold, "ClosePrice")} if by_county else {}
+    counted = sinks.stage(
+        distribution.count_values(sold, available, wanted, **groups), folder, f"{dataset}_values")
+    opened = distribution.values_of_cells(counted)
+    # One row per field.
+    described = fixed(distribution.distribution(
+        sold, available, explore.PERCENTILES, cells=cells, counted=opened))
+    bounds = outliers.with_fences(described.withColumns({
+        "q1": F.col("p25"), "median": F.col("median_p50"), "q3": F.col("p75")}))
+    fences = fixed(outliers.fence_report(sold, bounds.collect(), available))
     tables = {
-        "numeric_summary": explore.numeric_summary(sold, available),
-        "iqr_summary": outliers.iqr_summary(sold, available),
-        "boxplots": explore.boxplot(sold, available),
+        "numeric_summary": explore.numeric_summary(sold, available, described),
+        "iqr_summary": outliers.iqr_summary(sold, available, bounds=bounds, fences=fences),
+        "boxplots": explore.boxplot(sold, available, bounds=bounds, fences=fences),
     }
+    histograms = explore.histograms(sold, available, cells=cells, counted=opened)
     for name in available:
-        tables[f"histogram_{name}"] = explore.histogram(sold, name)
-    present = set(sold.columns)
+        tables[f"histogram_{name}"] = histograms.filter(F.col("field") == name).drop("field")
     if "PropertyType" in present:
         tables["property_types"] = quality.category_counts(sold, "PropertyType")
     for name in ("ClosePrice", "DaysOnMarket"):
-        if name in present:
+        if name in available:
+            tables[f"center_{name}"] = described.filter(F.col("field") == name).select(
+                "field", "mean", F.col("median_p50").alias("median"), "p95")
+        elif name in present:
             tables[f"center_{name}"] = explore.field_center(sold, name)
     if {"ClosePrice", "ListPrice"} <= present:
         tables["price_vs_list"] = explore.share_vs_reference(sold, "ClosePrice", "ListPrice")
     if {"ListingContractDate", "CloseDate"} <= present:
         tables["close_before_listing"] = explore.rows_before(
             sold, "CloseDate", "ListingContractDate", formats)
-    county = explore.county_field(sold)
-    if county and "ClosePrice" in present:
-        tables["top_counties"] = explore.top_groups(sold, county, "ClosePrice")
+    if by_county:
+        tables["top_counties"] = explore.top_groups(
+            sold, county, "ClosePrice", counted=distribution.values_of_groups(counted, county))
     return tables
 
 
@@ -213,7 +239,7 @@ def remove_outliers(
     thresholds = outliers.iqr_thresholds(engineered, fields, bounds=bounds)
     outliers.require_usable(thresholds)
     flagged = _kept(
-        outliers.exclusion_flags(outliers.iqr_flags(engineered, bounds=bounds)), folder, f"{dataset}_flagged"
+        outliers.exclusion_flags(outliers.iqr_flags(engineered, bounds=bounds.collect())), folder, f"{dataset}_flagged"
     )
     checks.require_columns(flagged, engineered.columns, "flagged table")
     checks.require_boolean(

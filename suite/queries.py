@@ -166,7 +166,7 @@ def exclusion_filter(spark, sf_dir):
 def before_after(spark, sf_dir):
     rows = sold(spark, sf_dir)
     bounds = fixed(outliers.iqr_bounds(rows, OUTLIER_FIELDS))
-    return outliers.before_after(outliers.exclusion_flags(outliers.iqr_flags(rows, bounds=bounds)), bounds=bounds)
+    return outliers.before_after(outliers.exclusion_flags(outliers.iqr_flags(rows, bounds=bounds.collect())), bounds=bounds)
 
 
 @query

@@ -6,7 +6,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from deedflow.operators.distribution import distribution, value_cell
+from deedflow.operators.distribution import (
+    cell_counts, count_values, distribution, merge_cells, value_cell, values_of_cells, values_of_groups, wanted_cells,
+)
 
 QUANTILES = {"p01": 0.01, "p25": 0.25, "median": 0.5, "p95": 0.95}
 
@@ -175,3 +177,32 @@ def test_deviation_of_near_values_does_not_cancel(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     (row,) = distribution(df, ["x"]).collect()
     assert row["std"] == pytest.approx(pd.Series(values).std(), rel=1e-6)
+
+
+def test_cells_add_up_and_serve_many_reports(spark):
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame({
+        "x": np.round(rng.lognormal(10, 1, 600), 2), "y": rng.integers(-5, 5, 600).astype(float),
+        "g": rng.choice(["a", "b", "c"], 600)})
+    frame.loc[::7, "x"] = np.nan
+    df = spark.createDataFrame(frame).repartition(4)
+    merged = merge_cells(cell_counts(df, ["x", "y"], by=["g"]))
+    counted = count_values(df, ["x", "y"], wanted_cells(merged, QUANTILES), F.col("g"), F.col("x"))
+    opened = values_of_cells(counted)
+    for options in ({"cells": merged}, {"cells": merged, "counted": opened}, {"one_scan": True}):
+        rows = distribution(df, ["x", "y"], QUANTILES, **options).collect()
+        assert [row["field"] for row in sorted(rows, key=lambda row: row["field"])] == ["x", "y"]
+        for row in rows:
+            assert_matches_pandas(row, frame[row["field"]])
+    grouped = distribution(df, ["x"], QUANTILES, by=["g"], counted=values_of_groups(counted, "g")).collect()
+    assert len(grouped) == 3
+    for row in grouped:
+        assert_matches_pandas(row, frame.loc[frame["g"] == row["g"], "x"].dropna())
+
+
+def test_described_fields_of_groups(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 3.0, None), ("b", None, None)], "g string, x double, y double")
+    rows = {(row["g"], row["field"]): row for row in distribution(df, ["x", "y"], by=["g"], moments=["x"]).collect()}
+    assert len(rows) == 4
+    assert (rows["a", "x"]["mean"], rows["a", "x"]["median"], rows["a", "y"]["median"]) == (2.0, None, 2.0)
+    assert (rows["b", "x"]["non_missing_count"], rows["b", "x"]["missing_count"], rows["b", "y"]["row_count"]) == (0, 1, 1)

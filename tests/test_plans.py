@@ -7,6 +7,7 @@ import pytest
 from deedflow import fields as f
 from deedflow.operators import events, explore, outliers, quality
 from deedflow.operators.distribution import distribution
+from deedflow.operators.reports import fixed
 from suite.proxies import table
 from suite.queries import QUERIES
 
@@ -71,3 +72,28 @@ def test_flags_need_no_join(spark):
     flagged = outliers.iqr_flags(df, {"l_tax": "tax_flag"})
     main = plan(flagged).split("== Physical Plan ==")[1].split("Subquery")[0]
     assert "Join" not in main
+
+
+def executed_scans(df):
+    """Scans of the plan that ran, those of reused exchanges left out."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = re.sub(r"\+- == Initial Plan ==.*?(?=\+- == Final Plan ==|\Z)", "", text, flags=re.S)
+    return len(re.findall(r"FileScan", final))
+
+
+def test_groups_and_single_scans_read_once(spark):
+    df = table(spark, SF_DIR, "lineitem")
+    assert executed_scans(distribution(df, ["l_tax", "l_discount"], by=["l_returnflag"])) == 1
+    assert executed_scans(distribution(df, ["l_tax"], one_scan=True)) == 1
+    assert executed_scans(explore.histograms(df, ["l_tax", "l_extendedprice"])) == 2
+
+
+def test_before_after_reads_three_times(spark):
+    df = table(spark, SF_DIR, "lineitem")
+    bounds = outliers.iqr_bounds(df, ["l_extendedprice"])
+    assert executed_scans(bounds) == 2
+    flagged = outliers.exclusion_flags(
+        outliers.iqr_flags(df, {"l_extendedprice": "price_flag"}, bounds=bounds.collect()), [])
+    compared = outliers.before_after(flagged, {"l_extendedprice": "median_price"}, fixed(bounds))
+    assert executed_scans(compared) == 1
