@@ -7,6 +7,8 @@ at most `BLOCK` rows. A query meets the rows at most a window away, in its own b
 those beside it, and the best of all curves are merged and ranked by the exact
 inner product of the original vectors.
 
+Vectors of another length span another space: each length is ordered and searched by itself.
+
 Equal vectors are one point of the curve. A point keeps its smallest ids only,
 as many as a result can show, so a vector shared by a third of all rows is one
 row of the search and loses no neighbour.
@@ -21,9 +23,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from deedflow.llm.common import staged
@@ -104,30 +108,42 @@ def reach(count: int) -> int:
     return max(WINDOW, math.ceil(SHARE * count))
 
 
-def _ordered(shapes: DataFrame, curves: int, size: int) -> DataFrame:
-    """Every point on every curve: `curve`, `place` from 0."""
+@lru_cache(maxsize=64)
+def _directions(curves: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Axes and shifts of all curves for vectors of a length."""
     rng = np.random.default_rng(SEED)
-    axes = rng.standard_normal((curves, PROJECTED, size)) / np.sqrt(size)
-    shifts = rng.random((curves, PROJECTED))
-    shared = shapes.sparkSession.sparkContext.broadcast((axes, shifts))
+    return rng.standard_normal((curves, PROJECTED, size)) / np.sqrt(size), rng.random((curves, PROJECTED))
+
+
+def _ordered(shapes: DataFrame, curves: int, spans: list[tuple[int, int]]) -> DataFrame:
+    """Every point on every curve of its length: `point`, `curve`, `place` from 0.
+
+    `spans` are the lengths of vectors with their numbers of points.
+    """
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        axes, shifts = shared.value
         for batch in batches:
-            matrix = _matrix(batch.column(1))
-            # Curves order directions; lengths count in the exact ranking.
-            flat = matrix / np.abs(matrix).max(1, keepdims=True)
-            flat /= np.linalg.norm(flat, axis=1, keepdims=True)
-            for curve in range(curves):
-                spread = flat @ axes[curve].T * np.sqrt(size)
-                cells = np.clip((spread / 8 + 0.25 + shifts[curve] / 2) * (1 << BITS), 0, (1 << BITS) - 1)
-                keys = hilbert_keys(cells.astype(np.int64), BITS)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.full(len(matrix), curve, np.int32)), pa.array(keys.astype(np.int64))],
-                    ["point", "curve", "key"])
-
-    keyed = shapes.select("point", "vector").mapInArrow(key, "point string, curve int, key long")
-    ranged = staged(keyed.repartitionByRange("curve", "key", "point").sortWithinPartitions("curve", "key", "point").select(
+            lengths = pc.binary_length(batch.column(1))
+            for length in pc.unique(lengths).to_pylist():
+                part = batch.filter(pc.equal(lengths, length))
+                size = length // 8
+                axes, shifts = _directions(curves, size)
+                matrix = _matrix(part.column(1))
+                # Curves order directions; lengths count in the exact ranking.
+                flat = matrix / np.abs(matrix).max(1, keepdims=True)
+                flat /= np.linalg.norm(flat, axis=1, keepdims=True)
+                for curve in range(curves):
+                    spread = flat @ axes[curve].T * np.sqrt(size)
+                    cells = np.clip((spread / 8 + 0.25 + shifts[curve] / 2) * (1 << BITS), 0, (1 << BITS) - 1)
+                    keys = hilbert_keys(cells.astype(np.int64), BITS)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array(np.full(len(matrix), size, np.int32)),
+                         pa.array(np.full(len(matrix), curve, np.int32)), pa.array(keys.astype(np.int64))],
+                        ["point", "size", "curve", "key"])
+
+    keyed = shapes.select("point", "vector").mapInArrow(key, "point string, size int, curve int, key long")
+    order = ["size", "curve", "key", "point"]
+    ranged = staged(keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(
         "*", F.monotonically_increasing_id().alias("_row")), "curve-order")
     # Row numbers have the partition above and the place in it below; a partition's offset makes them ranks.
     counts = ranged.groupBy(F.shiftright("_row", 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
@@ -135,10 +151,17 @@ def _ordered(shapes: DataFrame, curves: int, size: int) -> DataFrame:
     for row in counts:
         offsets.append((row["part"], total))
         total += row["n"]
-    offsets = shapes.sparkSession.createDataFrame(offsets, "part long, offset long")
-    length = total // max(curves, 1)
-    return ranged.withColumn("part", F.shiftright("_row", 33)).join(F.broadcast(offsets), "part").selectExpr(
-        "point", "curve", f"offset + (_row & {(1 << 33) - 1}L) - curve * {length}L AS place")
+    starts, total = [], 0
+    for size, count in spans:
+        starts.append((size, total, count))
+        total += curves * count
+    spark = shapes.sparkSession
+    offsets = spark.createDataFrame(offsets, "part long, offset long")
+    starts = spark.createDataFrame(starts, "size int, start long, points long")
+    # One row per partition, and one per length of vectors.
+    return ranged.withColumn("part", F.shiftright("_row", 33)).join(F.broadcast(offsets), "part").join(
+        F.broadcast(starts), "size").selectExpr(
+        "point", "curve", f"offset + (_row & {(1 << 33) - 1}L) - start - curve * points AS place")
 
 
 def neighbours(
@@ -148,14 +171,11 @@ def neighbours(
 
     Queries are rows whose `vec_id` is divisible by `every`; candidates are all
     rows but the query's own. Without a `window` it follows from the table by `reach`. Scores are inner products in double precision; ties go to the
-    smaller id. All vectors have the length of the first; others are left out.
+    smaller id. Vectors of different lengths do not meet. A row that repeats an id, or all of
+    a row, is a query and a candidate of its own.
     """
     spark = vectors.sparkSession
     packed = points(vectors)
-    first = packed.select(F.octet_length("vector").alias("n")).first()
-    if first is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    packed = packed.filter(F.octet_length("vector") == first["n"])
     # The rank limit works before the shuffle too, so that a hot vector sends few rows.
     place = F.row_number().over(Window.partitionBy("point").orderBy("vec_id"))
     ids = packed.select("point", "vec_id").withColumn("_place", place).filter(F.col("_place") <= nearest + 1)
@@ -164,17 +184,20 @@ def neighbours(
     shapes = packed.groupBy("point").agg(
         F.first("vector").alias("vector"), F.max((F.pmod("vec_id", F.lit(every)) == 0).cast("int")).alias("asks")
     ).join(ids, "point")
-    shapes = staged(shapes, "points")
-    window = window or reach(shapes.count())
-    block = min(window, BLOCK)
-    ordered = _ordered(shapes, curves, first["n"] // 8)
-    placed = ordered.join(shapes, "point").withColumn("block", F.expr(f"place div {block}"))
-    columns = ["curve", "block", "place", "point", "vector"]
+    shapes = staged(shapes.withColumn("size", F.expr("CAST(octet_length(vector) div 8 AS int)")), "points")
+    # One row per length of vectors.
+    spans = [tuple(row) for row in shapes.groupBy("size").count().orderBy("size").collect()]
+    if not spans:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    reaches = [(size, window or reach(count)) for size, count in spans]
+    reaches = spark.createDataFrame([(size, n, min(n, BLOCK)) for size, n in reaches], "size int, reach long, rows long")
+    ordered = _ordered(shapes, curves, spans)
+    placed = ordered.join(shapes, "point").join(F.broadcast(reaches), "size").withColumn("block", F.expr("place div rows"))
+    columns = ["size", "reach", "curve", "block", "place", "point", "vector"]
     targets = placed.select(*columns, "ids", F.lit(False).alias("asks"))
-    queries = placed.filter("asks = 1").select(
-        "curve", F.explode(F.expr(
-            f"sequence(greatest(place - {window}, 0L) div {block}, (place + {window}) div {block})")).alias("block"), "place", "point", "vector",
-        F.lit(None).cast("array<long>").alias("ids"), F.lit(True).alias("asks"))
+    queries = placed.filter("asks = 1").withColumn("block", F.explode(F.expr(
+        "sequence(greatest(place - reach, 0L) div rows, (place + reach) div rows)"))).select(
+        *columns, F.lit(None).cast("array<long>").alias("ids"), F.lit(True).alias("asks"))
 
     schema = pa.schema([
         ("query", pa.string()), ("point", pa.string()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])
@@ -184,6 +207,7 @@ def neighbours(
         target, query = table.filter(pa.array(~asks)), table.filter(pa.array(asks))
         if not target.num_rows or not query.num_rows:
             return schema.empty_table()
+        window = key[1].as_py()
         matrix = _matrix(target.column("vector").combine_chunks())
         places = target.column("place").to_numpy()
         names = target.column("point").to_pylist()
@@ -192,30 +216,36 @@ def neighbours(
         out = []
         for at in range(0, query.num_rows, 64):
             part = query.slice(at, 64)
-            scores = _matrix(part.column("vector").combine_chunks()) @ matrix.T
+            wanted = _matrix(part.column("vector").combine_chunks())
+            scores = wanted @ matrix.T
             far = np.abs(part.column("place").to_numpy()[:, None] - places) > window
             scores[far] = -np.inf
             for k, point in enumerate(part.column("point").to_pylist()):
                 row = scores[k]
                 # Points that could hold one of the nearest ids, ties included.
                 limit = np.partition(row, -nearest - 1)[-nearest - 1] if len(row) > nearest + 1 else -np.inf
-                near = np.flatnonzero((row >= limit) & (row > -np.inf))
-                near = near[np.lexsort((smallest[near], -row[near]))][:nearest + 1]
-                out += [(point, names[j], float(row[j]), ids[j]) for j in near]
+                least = limit - 1e-9 * abs(limit) if limit > -np.inf else limit
+                near = np.flatnonzero((row >= least) & (row > -np.inf))
+                # The sum of a pair's own products: the same in every block, unlike those of a matrix product.
+                exact = (matrix[near] * wanted[k]).sum(1)
+                best = np.lexsort((smallest[near], -exact))[:nearest + 1]
+                out += [(point, names[near[j]], float(exact[j]), ids[near[j]]) for j in best]
         return pa.Table.from_arrays([pa.array([o[k] for o in out], schema.field(k).type) for k in range(4)], schema=schema)
 
-    found = targets.unionByName(queries).groupBy("curve", "block").applyInArrow(
+    found = targets.unionByName(queries).groupBy("size", "reach", "curve", "block").applyInArrow(
         search, "query string, point string, score double, ids array<long>")
     found = found.groupBy("query", "point").agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
-    expanded = found.select("query", "score", F.explode("ids").alias("vec_id"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    expanded = found.select("query", "score", (F.col("query") == F.col("point")).alias("own"), F.explode("ids").alias("vec_id"))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "own")
     best = expanded.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= nearest + 1)
     lists = best.groupBy("query").agg(
-        F.sort_array(F.collect_list(F.struct("_place", "vec_id", "score"))).alias("found"))
+        F.sort_array(F.collect_list(F.struct("_place", "vec_id", "score", "own"))).alias("found"))
     # Written, so that the join has exchanges of its own and a hot vector's queries are split.
     lists = staged(lists, "neighbour-lists")
-    # A query is one of the ids of its own point; leaving it out, one more is at hand.
+    # A query is one of the ids of its own point; leaving out that one entry, one more is at hand.
     answered = asked.select(F.col("vec_id").alias("query_id"), F.col("point").alias("query")).join(lists, "query")
+    answered = answered.withColumn("self", F.expr(
+        "array_position(transform(found, f -> f.own AND f.vec_id = query_id), true)"))
     return answered.select(
-        "query_id", F.posexplode(F.expr(f"slice(filter(found, f -> f.vec_id <> query_id), 1, {nearest})"))
+        "query_id", F.posexplode(F.expr(f"slice(filter(found, (f, i) -> i + 1 <> self), 1, {nearest})"))
     ).selectExpr("query_id", "pos + 1 AS rank", "col.vec_id AS vec_id", "col.score AS score")

@@ -123,6 +123,24 @@ def test_neighbours_equal_brute_force_where_windows_cover_all(spark):
     assert neighbours.neighbours(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("first", [3, 8, 5])
+def test_neighbours_of_mixed_lengths_and_repeated_ids(spark, first):
+    """Each length by itself, whichever is read first; only the query's own row is no candidate."""
+    rng = np.random.default_rng(12)
+    data = [(k % 90, rng.standard_normal(size).round(3).tolist()) for size in (first, 3, 5, 8) for k in range(100)]
+    data += [(20, data[0][1])] * 3 + [(40, data[5][1])] * 30 + [data[20]] * 2
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").coalesce(1)
+    expected = collections.Counter()
+    for at, (query, vector) in enumerate(data):
+        if query % 20 == 0:
+            scores = sorted(
+                (-(np.array(vector) * np.array(other)).sum(), i) for j, (i, other) in enumerate(data)
+                if j != at and len(other) == len(vector))
+            expected.update((query, rank + 1, i, round(-s, 9)) for rank, (s, i) in enumerate(scores[:20]))
+    found = neighbours.neighbours(df).collect()
+    assert collections.Counter((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in found) == expected
+
+
 def test_neighbours_in_narrow_windows_reach_the_recall(spark):
     rng = np.random.default_rng(6)
     data = [(k, rng.standard_normal(16).tolist()) for k in range(2000)]
