@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -21,6 +21,8 @@ WHITESPACE = (
 )
 TRUE_WORDS = ("true", "1", "yes")
 FALSE_WORDS = ("false", "0", "no")
+# Formats of dates, for all fields or by field.
+Formats = Sequence[str] | Mapping[str, Sequence[str]]
 
 
 def ref(name: str) -> Column:
@@ -70,13 +72,15 @@ def text_to_timestamp(text: Column, formats: Iterable[str] = ()) -> Column:
     return F.coalesce(iso, *others)
 
 
-def to_timestamp(df: DataFrame, name: str, formats: Iterable[str] = ()) -> Column:
+def to_timestamp(df: DataFrame, name: str, formats: Formats = ()) -> Column:
     if isinstance(df.schema[name].dataType, T.StringType):
+        if isinstance(formats, Mapping):
+            formats = formats.get(name, ())
         return text_to_timestamp(ref(name), formats)
     return ref(name).cast("timestamp_ntz")
 
 
-def to_date(df: DataFrame, name: str, formats: Iterable[str] = ()) -> Column:
+def to_date(df: DataFrame, name: str, formats: Formats = ()) -> Column:
     if isinstance(df.schema[name].dataType, T.DateType):
         return ref(name)
     return to_timestamp(df, name, formats).cast("date")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from deedflow import fields as f
 from deedflow.functions.scalars import (
-    is_true, month_start, percent, postal_code, ref, rounded, strip_text, to_date, to_double,
+    Formats, is_true, month_start, percent, postal_code, ref, rounded, strip_text, to_date, to_double,
     year_month,
 )
 from deedflow.operators.checks import require_columns
@@ -21,7 +21,7 @@ KEY_PART, KEY_PARTS = "_key_part", 16
 
 def _events(
     df: DataFrame, date: str, kind: str, start: str, required: Iterable[str], optional: Iterable[str],
-    formats: Sequence[str],
+    formats: Formats,
 ) -> DataFrame:
     require_columns(df, [*required, date], f"source of {kind} events")
     used = {*required, *(name for name in optional if name in df.columns)}
@@ -56,14 +56,14 @@ def _events(
 
 
 def listing_events(
-    listings: DataFrame, start: str = f.EVENT_FLOOR, formats: Sequence[str] = ()
+    listings: DataFrame, start: str = f.EVENT_FLOOR, formats: Formats = ()
 ) -> DataFrame:
     return _events(
         listings, "ListingContractDate", f.NEW_LISTING, start, f.EVENT_DIMENSIONS, f.EVENT_OPTIONAL, formats
     )
 
 
-def sale_events(sold: DataFrame, start: str = f.EVENT_FLOOR, formats: Sequence[str] = ()) -> DataFrame:
+def sale_events(sold: DataFrame, start: str = f.EVENT_FLOOR, formats: Formats = ()) -> DataFrame:
     """Closed-sale events with their ratios as they came."""
     return _events(
         sold, "CloseDate", f.CLOSED_SALE, start,
@@ -106,7 +106,7 @@ def market_events(
     sold: DataFrame,
     start: str = f.EVENT_FLOOR,
     bounds: tuple[float, float] = f.RATIO_BOUNDS,
-    formats: Sequence[str] = (),
+    formats: Formats = (),
 ) -> DataFrame:
     """Both kinds of events in one table, in no particular order."""
     sales = clean_ratio(sale_events(sold, start, formats), bounds=bounds)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from deedflow import fields as f
-from deedflow.functions.scalars import ref, rounded, to_double, to_timestamp
+from deedflow.functions.scalars import Formats, ref, rounded, to_double, to_timestamp
 from deedflow.operators.distribution import (
     CELL, FIELD, MISSING_CELL, VALUE, WEIGHT, cell_counts, count_values, distribution,
 )
@@ -63,7 +63,7 @@ def share_vs_reference(df: DataFrame, value: str, reference: str) -> DataFrame:
     )
 
 
-def rows_before(df: DataFrame, earlier: str, later: str, formats: Sequence[str] = ()) -> DataFrame:
+def rows_before(df: DataFrame, earlier: str, later: str, formats: Formats = ()) -> DataFrame:
     """Number of rows whose first date lies before the second."""
     before = to_timestamp(df, earlier, formats) < to_timestamp(df, later, formats)
     return df.agg(count_if(before).alias("rows"))

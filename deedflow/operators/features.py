@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from deedflow import fields as f
 from deedflow.functions.scalars import (
-    is_true, percent, ratio, ref, rounded, to_date, to_double, year_month,
+    Formats, is_true, percent, ratio, ref, rounded, to_date, to_double, year_month,
 )
 from deedflow.operators.checks import ContractError, require_columns, split_fields
 from deedflow.operators.distribution import distribution
@@ -23,7 +23,7 @@ def elapsed_days(end: Column, start: Column) -> tuple[Column, Column]:
     return F.when(days >= 0, days), is_true(days < 0)
 
 
-def engineer(df: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
+def engineer(df: DataFrame, formats: Formats = ()) -> DataFrame:
     """Add ratios, calendar fields and durations; every row is kept."""
     require_columns(df, NUMBERS + DATES)
     typed = df.withColumns(

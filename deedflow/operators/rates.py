@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
-from deedflow.functions.scalars import ref, rounded, to_date, to_double, year_month
+from deedflow.functions.scalars import Formats, ref, rounded, to_date, to_double, year_month
 from deedflow.operators.checks import require_columns, require_unique
 from deedflow.operators.reports import count_if, report_rows, row_count
 
@@ -14,7 +12,7 @@ MONTH, RATE = "year_month", "rate_30yr_fixed"
 
 
 def select_rates(
-    raw: DataFrame, date: str = "observation_date", rate: str = "MORTGAGE30US", formats: Sequence[str] = ()
+    raw: DataFrame, date: str = "observation_date", rate: str = "MORTGAGE30US", formats: Formats = ()
 ) -> DataFrame:
     """Observations with a readable date and rate."""
     require_columns(raw, (date, rate), "rate series")
@@ -37,7 +35,7 @@ def require_rates(monthly: DataFrame) -> None:
 
 
 def enrich_monthly(
-    df: DataFrame, monthly: DataFrame, date: str, formats: Sequence[str] = ()
+    df: DataFrame, monthly: DataFrame, date: str, formats: Formats = ()
 ) -> DataFrame:
     """Left join of the monthly rate on the month of `date`.
 

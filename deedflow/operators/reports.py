@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 
 def _column(value: object) -> Column:
@@ -21,10 +22,33 @@ def report_rows(
     """
     if not rows and schema:
         return df.sparkSession.createDataFrame([], schema)
-    structs = [
+    return df.agg(_entries(rows).alias("rows")).select(F.inline("rows"))
+
+
+def _entries(rows: Sequence[Mapping[str, object]]) -> Column:
+    return F.array(*[
         F.struct(*[_column(value).alias(name) for name, value in row.items()]) for row in rows
-    ]
-    return df.agg(F.array(*structs).alias("rows")).select(F.inline("rows"))
+    ])
+
+
+@dataclass(frozen=True)
+class Report:
+    """Entries of a report and its schema, to be computed with others by one aggregation."""
+
+    rows: Sequence[Mapping[str, object]]
+    schema: str
+
+    def of(self, df: DataFrame) -> DataFrame:
+        return report_rows(df, self.rows, self.schema)
+
+    def table(self, spark: SparkSession, measured: Sequence[Row]) -> DataFrame:
+        """The report from its measured rows."""
+        return spark.createDataFrame([tuple(row) for row in measured], self.schema)
+
+
+def measures(reports: Mapping[str, Report]) -> dict[str, Column]:
+    """One aggregate per report that has entries, for an aggregation or an observation."""
+    return {name: _entries(report.rows) for name, report in reports.items() if report.rows}
 
 
 def count_if(condition: Column) -> Column:

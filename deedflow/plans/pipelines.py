@@ -3,7 +3,10 @@
 Each step checks its contracts and returns its tables and reports by name.
 Ingested text files and finished events are staged as Parquet. The steps between
 are projections of the staged table, cheaper to repeat than to store: they stay
-lazy unless a folder is given. Reports stay lazy too; `write_reports` saves them.
+lazy unless a folder is given. Most reports stay lazy too; `write_reports` saves them.
+
+`formats` are those of dates in text. Where none are given, a step infers them from all values of
+the columns that it reads and stops at ambiguous ones; an empty list means ISO dates only.
 """
 
 from __future__ import annotations
@@ -14,9 +17,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from deedflow import fields as f
-from deedflow.functions.scalars import ref, to_double
-from deedflow.operators import checks, distribution, events, explore, features, outliers, quality, rates
-from deedflow.operators.reports import fixed, row_count
+from deedflow.functions.scalars import Formats, ref, to_double
+from deedflow.operators import checks, date_formats, distribution, events, explore, features, outliers, quality, rates
+from deedflow.operators.reports import fixed, measures, row_count
 from deedflow.sources import files, sinks, staging
 
 Tables = dict[str, DataFrame]
@@ -118,7 +121,7 @@ def audit_and_prune(df: DataFrame, dataset: str, threshold: float = 90) -> Table
 
 
 def explore_sold(
-    sold: DataFrame, fields: Sequence[str] = f.EXPLORED_FIELDS, formats: Sequence[str] = (),
+    sold: DataFrame, fields: Sequence[str] = f.EXPLORED_FIELDS, formats: Formats | None = None,
     folder: str | None = None, dataset: str = "sold",
 ) -> Tables:
     """Distributions, outlier bounds, plot data and the usual questions.
@@ -128,6 +131,7 @@ def explore_sold(
     first two are staged. The remaining questions read the one or two columns that they name.
     """
     available, _ = checks.split_fields(sold, fields)
+    formats = date_formats.formats_of(sold, ("CloseDate", "ListingContractDate"), formats)
     folder = staging.work_folder(sold.sparkSession, folder)
     present = set(sold.columns)
     county = explore.county_field(sold)
@@ -173,10 +177,11 @@ def explore_sold(
 
 def enrich(
     df: DataFrame, monthly: DataFrame, date: str, dataset: str, folder: str | None = None,
-    formats: Sequence[str] = (),
+    formats: Formats | None = None,
 ) -> Tables:
     """Join the monthly rate; every row must keep its place and find a rate."""
     rates.require_rates(monthly)
+    formats = date_formats.formats_of(df, [date], formats)
     staged, report = _verified(
         df, lambda rows: rates.enrich_monthly(rows, monthly, date, formats), folder, f"{dataset}_enriched",
         checks.rate_checks)
@@ -189,30 +194,59 @@ def enrich(
 
 
 def clean(
-    df: DataFrame, dataset: str, folder: str | None = None, formats: Sequence[str] = ()
+    df: DataFrame, dataset: str, folder: str | None = None, formats: Formats | None = None
 ) -> Tables:
-    """Types, validity flags and date and coordinate flags; every row is kept."""
+    """Types, validity flags and date and coordinate flags; every row is kept.
+
+    All reports come from the write of the staged table, which observes them; without a folder,
+    from one scan of the source and one of the result.
+    """
     checks.require_flags(df, f.FILLED_INDICATORS)
-    staged, report = _verified(
-        df, lambda rows: quality.clean(rows, formats), folder, f"{dataset}_clean",
-        lambda rows: {ROWS_UNCHANGED: checks.rows_differ_from(rows)})
+    source = quality.with_redundancy(df)
+    formats = date_formats.formats_of(source, f.DATE_FIELDS, formats)
+    built = quality.clean(df, formats)
+    before = {
+        "redundant": quality.redundant_entries(df, dataset),
+        "types": quality.coercion_entries(source, dataset, formats=formats),
+    }
+    after = {
+        "numeric": quality.invalid_entries(built, dataset),
+        "dates": quality.flag_entries(built, f.TIMELINE_FLAGS, dataset),
+        "geographic": quality.flag_entries(built, (*f.GEO_FLAGS, f.FILLED_FLAG), dataset),
+    }
+    read = {"rows_before": row_count(), **measures(before)}
+    written = {"rows_after": row_count(), **measures(after)}
+    table, seen = built, {}
+    if folder is not None:
+        observed = Observation(f"source of {dataset}_clean")
+        kept = source.observe(observed, *[column.alias(key) for key, column in read.items()]).select(
+            *[ref(name) for name in quality.coalesce_redundant(df).columns])
+        table, seen = sinks.stage_observed(quality.clean(kept, formats), folder, f"{dataset}_clean", written)
+        seen |= observed.get
+        rows = table.count()
+        # Rows as stored, from the files' footers: a task that ran twice would have been observed twice.
+        if not rows == seen.get("rows_before") == seen.get("rows_after"):
+            seen = {}
+    if not seen:
+        for one, asked in ((source, read), (table, written)):
+            seen |= one.agg(*[column.alias(key) for key, column in asked.items()]).first().asDict()
+    report = checks.check_counts(df.sparkSession, {ROWS_UNCHANGED: abs(seen["rows_after"] - seen["rows_before"])})
+    checks.enforce(report)
+    reports = {name: one.table(df.sparkSession, seen.get(name, ())) for name, one in (before | after).items()}
     return {
-        "table": staged,
+        "table": table,
         "checks": report,
-        "dataset": quality.dataset_summary(df, staged, dataset),
-        "types": quality.coercion_report(quality.coalesce_redundant(df), dataset, formats=formats),
-        "numeric": quality.invalid_report(staged, dataset),
-        "dates": quality.flag_summary(staged, f.TIMELINE_FLAGS, dataset),
-        "geographic": quality.flag_summary(staged, (*f.GEO_FLAGS, f.FILLED_FLAG), dataset),
-        "redundant": quality.redundant_report(df, dataset),
+        "dataset": quality.dataset_summary(df, table, dataset, (seen["rows_before"], seen["rows_after"])),
+        **reports,
     }
 
 
 def engineer(
     sold: DataFrame, folder: str | None = None, method: str = "exact", dataset: str = "sold",
-    formats: Sequence[str] = (),
+    formats: Formats | None = None,
 ) -> Tables:
     """Ratios and durations, a sample, a metric summary and segment summaries."""
+    formats = date_formats.formats_of(sold, features.DATES, formats)
     staged, report = _verified(
         sold, lambda rows: features.engineer(rows, formats), folder, f"{dataset}_engineered", checks.feature_checks)
     sample = features.sample_rows(staged)
@@ -259,14 +293,16 @@ def remove_outliers(
 
 def build_events(
     listings: DataFrame, sold: DataFrame, folder: str | None = None, start: str = f.EVENT_FLOOR,
-    formats: Sequence[str] = (), name: str = "market_events", ordered: bool = False,
+    formats: Formats | None = None, name: str = "market_events", ordered: bool = False,
 ) -> Tables:
     """The market-event table by month, its reports and the monthly measures.
 
     `ordered` writes the table in its final order (see `sorted_events`), not by month.
     """
     folder = staging.work_folder(sold.sparkSession, folder)
-    listed, sales = events.listing_events(listings, start, formats), events.sale_events(sold, start, formats)
+    listed = events.listing_events(
+        listings, start, date_formats.formats_of(listings, ["ListingContractDate"], formats))
+    sales = events.sale_events(sold, start, date_formats.formats_of(sold, ["CloseDate"], formats))
     kinds = [Observation(f"{name} of listings"), Observation(f"{name} of sales")]
     # The events of each kind are counted before they are put together, and all of them as they are written.
     combined = listed.observe(kinds[0], row_count().alias("rows")).unionByName(

@@ -9,8 +9,9 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from deedflow.functions.scalars import na_to_null, ref
+from deedflow.functions.scalars import Formats, na_to_null, ref
 from deedflow.operators.checks import ContractError, require_columns
+from deedflow.operators.date_formats import formats_of
 from deedflow.operators.quality import union_by_name, union_report
 from deedflow.operators.rates import select_rates
 from deedflow.sources import records
@@ -278,7 +279,8 @@ def select_available(
 
 def read_rates(
     spark: SparkSession, path: str, date: str = "observation_date", rate: str = "MORTGAGE30US",
-    formats: Sequence[str] = (),
+    formats: Formats | None = None,
 ) -> DataFrame:
-    """Weekly observations from a staged CSV file."""
-    return select_rates(read_table(spark, path, "csv"), date, rate, formats)
+    """Weekly observations from a staged CSV file. Without `formats`, that of the dates is inferred."""
+    raw = read_table(spark, path, "csv")
+    return select_rates(raw, date, rate, formats_of(raw, [date], formats))

@@ -64,7 +64,10 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
 
 def stage(df: DataFrame, folder: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Publish a table and read it back: lineage ends at files that outlive executors and later runs."""
-    return df.sparkSession.read.parquet(publish(df, f"{folder}/{name}", partition_by))
+    reader = df.sparkSession.read
+    path = publish(df, f"{folder}/{name}", partition_by)
+    # The schema is known: no job reads it from the files. Columns that partition a table come back last.
+    return reader.parquet(path) if partition_by else reader.schema(df.schema).parquet(path)
 
 
 def stage_observed(

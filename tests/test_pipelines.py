@@ -153,14 +153,20 @@ def test_reports_are_written(spark, steps, tmp_path):
     assert back.count() == 14
 
 
-def test_dates_in_another_format(spark, feed, tmp_path):
-    """All steps on dates like 01/20/2024, as they come and before any cleaning."""
+@pytest.mark.parametrize("formats", [["MM/dd/yyyy"], None])
+def test_dates_in_another_format(spark, feed, tmp_path, formats):
+    """All steps on dates like 01/20/2024, as they come and before any cleaning, with formats given or inferred."""
     import re
 
+    def american(match):
+        year, month, day = match.groups()
+        # Some days after the twelfth in every column tell months from days.
+        return f"{month}/{day if formats or day > '12' else int(day) + 12}/{year}"
+
     for name in ("Sold202401.csv", "Listing202401.csv", "rates.csv"):
         text = (feed / name).read_text()
-        (tmp_path / name).write_text(re.sub(r"(\d{4})-(\d\d)-(\d\d)", r"\2/\3/\1", text))
-    formats, work = ["MM/dd/yyyy"], str(tmp_path / "work")
+        (tmp_path / name).write_text(re.sub(r"(\d{4})-(\d\d)-(\d\d)", american, text))
+    work = str(tmp_path / "work")
     monthly = pipelines.rates.monthly_average(files.read_rates(spark, f"{tmp_path}/rates.csv", formats=formats))
     cleaned = {}
     for dataset, date in (("Listing", "ListingContractDate"), ("Sold", "CloseDate")):
@@ -177,10 +183,18 @@ def test_dates_in_another_format(spark, feed, tmp_path):
     assert built["table"].filter("EventType = 'New Listing'").count() == 20
     assert built["table"].filter("EventMonth IS NULL").count() == 0
     direct = pipelines.events.listing_events(
-        spark.read.option("header", True).csv(f"{tmp_path}/Listing202401.csv"), formats=formats)
+        spark.read.option("header", True).csv(f"{tmp_path}/Listing202401.csv"), formats=formats or ["MM/dd/yyyy"])
     assert direct.count() == 20
 
 
+def test_ambiguous_dates_stop_a_step(spark):
+    df = spark.createDataFrame([("01/02/2024",), ("03/04/2024",)], "CloseDate string")
+    monthly = spark.createDataFrame([("2024-01", 6.6), ("2024-03", 6.6)], "year_month string, rate_30yr_fixed double")
+    with pytest.raises(ContractError, match="CloseDate"):
+        pipelines.enrich(df, monthly, "CloseDate", "sold")
+    assert pipelines.enrich(df, monthly, "CloseDate", "sold", formats=["MM/dd/yyyy"])["table"].count() == 2
+
+
 def _jobs(spark, name, run):
     spark.sparkContext.setJobGroup(name, name)
     result = run()
@@ -195,11 +209,11 @@ def test_staged_steps_are_verified_by_their_own_write(spark, steps, monkeypatch,
     monkeypatch.setattr(pipelines.checks, "check", lambda *_: pytest.fail("checks are counted by a scan"))
     work, monthly = str(tmp_path), spark.createDataFrame([("2024-01", 6.6), ("2024-02", 6.7)], "year_month string, rate_30yr_fixed double")
     table = steps["sold"]["audit"]["table"]
-    enriched, jobs = _jobs(spark, "enrich", lambda: pipelines.enrich(table, monthly, "CloseDate", "sold", work))
+    enriched, jobs = _jobs(spark, "enrich", lambda: pipelines.enrich(table, monthly, "CloseDate", "sold", work, formats=()))
     assert {r["check"]: r["violations"] for r in enriched["checks"].collect()} == {"row_count_unchanged": 0, "rate_matched": 0}
     # Jobs that check the rates, broadcast them, write the table and its line in the manifest, and read schemas.
     assert jobs <= 8
-    cleaned, jobs = _jobs(spark, "clean", lambda: pipelines.clean(enriched["table"], "sold", work))
+    cleaned, jobs = _jobs(spark, "clean", lambda: pipelines.clean(enriched["table"], "sold", work, formats=()))
     assert jobs <= 5 and cleaned["checks"].first()["passed"]
     built, jobs = _jobs(spark, "events", lambda: pipelines.build_events(
         steps["listings"]["clean"]["table"], steps["outliers"]["table"], work))
@@ -212,6 +226,65 @@ def test_a_lost_row_is_found_by_the_write(spark, steps, monkeypatch, tmp_path):
         pipelines.clean(steps["sold"]["enrich"]["table"], "sold", str(tmp_path))
 
 
+REPORTS = ("redundant", "types", "numeric", "dates", "geographic")
+
+
+def _reports(tables):
+    return {name: (tables[name].schema.simpleString(), sorted(map(str, tables[name].collect()))) for name in REPORTS}
+
+
+def test_clean_reports_come_from_the_write_or_from_two_scans(spark, steps, monkeypatch, tmp_path):
+    """The same numbers as the reports computed one by one, in a write, and lazily."""
+    from deedflow.operators import quality
+
+    source = steps["sold"]["enrich"]["table"]
+    source.write.parquet(str(tmp_path / "source"))
+    source = spark.read.parquet(str(tmp_path / "source"))
+    built = quality.clean(source)
+    separate = {
+        "redundant": quality.redundant_report(source, "sold"),
+        "types": quality.coercion_report(quality.coalesce_redundant(source), "sold"),
+        "numeric": quality.invalid_report(built, "sold"),
+        "dates": quality.flag_summary(built, f.TIMELINE_FLAGS, "sold"),
+        "geographic": quality.flag_summary(built, (*f.GEO_FLAGS, f.FILLED_FLAG), "sold"),
+    }
+    expected = _reports(separate)
+    assert sum(len(rows) for _, rows in expected.values()) > 10
+    summary = quality.dataset_summary(source, built, "sold").collect()
+    lazy, jobs = _jobs(spark, "lazy-clean", lambda: pipelines.clean(source, "sold", formats=()))
+    # Two aggregations, each of a job that scans and one that finishes, and one job that looks at the checks.
+    assert jobs <= 5 and _reports(lazy) == expected and lazy["dataset"].collect() == summary
+    monkeypatch.setattr(pipelines, "measures", _once_per_side(pipelines.measures))
+    staged = pipelines.clean(source, "sold", str(tmp_path / "work"), formats=())
+    assert _reports(staged) == expected and staged["dataset"].collect() == summary
+    # Nothing is left to scan: the reports are rows of the plan.
+    for name in REPORTS:
+        assert "FileScan" not in staged[name]._jdf.queryExecution().toString()
+
+
+def _once_per_side(measures):
+    calls = []
+
+    def counted(reports):
+        calls.append(reports)
+        assert len(calls) <= 2
+        return measures(reports)
+    return counted
+
+
+def test_clean_recounts_what_a_repeated_task_may_have_counted_twice(spark, steps, monkeypatch, tmp_path):
+    source = steps["sold"]["enrich"]["table"]
+    stage_observed = pipelines.sinks.stage_observed
+
+    def doubled(*args, **kwargs):
+        table, seen = stage_observed(*args, **kwargs)
+        return table, seen | {"rows_after": 2 * seen["rows_after"], "numeric": []}
+
+    monkeypatch.setattr(pipelines.sinks, "stage_observed", doubled)
+    tables = pipelines.clean(source, "sold", str(tmp_path), formats=())
+    assert tables["checks"].first()["passed"] and tables["numeric"].count() == 3
+
+
 def test_a_row_that_was_observed_twice_is_counted_again(spark, steps):
     table = steps["sold"]["clean"]["table"]
     rows = table.count()
