@@ -579,6 +579,17 @@ SELECT event_id, {_NUMBER} AS num_text,
   coalesce({_TIME}, CAST(try_strptime(date_text, '%m/%d/%Y') AS TIMESTAMP)) AS date_text FROM dirty""")
 ORACLES["enrich_date_formats"] = with_cte(["enriched"], """
 SELECT ListingKey, strftime(CloseDate, '%m/%d/%Y') AS CloseDate, year_month, rate_30yr_fixed FROM enriched""")
+ORACLES["date_format_votes"] = union(
+    f"""SELECT '{name}' AS "column", '{fmt}[ H:mm[:ss]]' AS format, count(try_strptime({text}, '{parse}')) AS "values"
+FROM lineitem"""
+    for name, text in (
+        ("month_first", "strftime(l_shipdate, '%m/%d/%Y')"), ("day_first", "strftime(l_shipdate, '%-d/%-m/%Y')"),
+        ("packed", "strftime(l_shipdate, '%Y%m%d')"))
+    for fmt, parse in (
+        ("M/d/yyyy", "%m/%d/%Y"), ("d/M/yyyy", "%d/%m/%Y"), ("yyyy/M/d", "%Y/%m/%d"), ("M-d-yyyy", "%m-%d-%Y"),
+        ("d-M-yyyy", "%d-%m-%Y"), ("d.M.yyyy", "%d.%m.%Y"), ("yyyyMMdd", "%Y%m%d"), ("d-MMM-yyyy", "%d-%b-%Y"),
+        ("MMM d, yyyy", "%b %d, %Y"))
+)
 ORACLES["repeated_months"] = with_cte(["rates_raw"], """
 SELECT strftime(observation_date, '%Y-%m') AS year_month, count(*) AS copies
 FROM rates_raw WHERE try_cast(rate_text AS DOUBLE) IS NOT NULL GROUP BY 1 HAVING count(*) > 1""")

@@ -10,7 +10,7 @@ from deedflow import fields as f
 from deedflow.functions.scalars import (
     postal_code, rounded, strip_text, to_flag, year_month,
 )
-from deedflow.operators import checks, events, explore, features, outliers, quality, rates
+from deedflow.operators import checks, date_formats, events, explore, features, outliers, quality, rates
 from deedflow.operators.reports import fixed
 from suite import proxies
 from suite.proxies import EVENT_START, table, view
@@ -480,6 +480,16 @@ def enrich_date_formats(spark, sf_dir):
     return rates.enrich_monthly(text, monthly_rates(spark, sf_dir), "CloseDate", ["MM/dd/yyyy"])
 
 
+@query
+def date_format_votes(spark, sf_dir):
+    """How many values each format of dates reads, over text columns of three formats."""
+    texts = table(spark, sf_dir, "lineitem").select(
+        F.date_format("l_shipdate", "MM/dd/yyyy").alias("month_first"),
+        F.date_format("l_shipdate", "d/M/yyyy").alias("day_first"),
+        F.date_format("l_shipdate", "yyyyMMdd").alias("packed"))
+    return date_formats.format_votes(texts, texts.columns)
+
+
 @query
 def repeated_months(spark, sf_dir):
     """Keys that a unique right side of a join may not repeat."""
