@@ -442,6 +442,8 @@ def _sent(rows: DataFrame, vocabulary: DataFrame, shared) -> DataFrame:
             words, counts = np.repeat(words, times), np.repeat(counts, times)
             shard = settings.place(words, part)
             order = np.lexsort((words, shard))
+            # Parts of a word that lie in one shard share its count.
+            order = order[(np.diff(shard[order], prepend=-1) != 0) | (np.diff(words[order], prepend=np.uint64(0)) != 0)]
             edges = np.flatnonzero(np.diff(shard[order], prepend=-1))
             cuts = [order[s:e] for s, e in zip(edges, [*edges[1:], len(order)])]
             yield _rows(COUNTS, [int(shard[c[0]]) for c in cuts], 0, [_packed([words[c], counts[c]]) for c in cuts])

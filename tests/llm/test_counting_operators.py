@@ -83,6 +83,19 @@ def test_scores_equal_the_plain_model(spark, monkeypatch, split):
         assert abs(row.score - model.score(near[0])) <= len(near[0]) / language_model.STEPS
 
 
+def test_a_word_whose_parts_share_a_shard_is_counted_once(spark):
+    # So many ends are split, and there are few shards.
+    texts = spark.range(300_000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'hot', NULL) AS text")
+    kept = [k for k in range(300_000) if not held(k, 10)]
+    ends, hot = len(kept), sum(k % 3 == 0 for k in kept)
+    found = language_model.scores(texts).groupBy("n_tokens").agg({"base_score": "avg", "train_tokens": "max"}).collect()
+    whole = ends + hot + 0.1 * 3
+    end, word = math.log10((ends + 0.1) / whole), math.log10((hot + 0.1) / whole)
+    base = {r["n_tokens"]: r["avg(base_score)"] for r in found}
+    assert base == {1: pytest.approx(end, rel=1e-9), 2: pytest.approx(end + word, rel=1e-9)}
+    assert {r["max(train_tokens)"] for r in found} == {ends + hot}
+
+
 def test_model_beats_unigrams_on_held_out_texts(spark):
     found = language_model.scores(table(spark, SF_DIR, "documents")).filter("held_out").toPandas()
     assert found.score.sum() > found.base_score.sum()
