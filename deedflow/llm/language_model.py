@@ -79,6 +79,32 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return known[np.concatenate([np.zeros(0, np.int64), *parts])], lengths
 
 
+def _ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by key, and which places of it begin a new key.
+
+    Numbers are sorted many times faster than places, so keys are sorted with their place in their last bits.
+    """
+    keys = keys.astype(np.uint64)
+    bits = max(len(keys) - 1, 1).bit_length()
+    spread = keys << np.uint64(64 - max(int(keys.max(initial=0)).bit_length(), 1))
+    mask = np.uint64((1 << bits) - 1)
+    order = (np.sort((spread & ~mask) | np.arange(len(keys), dtype=np.uint64)) & mask).astype(np.int64)
+    found = keys[order]
+    if (found[1:] < found[:-1]).any():
+        # Different keys that only their last bits tell apart.
+        order = np.argsort(keys)
+        found = keys[order]
+    return order, np.append(np.ones(min(len(keys), 1), bool), found[1:] != found[:-1])
+
+
+def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and for each key its place among them."""
+    order, new = _ordered(keys)
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return keys[order[new]], inverse
+
+
 # -- Elias-Fano levels -------------------------------------------------------
 
 
@@ -170,7 +196,7 @@ class Sequence:
 
 def _found(sequence: Sequence, queries: np.ndarray) -> np.ndarray:
     """`find` for queries in any order."""
-    unique, inverse = np.unique(queries, return_inverse=True)
+    unique, inverse = _unique(queries)
     return sequence.find(unique)[inverse]
 
 
@@ -190,18 +216,22 @@ class Trie:
         self.scratch, self.share, self.mass = scratch, share, mass
         seen = n > 0
         w, b, a, n = w[seen], b[seen], a[seen], n[seen]
-        words, contexts = counts[0], np.unique(np.concatenate([b, a]))
-        wi, bi, ai = (np.searchsorted(s, v) for s, v in ((words, w), (contexts, b), (contexts, a)))
+        words = counts[0]
+        contexts, places = _unique(np.concatenate([b, a]))
+        bi, ai = places[:len(b)], places[len(b):]
+        unique, inverse = _unique(w)
+        wi = np.searchsorted(words, unique)[inverse]
         size = max(len(contexts), 1)
         # Words seen before each context, for ranks.
-        lists, at = np.unique(bi * size + ai, return_inverse=True)
+        lists, at = _unique(bi * size + ai)
         begins = np.searchsorted(lists, np.arange(size + 1) * size)
         rank = at - begins[bi]
         self.reach = int(np.diff(begins).max(initial=0)) + 1
-        pairs, node = np.unique(wi * size + bi, return_inverse=True)
+        pairs, node = _unique(wi * size + bi)
         n2 = np.bincount(node, n, len(pairs))
-        order = np.lexsort((rank, node))
-        children = (node * self.reach + rank)[order]
+        children = node * self.reach + rank
+        order = _ordered(children)[0]
+        children = children[order]
         unigram = share(counts[1])
         pw, pb = pairs // size, pairs % size
         spread = mass(contexts[pb]) * unigram[pw] if len(pairs) else np.zeros(0)
@@ -259,7 +289,7 @@ class Trie:
 
 
 def _merged(values: list[np.ndarray], counts: list[np.ndarray]):
-    unique, inverse = np.unique(np.concatenate(values), return_inverse=True)
+    unique, inverse = _unique(np.concatenate(values))
     return unique, np.bincount(inverse, np.concatenate(counts), len(unique)).astype(np.int64)
 
 
@@ -387,21 +417,26 @@ def _chunk_rows(settings: Settings, chunk: int, parts: list[tuple]) -> Iterator[
     a[begins] = START
     # An n-gram that a text repeats is one record with its number.
     mark = _mixed(w + _mixed(b + _mixed(a + _mixed(doc.astype(np.uint64)))))
-    _, first, times = np.unique(mark, return_index=True, return_counts=True)
-    del mark
+    order, new = _ordered(mark)
+    first, times = order[new], np.diff(np.flatnonzero(new), append=len(mark))
+    del mark, order, new
     w, b, a, doc = w[first], b[first] & CONTEXT, a[first] & CONTEXT, doc[first]
     parts_of = settings.parts(w)
     shard = settings.place(w, (_mixed(b) % parts_of.astype(np.uint64)).astype(np.int64))
-    order = np.lexsort((w, shard))
+    # By shard, then by word, but for its last bits: a word that another one parts is listed twice.
+    bits = np.uint64(settings.shards.bit_length())
+    order = _ordered((shard.astype(np.uint64) << (np.uint64(64) - bits)) | (w >> bits))[0]
     edges = np.flatnonzero(np.diff(shard[order], prepend=-1))
     shards, blobs = [], []
     for start, stop in zip(edges, [*edges[1:], len(order)]):
         at = order[start:stop]
-        words, wi = np.unique(w[at], return_inverse=True)
-        contexts, ci = np.unique(np.concatenate([b[at], a[at]]), return_inverse=True)
+        words = w[at]
+        steps = np.append(False, words[1:] != words[:-1])
+        words = words[np.append(0, np.flatnonzero(steps))]
+        contexts, ci = _unique(np.concatenate([b[at], a[at]]))
         shards.append(int(shard[at[0]]))
         blobs.append(_packed([
-            words, np.diff(contexts, prepend=np.uint64(0)), np.diff(wi, prepend=0), ci[:len(at)], ci[len(at):],
+            words, np.diff(contexts, prepend=np.uint64(0)), steps, ci[:len(at)], ci[len(at):],
             doc[at] * 2 + held[doc[at]], times[at]]))
         if len(blobs) == 64:
             yield _rows(TOKENS, shards, chunk, blobs)
@@ -468,9 +503,11 @@ def _scored(settings: Settings, counts: list[bytes], blobs: list[tuple[int, byte
     blobs = [(chunk, None) for chunk, _ in blobs]
     # An n-gram is known by a hash of all its words.
     key = _mixed(w + _mixed(b + _mixed(a)))
-    _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-    del key
-    inverse = inverse.astype(np.int32)
+    order, new = _ordered(key)
+    first = order[new]
+    inverse = np.empty(len(key), np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    del key, order, new
     w, b, a = w[first], b[first], a[first]
     n = np.bincount(inverse, times * (1 - doc % 2), len(first))
     trie = Trie(w, b, a, n, (words, n1), settings.share, settings.mass)
@@ -480,7 +517,7 @@ def _scored(settings: Settings, counts: list[bytes], blobs: list[tuple[int, byte
     at = 0
     for (chunk, _), size in zip(blobs, sizes):
         k = inverse[at:at + size]
-        texts, place = np.unique(doc[at:at + size] // 2, return_inverse=True)
+        texts, place = _unique(doc[at:at + size] // 2)
         m = times[at:at + size].astype(np.int64)
         sums = np.stack([np.bincount(place, x, len(texts)) for x in (m * steps[k], m * base[k], m * (known[k] > 0))])
         data = zstandard.compress(texts.astype(np.int32).tobytes() + sums[2].astype(np.int32).tobytes()

@@ -118,6 +118,16 @@ def test_scores_of_no_rows_and_of_no_training_rows(spark):
     assert len(found) == 2 and all(r.train_tokens == 0 and r.n_known == 0 and abs(r.base_score) < 1e-9 for r in found)
 
 
+def test_distinct_keys_are_those_of_numpy():
+    rng = np.random.default_rng(4)
+    wide = rng.integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    # Keys that only their last bits tell apart, mixed.
+    near = np.uint64(1 << 63) + rng.integers(0, 3, 3000).astype(np.uint64)
+    for keys in (wide, near, np.concatenate([wide, near, wide]), rng.integers(0, 9, 100), np.zeros(0, np.int64), np.array([7]), np.zeros(5, np.int64)):
+        unique, inverse = language_model._unique(keys)
+        assert unique.dtype == keys.dtype and (unique == np.unique(keys)).all() and (unique[inverse] == keys).all()
+
+
 def test_elias_fano_returns_and_finds_its_values():
     rng = np.random.default_rng(3)
     for values in ([], [0], [5, 5], np.sort(rng.integers(0, 1 << 50, 70_000)), np.arange(40_000), np.full(3, (1 << 63) - 1)):
