@@ -6,13 +6,14 @@ the words, the strongest response of each filter over the whole text is kept, an
 a logistic layer turns these into a score. Max pooling sends the gradient of a
 text to the strongest windows alone, so a step touches few rows of the table.
 
-Training takes a sample of labelled rows of a documented bound, chosen by hash;
-scoring runs over whole texts in Arrow batches. Thresholds are
-calibrated by language on labelled rows that a first model has not seen.
+Training starts from a model of a few labelled rows and takes passes over all of them: tasks learn from their own
+rows, and the changes are averaged. Scoring runs over whole texts in Arrow batches. Thresholds are
+calibrated by language on a fifth of all labelled rows, which the model has not seen until then.
 """
 
 from __future__ import annotations
 
+import copy
 import zlib
 from collections.abc import Iterator
 
@@ -20,17 +21,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from deedflow.llm.common import masked, unmasked
+from deedflow.llm.common import masked, staged, unmasked
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-# Labelled rows used at most: this many of each label; a fifth of them calibrates.
+# Rows of each label, at most, that the first model learns from, before the pass over all labelled rows.
 SAMPLE = 2000
+# Labelled rows that one task of the pass learns from, and rows of the table whose changes are averaged together.
+TASK_ROWS = 4096
+BLOCK = 1 << 13
+# Labelled ids that may be broadcast.
+BROADCAST_IDS = 1 << 19
+# Steps of a score's logarithmic odds in which calibrating rows are counted.
+ODDS = 64
 # Words that are in memory at once while scoring; a longer text is pooled piece by piece.
 PIECE = 1 << 15
-# Training takes as many steps whatever the sample.
+# Steps of the first model.
 STEPS = 320
 BATCH = 32
 SEED = 11
@@ -86,6 +94,8 @@ class Model:
         self.biases = {w: np.zeros(FILTERS, np.float32) for w in WIDTHS}
         self.out = (rng.standard_normal(FILTERS * len(WIDTHS)) * 0.3).astype(np.float32)
         self.shift = np.float32(0)
+        # Sums of squared gradients set the step of each parameter.
+        self.squares: dict[str, np.ndarray] = {}
 
     def words(self, ids: np.ndarray) -> np.ndarray:
         rows = self.table[ids[:, 0]]
@@ -134,15 +144,10 @@ class Model:
         return 1 / (1 + np.exp(-raw))
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, seed: int = SEED) -> Model:
-    """Logistic loss, adaptive steps, each pass over the texts in a new seeded order."""
-    model = Model(seed)
-    rng = np.random.default_rng(seed + 1)
-    # Sums of squared gradients set the step of each parameter.
-    squares: dict[str, np.ndarray] = {}
-
+def _step(model: Model, texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """One adaptive step on the logistic loss of a few texts; the rows of the table that it changes."""
     def step(name, value, gradient, rate, rows=None):
-        total = squares.setdefault(name, np.full(value.shape, 1e-2, np.float32))
+        total = model.squares.setdefault(name, np.full(value.shape, 1e-2, np.float32))
         if rows is None:
             total += gradient**2
             value -= rate * gradient / np.sqrt(total)
@@ -150,6 +155,38 @@ def train(texts: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, seed:
             total[rows] += gradient**2
             value[rows] -= rate * gradient / np.sqrt(total[rows])
 
+    pooled, places, ids = model.pooled(texts, positions=True)
+    raw = np.clip(pooled @ model.out + model.shift, -30, 30)
+    error = (1 / (1 + np.exp(-raw)) - labels).astype(np.float32)
+    back = np.outer(error, model.out) * (pooled > 0)
+    step("out", model.out, pooled.T @ error, 0.1)
+    shift = np.array([model.shift])
+    step("shift", shift, np.array([error.sum()], np.float32), 0.1)
+    model.shift = shift[0]
+    touched, changes = [], []
+    for n, width in enumerate(WIDTHS):
+        part = back[:, n * FILTERS:(n + 1) * FILTERS]
+        where = places[n][:, :, None] + np.arange(width)
+        rows = model.table[ids[where]].sum(3).reshape(len(texts), FILTERS, width * DIMENSIONS)
+        kernel = model.filters[width]
+        change = (part[:, :, None] * kernel.T[None]).reshape(-1, DIMENSIONS)
+        changes.append(np.repeat(change, PARTS, axis=0))
+        touched.append(ids[where].reshape(-1))
+        step(f"f{width}", kernel, np.einsum("tf,tfd->df", part, rows), 0.05)
+        step(f"b{width}", model.biases[width], part.sum(0), 0.05)
+    touched, changes = np.concatenate(touched), np.concatenate(changes)
+    kept = (np.abs(changes).sum(1) > 0) & (touched > 0)
+    unique, inverse = np.unique(touched[kept], return_inverse=True)
+    summed = np.zeros((len(unique), DIMENSIONS), np.float32)
+    np.add.at(summed, inverse, changes[kept])
+    step("table", model.table, summed, 0.1, unique)
+    return unique
+
+
+def train(texts: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, seed: int = SEED) -> Model:
+    """A new model after some steps; each pass over the texts is in a new seeded order."""
+    model = Model(seed)
+    rng = np.random.default_rng(seed + 1)
     taken = 0
     while taken < steps:
         order = rng.permutation(len(texts))
@@ -158,51 +195,115 @@ def train(texts: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, seed:
             taken += 1
             if taken > steps:
                 break
-            pooled, places, ids = model.pooled([texts[k] for k in chosen], positions=True)
-            raw = np.clip(pooled @ model.out + model.shift, -30, 30)
-            error = (1 / (1 + np.exp(-raw)) - labels[chosen]).astype(np.float32)
-            back = np.outer(error, model.out) * (pooled > 0)
-            step("out", model.out, pooled.T @ error, 0.1)
-            shift = np.array([model.shift])
-            step("shift", shift, np.array([error.sum()], np.float32), 0.1)
-            model.shift = shift[0]
-            touched, changes = [], []
-            for n, width in enumerate(WIDTHS):
-                part = back[:, n * FILTERS:(n + 1) * FILTERS]
-                where = places[n][:, :, None] + np.arange(width)
-                rows = model.table[ids[where]].sum(3).reshape(len(chosen), FILTERS, width * DIMENSIONS)
-                kernel = model.filters[width]
-                change = (part[:, :, None] * kernel.T[None]).reshape(-1, DIMENSIONS)
-                changes.append(np.repeat(change, PARTS, axis=0))
-                touched.append(ids[where].reshape(-1))
-                step(f"f{width}", kernel, np.einsum("tf,tfd->df", part, rows), 0.05)
-                step(f"b{width}", model.biases[width], part.sum(0), 0.05)
-            touched, changes = np.concatenate(touched), np.concatenate(changes)
-            kept = (np.abs(changes).sum(1) > 0) & (touched > 0)
-            unique, inverse = np.unique(touched[kept], return_inverse=True)
-            summed = np.zeros((len(unique), DIMENSIONS), np.float32)
-            np.add.at(summed, inverse, changes[kept])
-            step("table", model.table, summed, 0.1, unique)
+            _step(model, [texts[k] for k in chosen], labels[chosen])
     return model
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
+def _small(model: Model) -> list[np.ndarray]:
+    """All parameters but the table."""
+    return [model.out, *model.filters.values(), *model.biases.values()]
+
+
+def _passed(shared):
+    """One pass of a task over its rows, from the shared model: what it changes, in blocks of the table."""
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, touched, texts, labels, size = None, np.zeros(BUCKETS, bool), [], [], 0
+        for batch in batches:
+            if model is None:
+                first = shared.value
+                model = copy.deepcopy(first)
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                for ids, label in zip(word_ids(part.column(0).to_pylist()), part.column(1).to_pylist()):
+                    texts.append(ids)
+                    labels.append(label)
+                    size += len(ids)
+                    if len(texts) == BATCH or size >= PIECE:
+                        touched[_step(model, texts, np.array(labels, np.float32))] = True
+                        texts, labels, size = [], [], 0
+        if texts:
+            touched[_step(model, texts, np.array(labels, np.float32))] = True
+        if model is None:
+            return
+        rows = np.flatnonzero(touched)
+        change = model.table[rows] - first.table[rows]
+        edges = np.searchsorted(rows, np.arange(0, BUCKETS + 1, BLOCK))
+        small = np.concatenate([*[(new - old).reshape(-1) for new, old in zip(_small(model), _small(first))],
+                                [model.shift - first.shift]]).astype(np.float32)
+        blocks = [-1, *range(BUCKETS // BLOCK)]
+        places = [np.arange(len(small)), *[rows[s:e] - k * BLOCK for k, (s, e) in enumerate(zip(edges, edges[1:]))]]
+        values = [small, *[change[s:e] for s, e in zip(edges, edges[1:])]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(blocks, pa.int32()), pa.array([p.astype(np.int32).tobytes() for p in places], pa.binary()),
+             pa.array([v.tobytes() for v in values], pa.binary())], ["block", "places", "changes"])
+    return learn
+
+
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean change of each row of a block over the tasks that changed it."""
+    sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        for block, places, changes in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            places = np.frombuffer(places, np.int32)
+            width = 1 if block < 0 else DIMENSIONS
+            if block not in sums:
+                length = len(places) if block < 0 else BLOCK
+                sums[block] = np.zeros((length, width)), np.zeros((length, 1))
+            sums[block][0][places] += np.frombuffer(changes, np.float32).reshape(-1, width)
+            sums[block][1][places] += 1
+    for block, (total, count) in sums.items():
+        mean = (total / np.maximum(count, 1)).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([mean.tobytes()], pa.binary())], ["block", "mean"])
+
+
+def refine(model: Model, rows: DataFrame, count: int) -> Model:
+    """The model after a pass over all `rows` (`text`, `_toxic`, `_order`), `count` of them.
+
+    Tasks learn from their own rows, each from the same model, and their changes are averaged block by block. A task
+    takes some `TASK_ROWS` rows in the order of a hash, so neither its share nor its memory grows with the table.
+    """
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    # Fixed by the rows alone, so that a rerun learns the same.
+    dealt = rows.repartition(max(1, -(-count // TASK_ROWS)), "_order").sortWithinPartitions("_order", "_toxic")
+    changes = dealt.select("text", "_toxic").mapInArrow(_passed(shared), "block int, places binary, changes binary")
+    means = changes.repartition("block").mapInArrow(_averaged, "block int, mean binary")
+    # As many values as the model has.
+    means = {row["block"]: np.frombuffer(row["mean"], np.float32) for row in means.collect()}
+    shared.unpersist()
+    if means:
+        small = means.pop(-1)
+        model.shift = np.float32(model.shift + small[-1])
+        at = 0
+        for values in _small(model):
+            values += small[at:at + values.size].reshape(values.shape)
+            at += values.size
+    for block, mean in means.items():
+        model.table[block * BLOCK:(block + 1) * BLOCK] += mean.reshape(-1, DIMENSIONS)
+    return model
+
+
+def best_threshold(scores: np.ndarray, labels: np.ndarray, times: np.ndarray | None = None) -> float:
     """The threshold with the least loss, a false alarm counting as two misses.
 
+    `times` says how many rows each score and label stand for.
     Of equally good thresholds the nearest to 0.5 is taken, and few toxic rows
     move it little.
     """
     if not len(scores) or labels.min() == labels.max():
         return 0.5
     order = np.argsort(scores, kind="stable")
-    s, y = scores[order], labels[order]
+    s, n = scores[order], np.ones(len(scores), np.int64) if times is None else times[order]
+    y = labels[order] * n
     missed = np.concatenate([[0], np.cumsum(y)])
-    alarms = (1 - y).sum() - np.concatenate([[0], np.cumsum(1 - y)])
+    alarms = (n - y).sum() - np.concatenate([[0], np.cumsum(n - y)])
     low, high = np.concatenate([[0.01], s]), np.concatenate([s, [0.99]])
     loss = missed + 2 * alarms
     # A threshold at the edge of its gap moves to the middle.
     inside = np.where((low < 0.5) & (0.5 < high), 0.5, (low + high) / 2)
-    ties = np.flatnonzero(loss == loss.min())
+    # Equal scores stay together.
+    apart = np.concatenate([[True], s[1:] != s[:-1], [True]])
+    ties = np.flatnonzero(apart & (loss == loss[apart].min()))
     chosen = np.clip(inside[ties[np.argmin(np.abs(inside[ties] - 0.5))]], 0.01, 0.99)
     weight = y.sum() / (y.sum() + STEADY)
     return float(1 / (1 + np.exp(-weight * np.log(chosen / (1 - chosen)))))
@@ -220,49 +321,90 @@ def fold(folds: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS) -> tuple[Model, dict[str, float]]:
-    """Model and thresholds by language from labelled rows outside of the held-out fold.
+def _labelled(docs: DataFrame, labels: DataFrame, folds: int) -> DataFrame:
+    """Every labelled id outside of the held-out fold that has a row: `text`, `_lang`, `_toxic`, `_order`.
 
-    Takes `sample` rows of each label at most, the first by a hash of the id.
     Of rows with one id the one with the smallest text hash is taken.
-    Without both labels the model rejects nothing.
     """
     marked = labels.filter("toxic IN (0, 1)").filter(fold(folds) != 0).groupBy("doc_id").agg(
-        F.max("toxic").alias("_toxic"))
-    picked = marked.withColumn("_order", F.xxhash64(F.lit(SEED), "doc_id"))
-    picked = picked.filter("_toxic = 1").orderBy("_order").limit(sample).unionByName(
-        picked.filter("_toxic = 0").orderBy("_order").limit(sample))
-    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("_lang")).join(F.broadcast(picked), "doc_id")
+        F.max(F.col("toxic").cast("int")).alias("_toxic"))
+    marked = staged(marked.withColumn("_order", F.xxhash64(F.lit(SEED), "doc_id")), "marked")
+    # Few labels spare the texts a shuffle.
+    few = marked.count() <= BROADCAST_IDS
+    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("_lang")).join(
+        F.broadcast(marked) if few else marked, "doc_id")
     # An id that many rows share is learned from once.
     rows = rows.groupBy("doc_id", "_toxic", "_order").agg(
         F.min_by(F.struct("text", "_lang"), F.struct(F.xxhash64("text"), "_lang")).alias("_row"))
-    rows = rows.select("_row.text", "_row._lang", "_toxic", "_order")
+    return staged(rows.select("_row.text", "_row._lang", "_toxic", "_order"), "labelled")
+
+
+def _histogram(rows: DataFrame, model: Model) -> list:
+    """Number of rows by language, label and score, scores in steps of their logarithmic odds."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                values = np.clip(shared.value.scores(word_ids(part.column(0).to_pylist())), 1e-9, 1 - 1e-9)
+                steps = np.rint(ODDS * np.log(values / (1 - values))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(steps)], ["lang", "toxic", "step"])
+
+    scored = rows.select("text", "_lang", "_toxic").mapInArrow(score, "lang string, toxic int, step int")
+    counted = scored.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), "toxic", "step").agg(F.count(F.lit(1)).alias("n"))
+    return counted.collect()
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS) -> tuple[Model, dict[str, float]]:
+    """Model and thresholds by language from all labelled rows outside of the held-out fold.
+
+    A first model of `sample` rows of each label at most is the start of a pass over four fifths of the ids, by a
+    hash. The other fifth, all of it, calibrates the thresholds; then a pass over all rows ends the training.
+    Without both labels the model rejects nothing.
+    """
+    rows = _labelled(docs, labels, folds)
+    known = "pmod(_order, 5) = 0"
+
+    def numbers(df: DataFrame) -> dict[int, int]:
+        return {row["_toxic"]: row["count"] for row in df.groupBy("_toxic").count().collect()}
+
+    every, learned = numbers(rows), numbers(rows.filter(f"NOT ({known})"))
+    if len(every) < 2:
+        return untrained(), {}
+    # Too few rows to spare some.
+    learn = rows.filter(f"NOT ({known})") if len(learned) == 2 else rows
+    learned = learned if len(learned) == 2 else every
+    first = learn.select("_toxic", "_order")
+    first = first.filter("_toxic = 1").orderBy("_order").limit(sample).unionByName(
+        first.filter("_toxic = 0").orderBy("_order").limit(sample))
+    first = learn.join(F.broadcast(first.select("_order")), "_order").select("text", "_toxic", "_order")
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = [ids.tobytes() for ids in word_ids(batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(packed, pa.binary()), batch.column(1), batch.column(2), batch.column(3)],
-                ["ids", "lang", "toxic", "place"])
-
-    packed = rows.select("text", "_lang", F.col("_toxic").cast("int").alias("t"), "_order").mapInArrow(
-        ids, "ids binary, lang string, toxic int, place long")
-    collected = sorted(packed.collect(), key=lambda r: (r.place, r.ids))
-    texts = [np.frombuffer(r.ids, np.int32).reshape(-1, PARTS) for r in collected]
-    toxic = np.array([r.toxic for r in collected], np.int64)
-    if not len(toxic) or toxic.min() == toxic.max():
-        return untrained(), {}
-    check = np.arange(len(texts)) % 5 == 0
-    learn, known = np.flatnonzero(~check), np.flatnonzero(check)
-    scores = train([texts[k] for k in learn], toxic[learn].astype(np.float32)).scores([texts[k] for k in known])
-    # One shift for all languages puts the best common threshold at 0.5. The model itself learns from all rows.
-    common = best_threshold(scores, toxic[known])
+                [pa.array(packed, pa.binary()), batch.column(1), batch.column(2)], ["ids", "toxic", "place"])
+
+    collected = sorted(first.mapInArrow(ids, "ids binary, toxic int, place long").collect(), key=lambda r: (r.place, r.ids))
+    model = train([np.frombuffer(r.ids, np.int32).reshape(-1, PARTS) for r in collected],
+                  np.array([r.toxic for r in collected], np.float32))
+    del collected
+    model = refine(model, learn, sum(learned.values()))
+    counted = _histogram(rows.filter(known), model) if learn is not rows else []
+    # The model itself learns from all rows.
+    model = refine(model, rows, sum(every.values()))
+    model.squares = {}
+    odds, langs, toxic, times = (np.array([row[name] for row in counted]) for name in ("step", "lang", "toxic", "n"))
+    scores = 1 / (1 + np.exp(-odds / ODDS))
+    # One shift for all languages puts the best common threshold at 0.5.
+    common = best_threshold(scores, toxic, times)
     shift = np.log(common / (1 - common))
-    model = train(texts, toxic.astype(np.float32))
     model.shift = np.float32(model.shift - shift)
-    scores = 1 / (1 + (1 / np.clip(scores, 1e-9, 1 - 1e-9) - 1) * np.exp(shift))
-    langs = np.array([collected[k].lang or "" for k in known])
-    return model, {lang: best_threshold(scores[langs == lang], toxic[known][langs == lang]) for lang in sorted(set(langs))}
+    scores = 1 / (1 + np.exp(shift - odds / ODDS))
+    return model, {
+        str(lang): best_threshold(scores[langs == lang], toxic[langs == lang], times[langs == lang])
+        for lang in sorted(set(langs))}
 
 
 def _scored(docs: DataFrame, labels: DataFrame, sample: int, folds: int) -> tuple[DataFrame, dict[str, str]]:

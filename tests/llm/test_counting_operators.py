@@ -212,6 +212,28 @@ def test_toxicity_learns_once_from_rows_of_one_id(spark, monkeypatch):
     assert max(learned) <= 4
 
 
+def test_toxicity_learns_and_calibrates_from_all_labelled_rows(spark):
+    # The first model sees one row of each label; the words that tell are in the others alone.
+    data = [(k, ("bad" if k % 2 else "fine") + f" thing {k % 7}" if k > 100 else "plain", "en" if k % 3 else "de",
+             "a", 0, "x", 0.0, 0, 0) for k in range(1200)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1200)], "doc_id long, toxic int")
+    rows = toxicity._labelled(documents(spark, data), labels, 5)
+    assert rows.count() == sum(not held(k, 5) for k in range(1200))
+    model, thresholds = toxicity.fit(documents(spark, data), labels, sample=1)
+    good, bad = model.scores(toxicity.word_ids(["fine thing 3", "bad thing 3"]))
+    assert good < 0.5 < bad and set(thresholds) == {"de", "en"}
+    counted = toxicity._histogram(rows.filter("pmod(_order, 5) = 0"), model)
+    assert sum(r.n for r in counted) == rows.filter("pmod(_order, 5) = 0").count() > 100
+
+
+def test_counted_scores_give_the_threshold_of_single_rows():
+    rng = np.random.default_rng(5)
+    scores = rng.integers(1, 20, 400) / 20
+    labels = (rng.random(400) < scores).astype(np.int64)
+    pairs, times = np.unique(np.stack([scores, labels]), axis=1, return_counts=True)
+    assert toxicity.best_threshold(pairs[0], pairs[1], times) == pytest.approx(toxicity.best_threshold(scores, labels))
+
+
 def test_pipeline_decides_by_the_threshold_of_the_language(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit", lambda *_: (toxicity.Model(), {"en": 0.0, "de": 1.0}))
     docs = documents(spark)
