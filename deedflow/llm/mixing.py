@@ -8,9 +8,9 @@ kept by each step, so its total misses the target by one document at most.
 
 Documents of a source fall into blocks of about `FAN` by a hash. A block is
 walked through by a higher-order function and leaves one open document, the
-open ones of `FAN` blocks meet in the next level, and so on. The first level
-holds almost all the work and is written to the shared folder; the rest of the
-tree is a few rows.
+open ones of `FAN` blocks meet in the next level, and so on, until each source has
+one block. The first level holds almost all the work. Every level is written to the
+shared folder, so that no plan holds those below it.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ WEIGHTS = (5, 2, 1)
 LIMIT = 3
 SEED = 7001
 FAN = 256
-# FAN ** (LEVELS + 1) documents of a source end in one last block of FAN or less.
-LEVELS = 4
 ITEM = ("_none", "_name", "doc_id", "size", "_text", "_copies")
 
 
@@ -124,9 +122,12 @@ def copies(docs: DataFrame, weights=WEIGHTS, limit: int = LIMIT, seed: int = SEE
     wanted = staged(wanted, "mix-wanted")
     fixed = wanted.filter("_p <= 1e-9 OR size = 0").selectExpr(*ITEM, "_granted", "0L AS _up")
     walked = staged(_walked(wanted.filter("_p > 1e-9 AND size > 0"), 0, seed), "mix-level")
-    decided = fixed.unionByName(_settled(walked))
-    for level in range(1, LEVELS + 1):
-        walked = _walked(_opened(walked), level, seed)
+    decided, level = fixed.unionByName(_settled(walked)), 0
+    # Of the source with the most blocks.
+    last_block = wanted.agg(F.coalesce(F.max("_block"), F.lit(0))).first()[0]
+    while last_block > 0:
+        level, last_block = level + 1, last_block // FAN
+        walked = staged(_walked(_opened(walked), level, seed), "mix-level")
         decided = decided.unionByName(_settled(walked))
     last = _opened(walked).withColumn(
         "_up", (unit(F.xxhash64(F.lit(seed + 99), "doc_id", "size", "_text")) < F.col("_p")).cast("long")

@@ -270,7 +270,8 @@ def refine(model: Model, rows: DataFrame, count: int) -> Model:
     means = changes.repartition("block").mapInArrow(_averaged, "block int, mean binary")
     # As many values as the model has.
     means = {row["block"]: np.frombuffer(row["mean"], np.float32) for row in means.collect()}
-    shared.unpersist()
+    # The driver's copy goes too.
+    shared.destroy()
     if means:
         small = means.pop(-1)
         model.shift = np.float32(model.shift + small[-1])
@@ -353,7 +354,9 @@ def _histogram(rows: DataFrame, model: Model) -> list:
 
     scored = rows.select("text", "_lang", "_toxic").mapInArrow(score, "lang string, toxic int, step int")
     counted = scored.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), "toxic", "step").agg(F.count(F.lit(1)).alias("n"))
-    return counted.collect()
+    counted = counted.collect()
+    shared.destroy()
+    return counted
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS) -> tuple[Model, dict[str, float]]:

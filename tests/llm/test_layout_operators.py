@@ -60,6 +60,20 @@ def test_mixed_rows_are_the_copies(spark):
     assert mixing.mixed(empty(spark)).count() == 0 and mixing.taken_words(empty(spark)).count() == 0
 
 
+def test_targets_hold_however_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FAN", 2)
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", "concat_ws(' ', array_repeat('w', CAST(1 + id % 2 AS int))) AS text", "concat('s', id % 3) AS source")
+    found = mixing.taken_words(docs).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(found) == 3 and all(abs(r.taken - r.target) <= 2 for r in found), found
+
+
+def test_no_level_is_planned_within_another(spark):
+    plan = mixing.copies(documents(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+
+
 def test_copies_are_unbiased(spark):
     docs = table(spark, SF_DIR, "documents")
     total = collections.Counter()
