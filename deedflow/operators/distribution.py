@@ -24,6 +24,10 @@ are joined without a hint, on exchanges that adaptive execution can split or tur
 Building the plan starts no job.
 
 Fields in `moments` get no quantiles and none of their values is opened.
+
+Where groups of any size meet, small ones by the million beside some of many rows, `group_medians` shuffles each row
+once for all its fields, to be sorted with its group; the rows of large groups stay, and are read twice as those of a
+whole table are (`few_groups`).
 """
 
 from __future__ import annotations
@@ -35,11 +39,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from deedflow.functions.scalars import ref, to_double
 
 CELLS_PER_OCTAVE = 1024
+# Of large groups, which have cells of their own in every task: about 1 % wide.
+WIDE_CELLS = 64
+# Groups are told large from small by the present values of their bucket, a hash of their key.
+BUCKETS = 1 << 17
+LARGE = 1 << 17
+BUCKET = "_bucket"
 # Parts that a wanted cell is cut into.
 PARTS = 1 << 21
 PART = "_part"
-# Lifts the logarithm of the smallest double above zero.
-CELL_OFFSET = 1100 * CELLS_PER_OCTAVE
+# Octaves that lift the logarithm of the smallest double above zero.
+OFFSET_OCTAVES = 1100
+CELL_OFFSET = OFFSET_OCTAVES * CELLS_PER_OCTAVE
 LARGEST_DOUBLE = 1.7976931348623157e308
 MEDIAN = {"median": 0.5}
 
@@ -49,10 +60,10 @@ MISSING_CELL = -(1 << 62)
 SUMMARY = ("row_count", "non_missing_count", "total", "mean", "std", "min", "max")
 
 
-def value_cell(value: str) -> Column:
+def value_cell(value: str, per_octave: int = CELLS_PER_OCTAVE) -> Column:
     """Cell of a value: ordered like the values, 0 for zero."""
     step = (
-        f"floor(log2(least(abs({value}), {LARGEST_DOUBLE}D)) * {CELLS_PER_OCTAVE}) + {CELL_OFFSET}"
+        f"floor(log2(least(abs({value}), {LARGEST_DOUBLE}D)) * {per_octave}) + {OFFSET_OCTAVES * per_octave}"
     )
     return F.expr(
         f"coalesce(CASE WHEN {value} > 0 THEN {step} WHEN {value} < 0 THEN -({step})"
@@ -87,8 +98,10 @@ def _covers(rank: str) -> str:
     return f"(_start <= {rank} AND {rank} < _start + _n)"
 
 
-def _celled(df: DataFrame, fields: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
-    return _long_values(df, fields, by).withColumn(CELL, value_cell(VALUE))
+def _celled(
+    df: DataFrame, fields: Mapping[str, Column], by: Sequence[str], per_octave: int = CELLS_PER_OCTAVE
+) -> DataFrame:
+    return _long_values(df, fields, by).withColumn(CELL, value_cell(VALUE, per_octave))
 
 
 def _numeric(df: DataFrame, fields: Sequence[str] | Mapping[str, Column]) -> Mapping[str, Column]:
@@ -249,6 +262,7 @@ def distribution(
     cells: DataFrame | None = None,
     one_scan: bool = False,
     counted: DataFrame | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Counts, moments, extremes and quantiles, one row per group and field.
 
@@ -264,6 +278,8 @@ def distribution(
     of all cells; then the table itself is not read.
     `one_scan` reads a whole table once and shuffles the distinct values of its fields, as is
     done for groups: right where the table is dear to compute or its values repeat.
+    `few_groups` reads a table of groups twice, as is done for whole tables, and shuffles cells and opened values
+    only: right where groups have many rows each. Wanted cells are broadcast, two per group, field and quantile.
     `method="approx"` takes quantiles from a bounded sketch in one scan.
     """
     reserved = {"field", "missing_count", *SUMMARY, *quantiles}
@@ -273,7 +289,9 @@ def distribution(
     if method == "approx":
         result = _approximate(df, fields, quantiles, by, accuracy)
     elif method == "exact":
-        result = _exact(df, fields, quantiles, by, moments, cells, one_scan, counted)
+        if few_groups and not (cells is None and counted is None):
+            raise ValueError("few_groups counts its own cells")
+        result = _exact(df, fields, quantiles, by, moments, cells, one_scan, counted, few_groups)
     else:
         raise ValueError(f"unknown method {method!r}")
     names = ", ".join("'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'" for name in fields)
@@ -309,13 +327,13 @@ def _same(left: Sequence[str], right: Sequence[str], nullable: int) -> Column:
     ))
 
 
-def _exact(df, fields, quantiles, by, moments, cells, one_scan, counted) -> DataFrame:
+def _exact(df, fields, quantiles, by, moments, cells, one_scan, counted, few_groups) -> DataFrame:
     keys = [*_quoted(by), FIELD]
     names = [*keys, CELL]
     probabilities = list(quantiles.values())
     whole = [i for i, name in enumerate(fields) if name in moments]
     described = None
-    if whole and cells is None and (by or one_scan):
+    if whole and cells is None and (by or one_scan) and not few_groups:
         described = _described(df, fields, whole, by)
         if len(whole) == len(fields):
             return _without_quantiles(described, keys, quantiles)
@@ -324,7 +342,7 @@ def _exact(df, fields, quantiles, by, moments, cells, one_scan, counted) -> Data
         opened, weight = counted, WEIGHT
         if cells is None:
             cells = _cells_of_counts(counted, keys)
-    elif cells is None and (by or one_scan):
+    elif cells is None and (by or one_scan) and not few_groups:
         ranked = {name: value for i, (name, value) in enumerate(fields.items()) if i not in whole}
         opened = _celled(df, ranked, by)
         if whole:
@@ -334,7 +352,7 @@ def _exact(df, fields, quantiles, by, moments, cells, one_scan, counted) -> Data
         cells = _cells_of_counts(opened, keys)
         weight = WEIGHT
     else:
-        opened = _celled(df, fields, by)
+        opened = _celled(df, fields, by, WIDE_CELLS if few_groups else CELLS_PER_OCTAVE)
         if cells is None:
             # One cell holds all values of a field that is only described.
             folded = opened.withColumn(
@@ -342,7 +360,7 @@ def _exact(df, fields, quantiles, by, moments, cells, one_scan, counted) -> Data
             cells = _cells(folded, keys)
         opened = opened.filter(f"NOT ({plain})") if whole else opened
         weight = "1"
-        if by:
+        if by and not few_groups:
             opened = opened.groupBy(*names, VALUE).agg(F.expr(f"count(1) AS {WEIGHT}"))
             weight = WEIGHT
     cells = _ranked_cells(cells, keys)
@@ -351,8 +369,8 @@ def _exact(df, fields, quantiles, by, moments, cells, one_scan, counted) -> Data
     )
     wanted = wanted.selectExpr(
         *[f"{name} AS _w{i}" for i, name in enumerate(names)], "_start", "_low", "_high", "_summary")
-    if not by:
-        # A row per field and wanted rank at most.
+    if few_groups or not by:
+        # A row per group, field and wanted rank at most.
         wanted = F.broadcast(wanted)
     keyed = [f"_w{i}" for i in range(len(names))]
     opened = opened.join(wanted, _same(names, keyed, len(by))).groupBy(
@@ -368,7 +386,7 @@ def _exact(df, fields, quantiles, by, moments, cells, one_scan, counted) -> Data
         f"_start + sum(_n) OVER (PARTITION BY {', '.join(names)} ORDER BY {PART}) - _n AS _start",
     ).filter(f"non_missing_count = 0 OR {_wanted(probabilities)}").selectExpr(
         *[f"{name} AS _k{i}" for i, name in enumerate(inner)], "_start AS _part_start")
-    if not by:
+    if few_groups or not by:
         # Bounded as the wanted cells are.
         kept = F.broadcast(kept)
     opened = opened.join(kept, _same(inner, [f"_k{i}" for i in range(len(inner))], len(by)))
@@ -415,3 +433,56 @@ def _approximate(df, fields, quantiles, by, accuracy) -> DataFrame:
     return grouped.selectExpr(
         *keys, *SUMMARY, *[f"get(_sketch, {i}) AS {name}" for i, name in enumerate(_quoted(quantiles))]
     )
+
+
+def _large_buckets(keyed: DataFrame, values: Sequence[str], large: int) -> DataFrame:
+    """Buckets with more than `large` present values that also hold four times the mean; at most a quarter of all."""
+    load = keyed.groupBy(BUCKET).agg(F.expr(" + ".join(f"count({value})" for value in values)).alias("_n"))
+    return load.agg(
+        F.expr("sum(_n) AS _total"), F.expr(f"collect_list(if(_n > {large}, struct({BUCKET}, _n), NULL)) AS _loaded")
+    ).selectExpr("_total", "inline(_loaded)").filter(f"_n > 4 * _total / {BUCKETS}").select(BUCKET)
+
+
+def group_medians(
+    df: DataFrame, fields: Mapping[str, Column], by: Sequence[str], large: int = LARGE
+) -> DataFrame:
+    """Rows, present values, totals, means and exact medians of groups of any size, one row per group.
+
+    Columns: the group columns, `row_count`, and `_count<i>`, `_total<i>`, `_mean<i>` and `_median<i>` of the field at
+    each position, so that Spark leaves out those that nobody reads. NaN is missing; a total is 0 where nothing is
+    present. Hash buckets of at most `large` present values, or of at most four times their mean, are shuffled row by row,
+    and the values of a group are sorted in one task. All other groups go through `distribution` with `few_groups`.
+    """
+    keys = _quoted(by)
+    names = [f"_v{i}" for i in range(len(fields))]
+    keyed = df.select(
+        *[ref(name) for name in by],
+        *[F.nanvl(value.cast("double"), F.lit(None)).alias(name) for name, value in zip(names, fields.values())],
+    ).withColumn(BUCKET, F.expr(f"pmod(xxhash64({', '.join(keys)}), {BUCKETS})"))
+    hot = F.broadcast(_large_buckets(keyed, names, large))
+
+    sorted_values = keyed.join(hot, BUCKET, "left_anti").drop(BUCKET).repartition(*keys).groupBy(*keys).agg(
+        F.expr("count(1) AS row_count"),
+        *[
+            F.expr(text) for i, name in enumerate(names) for text in (
+                f"count({name}) AS _count{i}", f"coalesce(sum({name}), 0D) AS _total{i}", f"avg({name}) AS _mean{i}",
+                f"sort_array(collect_list({name})) AS _sorted{i}")
+        ],
+    )
+
+    def at(i: int, side: str) -> str:
+        return f"get(_sorted{i}, CAST({side}((_count{i} - 1) * 0.5D) AS int))"
+
+    small = sorted_values.selectExpr(*keys, "row_count", *[
+        text for i in range(len(names)) for text in (
+            f"_count{i}", f"_total{i}", f"_mean{i}",
+            f"{at(i, 'floor')} + ({at(i, 'ceil')} - {at(i, 'floor')}) * 0.5D * pmod(_count{i} - 1, 2) AS _median{i}")
+    ])
+    large_groups = distribution(
+        keyed.join(hot, BUCKET, "left_semi"), {name: F.col(name) for name in names}, by=by, few_groups=True)
+    pivoted = large_groups.groupBy(*keys).agg(F.expr("max(row_count) AS row_count"), *[
+        F.expr(f"max(if(field = '{name}', {source}, NULL)) AS {measure}{i}")
+        for i, name in enumerate(names) for source, measure in (
+            ("non_missing_count", "_count"), ("total", "_total"), ("mean", "_mean"), ("median", "_median"))
+    ])
+    return small.unionByName(pivoted)

@@ -11,7 +11,7 @@ from deedflow.functions.scalars import (
     Formats, is_true, percent, ratio, ref, rounded, to_date, to_double, year_month,
 )
 from deedflow.operators.checks import ContractError, require_columns, split_fields
-from deedflow.operators.distribution import distribution
+from deedflow.operators.distribution import distribution, group_medians
 
 NUMBERS = ("ClosePrice", "OriginalListPrice", "LivingArea", "DaysOnMarket")
 DATES = ("CloseDate", "PurchaseContractDate", "ListingContractDate")
@@ -77,19 +77,37 @@ SEGMENT_FIELDS = (
 )
 
 
-def _segments(engineered: DataFrame, keys: Sequence[str], method: str) -> DataFrame:
-    """Counts, volume, means and medians per segment."""
-    summary = distribution(engineered, SEGMENT_FIELDS, by=keys, method=method)
+VALUES = "_values"
+
+
+def _packed(engineered: DataFrame) -> Column:
+    """The described fields as one column: whatever a step reads of them, all steps share the scan's exchanges."""
+    return F.array(*[to_double(engineered, name) for name in SEGMENT_FIELDS]).alias(VALUES)
 
-    def of(field: str, measure: str) -> str:
-        return f"max(if(field = '{field}', {measure}, NULL))"
+
+def _segments(rows: DataFrame, keys: Sequence[str], method: str) -> DataFrame:
+    """Counts, volume, means and medians per segment."""
+    described = {name: F.get(VALUES, F.lit(i)) for i, name in enumerate(SEGMENT_FIELDS)}
+    if method == "exact":
+        summary = group_medians(rows, described, keys)
+    else:
+        summary = distribution(rows, described, by=keys, method=method).groupBy(*[ref(name) for name in keys]).agg(
+            F.max("row_count").alias("row_count"), *[
+                F.expr(f"max(if(field = '{name}', {source}, NULL))").alias(f"{measure}{i}")
+                for i, name in enumerate(SEGMENT_FIELDS) for source, measure in (
+                    ("non_missing_count", "_count"), ("total", "_total"), ("mean", "_mean"), ("median", "_median"))
+            ])
+
+    def of(field: str, measure: str) -> Column:
+        return F.col(f"_{measure}{SEGMENT_FIELDS.index(field)}")
 
     def two(field: str, measure: str) -> Column:
         return rounded(of(field, measure), 2)
 
-    return summary.groupBy(*[ref(name) for name in keys]).agg(
-        F.expr(of("ClosePrice", "row_count")).alias("record_count"),
-        F.expr(of("ClosePrice", "non_missing_count")).alias("closed_sales_count"),
+    return summary.select(
+        *[ref(name) for name in keys],
+        F.col("row_count").alias("record_count"),
+        of("ClosePrice", "count").alias("closed_sales_count"),
         two("ClosePrice", "total").alias("total_sales_volume"),
         two("ClosePrice", "mean").alias("average_close_price"),
         two("ClosePrice", "median").alias("median_close_price"),
@@ -108,22 +126,24 @@ def _segments(engineered: DataFrame, keys: Sequence[str], method: str) -> DataFr
 
 def segment_summary(engineered: DataFrame, segment: str, method: str = "exact") -> DataFrame:
     """Market measures per value of a segment; rows without one are left out."""
-    return _segments(engineered.filter(ref(segment).isNotNull()), [segment], method)
+    rows = engineered.select(ref(segment), _packed(engineered)).filter(ref(segment).isNotNull())
+    return _segments(rows, [segment], method)
 
 
 def segment_summaries(
     engineered: DataFrame, segments: Sequence[str] = f.SEGMENTS, method: str = "exact"
 ) -> DataFrame:
-    """The summaries of several segments from one scan."""
+    """The summaries of several segments from one plan."""
     available, _ = split_fields(engineered, segments)
     pairs = [
         part
         for name in available
         for part in (F.lit(name), ref(name).cast("string"))
     ]
-    long = engineered.select(
-        *[ref(name) for name in SEGMENT_FIELDS],
-        F.stack(F.lit(len(available)), *pairs).alias("segment_field", "segment_value"),
+    # Packed before the rows are unrolled.
+    packed = engineered.select(*[ref(name) for name in available], _packed(engineered))
+    long = packed.select(
+        VALUES, F.stack(F.lit(len(available)), *pairs).alias("segment_field", "segment_value")
     ).filter("segment_value IS NOT NULL")
     return _segments(long, ["segment_field", "segment_value"], method)
 

@@ -7,7 +7,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from deedflow.operators.distribution import (
-    cell_counts, count_values, distribution, merge_cells, value_cell, values_of_cells, values_of_groups, wanted_cells,
+    cell_counts, count_values, distribution, group_medians, merge_cells, value_cell, values_of_cells, values_of_groups,
+    wanted_cells,
 )
 
 QUANTILES = {"p01": 0.01, "p25": 0.25, "median": 0.5, "p95": 0.95}
@@ -206,3 +207,41 @@ def test_described_fields_of_groups(spark):
     assert len(rows) == 4
     assert (rows["a", "x"]["mean"], rows["a", "x"]["median"], rows["a", "y"]["median"]) == (2.0, None, 2.0)
     assert (rows["b", "x"]["non_missing_count"], rows["b", "x"]["missing_count"], rows["b", "y"]["row_count"]) == (0, 1, 1)
+
+
+@pytest.mark.parametrize("large", [200, 1 << 17])
+def test_medians_of_large_and_small_groups(spark, large):
+    rng = np.random.default_rng(5)
+    size = 4000
+    frame = pd.DataFrame({
+        "x": np.round(rng.lognormal(3, 2, size), 2) * rng.choice([-1, 1], size), "y": rng.integers(-3, 4, size) * 1.0,
+        "z": np.nan, "g": np.where(rng.random(size) < 0.5, "hot", rng.integers(0, 700, size).astype(str)).astype(object)})
+    frame.loc[::9, "x"] = np.nan
+    frame.loc[frame["g"] == "3", "y"] = np.nan
+    frame.loc[::5, "g"] = None
+    df = spark.createDataFrame(list(frame.itertuples(index=False)), "x double, y double, z double, g string").repartition(3)
+    rows = group_medians(df, {name: F.col(name) for name in "xyz"}, ["g"], large).collect()
+    assert len(rows) == frame["g"].nunique(dropna=False)
+    for row in rows:
+        part = frame[frame["g"].isna() if row["g"] is None else frame["g"] == row["g"]]
+        assert row["row_count"] == len(part)
+        for i, name in enumerate("xyz"):
+            present = part[name].dropna()
+            assert row[f"_count{i}"] == len(present)
+            assert close(row[f"_total{i}"], present.sum())
+            assert close(row[f"_mean{i}"], present.mean())
+            assert close(row[f"_median{i}"], present.median())
+
+
+def test_few_groups_equal_groups(spark):
+    df = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 11 != 0, (F.col("id") * 7919 % 10_007 - 300) / 7).alias("x"), F.lit(None).cast("double").alias("y"),
+        F.when(F.col("id") % 3 != 0, F.col("id") % 3).alias("g"))
+    for fields, options in ((["x", "y"], {}), (["x", "y"], {"moments": ["x"]})):
+        one, two = (
+            sorted(distribution(df, fields, QUANTILES, by=["g"], few_groups=few, **options).collect(), key=str)
+            for few in (False, True))
+        assert len(one) == len(two) == 6
+        for a, b in zip(one, two):
+            assert (a["g"], a["field"]) == (b["g"], b["field"])
+            assert all(close(a[name], b[name]) for name in a.asDict() if name not in ("g", "field")), (a, b)

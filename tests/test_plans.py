@@ -3,9 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from deedflow import fields as f
-from deedflow.operators import events, explore, outliers, quality
+from deedflow.operators import events, explore, features, outliers, quality
 from deedflow.operators.distribution import distribution
 from deedflow.operators.reports import fixed
 from suite.proxies import table
@@ -97,3 +98,32 @@ def test_before_after_reads_three_times(spark):
         outliers.iqr_flags(df, {"l_extendedprice": "price_flag"}, bounds=bounds.collect()), [])
     compared = outliers.before_after(flagged, {"l_extendedprice": "median_price"}, fixed(bounds))
     assert executed_scans(compared) == 1
+
+
+def shuffled_records(df):
+    """Records that the exchanges of the plan wrote, each exchange once."""
+    df.collect()
+    written, todo = {}, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if kind == "ShuffleExchangeExec":
+            written[node.id()] = node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        todo.extend(children.apply(i) for i in range(children.size()))
+    return sum(written.values())
+
+
+def test_segments_shuffle_rows_not_values(spark):
+    rows = 6000
+    prices = {name: (F.col("id") * 7919 % (10_007 + i) + 0.37) for i, name in enumerate(features.SEGMENT_FIELDS)}
+    df = spark.range(0, rows, 1, 2).withColumns(prices).withColumns({
+        "MLSAreaMajor": F.col("id") % 900, "ListOfficeName": F.col("id") % 300, "PropertyType": F.lit("Residential")})
+    segments = ["MLSAreaMajor", "ListOfficeName", "PropertyType"]
+    # A row once per segment, and the loads, results and order of 1201 segments; six values a row were 18 and more.
+    assert rows * len(segments) <= shuffled_records(features.segment_summaries(df, segments)) < 2 * rows * len(segments)
