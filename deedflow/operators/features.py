@@ -119,7 +119,8 @@ def _segments(rows: DataFrame, keys: Sequence[str], method: str) -> DataFrame:
         two("CloseToOriginalListRatio", "median").alias("median_close_to_original_list_ratio"),
         two("ListingToContractDays", "median").alias("median_listing_to_contract_days"),
         two("ContractToCloseDays", "median").alias("median_contract_to_close_days"),
-    ).orderBy(
+    # Sampled for their order once exchanged, not computed twice for it.
+    ).hint("rebalance", *[ref(name) for name in keys]).orderBy(
         F.desc("closed_sales_count"), F.desc("total_sales_volume"), *[ref(name) for name in keys]
     )
 
