@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import copy
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,14 +54,39 @@ REMEMBERED = 300_000
 PREFIXES = (4, 6)
 PARTS = 1 + len(PREFIXES)
 
-_IDS: dict[str, tuple[int, ...]] = {}
+# CRC-32 goes on from the checksum of what comes before, so the mark of a part is hashed once.
+WHOLE = zlib.crc32(b"w")
+MARKS = [(n, zlib.crc32(b"%d" % n)) for n in PREFIXES]
 
 
-def _parts(word: str) -> tuple[int, ...]:
+class Places(dict):
+    """Place of each word in `parts`, which holds the buckets of its parts; a new word is added when it is looked up."""
+
+    def __init__(self):
+        self.parts = array("i")
+
+    def __missing__(self, word: str) -> int:
+        self.parts.extend(_parts(word))
+        place = self[word] = len(self)
+        return place
+
+    def forget(self) -> None:
+        self.clear()
+        self.parts = array("i")
+
+
+_PLACES = Places()
+
+
+def _parts(word: str) -> list[int]:
     word = word.strip(STRIP)
-    parts = [b"w" + word.encode("utf-8", "replace")]
-    parts += [b"%d" % n + word[:n].encode("utf-8", "replace") for n in PREFIXES]
-    return tuple(zlib.crc32(part) % (BUCKETS - 1) + 1 for part in parts)
+    whole = word.encode("utf-8", "replace")
+    buckets = [zlib.crc32(whole, WHOLE) % (BUCKETS - 1) + 1]
+    plain = word.isascii()
+    for n, mark in MARKS:
+        part = whole[:n] if plain else word[:n].encode("utf-8", "replace")
+        buckets.append(zlib.crc32(part, mark) % (BUCKETS - 1) + 1)
+    return buckets
 
 
 def word_ids(texts: list[str | None]) -> list[np.ndarray]:
@@ -68,19 +94,16 @@ def word_ids(texts: list[str | None]) -> list[np.ndarray]:
 
     Words are lower-cased and lose punctuation at their ends. 0 is kept for padding.
     """
-    if len(_IDS) > REMEMBERED:
-        _IDS.clear()
-    split = [(text or "").lower().split() for text in texts]
-    place: dict[str, int] = {}
-    for words in split:
-        place.update(dict.fromkeys(words))
-    parts = np.zeros((len(place), PARTS), np.int32)
-    for k, word in enumerate(place):
-        if word not in _IDS:
-            _IDS[word] = _parts(word)
-        parts[k] = _IDS[word]
-        place[word] = k
-    return [parts[np.fromiter(map(place.__getitem__, words), np.int64, len(words))] for words in split]
+    if len(_PLACES) > REMEMBERED:
+        _PLACES.forget()
+    place = _PLACES.__getitem__
+    places = []
+    for text in texts:
+        words = (text or "").lower().split()
+        places.append(np.fromiter(map(place, words), np.int64, len(words)))
+    # A copy, as an array cannot grow while numpy looks at it.
+    parts = np.array(_PLACES.parts, np.int32).reshape(-1, PARTS)
+    return [parts.take(at, axis=0) for at in places]
 
 
 class Model:
@@ -98,9 +121,9 @@ class Model:
         self.squares: dict[str, np.ndarray] = {}
 
     def words(self, ids: np.ndarray) -> np.ndarray:
-        rows = self.table[ids[:, 0]]
+        rows = self.table.take(ids[:, 0], axis=0)
         for k in range(1, PARTS):
-            rows += self.table[ids[:, k]]
+            rows += self.table.take(ids[:, k], axis=0)
         return rows
 
     def pooled(self, texts: list[np.ndarray], positions: bool = False):

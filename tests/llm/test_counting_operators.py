@@ -2,6 +2,7 @@
 
 import collections
 import math
+import sys
 import zlib
 
 import numpy as np
@@ -181,6 +182,46 @@ def test_toxicity_learns_and_leaves_clean_documents_alone(spark):
     assert joined.score.between(0, 1).all()
 
 
+def _word_buckets(text):
+    """Buckets of the words of a text by their definition, each part hashed as a whole."""
+    words = [word.strip(toxicity.STRIP) for word in (text or "").lower().split()]
+    return [[zlib.crc32(part.encode("utf-8", "replace")) % (toxicity.BUCKETS - 1) + 1
+             for part in ("w" + word, "4" + word[:4], "6" + word[:6])] for word in words]
+
+
+def test_known_words_take_no_python_step_each():
+    texts = [" ".join(f"known{k}" for k in range(3000))] * 2
+    toxicity.word_ids(texts)
+    lines = 0
+
+    def count(frame, event, arg):
+        nonlocal lines
+        lines += event == "line"
+        return count
+
+    before = sys.gettrace()
+    sys.settrace(count)
+    try:
+        found = toxicity.word_ids(texts)
+    finally:
+        sys.settrace(before)
+    assert lines < 100
+    assert [ids.tolist() for ids in found] == [_word_buckets(text) for text in texts]
+
+
+@pytest.mark.parametrize("remembered", [0, 5, 300_000])
+def test_word_ids_are_the_hashes_of_their_parts(monkeypatch, remembered):
+    monkeypatch.setattr(toxicity, "REMEMBERED", remembered)
+    texts = ["Good day, good DAY!", None, "", " \n", "... élève ÉLÈVES straße İstanbul \ud800x y\ud800zzzzz", "good (abcdefgh) abcd", "日本語のテキスト word"]
+    for _ in range(3):
+        for size in (1, 3, len(texts)):
+            for at in range(0, len(texts), size):
+                found = toxicity.word_ids(texts[at:at + size])
+                assert [ids.tolist() for ids in found] == [_word_buckets(text) for text in texts[at:at + size]]
+                assert all(ids.dtype == np.int32 and ids.shape[1] == toxicity.PARTS for ids in found)
+    assert toxicity.word_ids([]) == []
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1), (2, 0), (3, None), (None, 1), (999, 1)], "doc_id long, toxic int")
     found = toxicity.toxicity(documents(spark), labels).collect()
